@@ -190,6 +190,338 @@ def q_eu_pipeline(spark, sf):
     """Readings -> scope -> day buckets + coverage -> KPI with DQ in one aggregate."""
     return eu_pipeline(A(spark, sf, "readings"), "day").kpi
 
+# ---------------------------------------------------------------------------
+# A5-A8 parts, W1/W2, A14-A20, W4, P21, T4: reports over the day KPI
+# ---------------------------------------------------------------------------
+
+def _kpi_day(spark, sf):
+    return eu_pipeline(A(spark, sf, "readings"), "day").kpi
+
+
+def _chain_day():
+    return O.eu_chain("readings", "day")
+
+
+@register("energy_mix",
+          O.with_(_chain_day(), """SELECT ts_utc AS period_start_utc, region, country, renewable_mwh, fossil_mwh,
+  nuclear_mwh, renewable_mwh + fossil_mwh + nuclear_mwh AS total_generation_mwh,
+  renewable_mwh / nullif(renewable_mwh + fossil_mwh + nuclear_mwh, 0.0) * 100.0 AS renewable_share_pct,
+  fossil_mwh / nullif(renewable_mwh + fossil_mwh + nuclear_mwh, 0.0) * 100.0 AS fossil_share_pct,
+  nuclear_mwh / nullif(renewable_mwh + fossil_mwh + nuclear_mwh, 0.0) * 100.0 AS nuclear_share_pct
+  FROM kpi_gen"""),
+          ["renewable_mwh", "fossil_mwh", "nuclear_mwh", "total_generation_mwh", "renewable_share_pct",
+           "fossil_share_pct", "nuclear_share_pct"])
+def q_energy_mix(spark, sf):
+    """Generation per source pivoted to fixed columns, total and shares."""
+    return ops.energy_mix(_bucketed_day(spark, sf))
+
+
+@register("price_stats",
+          O.with_(_chain_day(), "SELECT ts_utc AS period_start_utc, region, country, avg_price, "
+                                "price_volatility, price_unit FROM kpi_pr"),
+          ["avg_price", "price_volatility"])
+def q_price_stats(spark, sf):
+    """Mean, sample std and first unit of bucketed prices."""
+    return ops.price_stats(_bucketed_day(spark, sf))
+
+
+@register("net_import",
+          O.with_(_chain_day(), "SELECT ts_utc AS period_start_utc, region, country, net_import_mwh FROM kpi_ni"),
+          ["net_import_mwh"])
+def q_net_import(spark, sf):
+    """Net import sum per bucket and country."""
+    return ops.net_import(_bucketed_day(spark, sf))
+
+
+_EU_NAMES = ", ".join(f"'{n}'" for _, n in EU27)
+
+
+@register("kpi_latest",
+          O.with_(_chain_day(), f"""SELECT region, country, strftime(period_start_utc, '%Y-%m-%dT%H:%M:%SZ') AS period_start_utc,
+  total_generation_mwh, renewable_share_pct, fossil_share_pct, nuclear_share_pct, avg_price, price_unit,
+  price_volatility, dq_coverage_pct, dq_issue_count
+  FROM (SELECT *, row_number() OVER (PARTITION BY region, country ORDER BY period_start_utc DESC) AS rn
+        FROM kpi WHERE country IN ({_EU_NAMES})) WHERE rn = 1"""),
+          ["total_generation_mwh", "renewable_share_pct", "fossil_share_pct", "nuclear_share_pct",
+           "avg_price", "price_volatility", "dq_coverage_pct"])
+def q_kpi_latest(spark, sf):
+    """Latest KPI row per (region, country) — the items of the latest-KPI document."""
+    return ops.kpi_latest_items(_kpi_day(spark, sf))
+
+
+_DQ_LATEST = f"""dql AS (SELECT region, country, ts_utc, coverage_pct, issue_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY region, country ORDER BY ts_utc DESC) AS rn
+  FROM dq WHERE period = 'day' AND country IN ({_EU_NAMES})) WHERE rn = 1)"""
+
+
+@register("dq_latest", O.with_(_chain_day() + [_DQ_LATEST], "SELECT * FROM dql"), ["coverage_pct"])
+def q_dq_latest(spark, sf):
+    """Latest DQ bucket per (region, country)."""
+    cov = _cov(spark, sf, "day")
+    return ops.dq_latest_items(ops.dq_rollup(cov), "day")
+
+
+@register("dq_summary",
+          O.with_(_chain_day() + [_DQ_LATEST], """SELECT min(coverage_pct) AS min_coverage_pct,
+  CAST(count(*) FILTER (WHERE coverage_pct < 98.0) AS BIGINT) AS countries_below_98pct,
+  CAST(coalesce(sum(issue_count), 0) AS BIGINT) AS total_issue_count,
+  strftime(max(ts_utc), '%Y-%m-%dT%H:%M:%SZ') AS ts_utc, CAST(count(*) AS BIGINT) AS n_items FROM dql"""),
+          ["min_coverage_pct"])
+def q_dq_summary(spark, sf):
+    """Summary over the latest DQ items (fixed 98 % line)."""
+    cov = _cov(spark, sf, "day")
+    return ops.dq_summary(ops.dq_rollup(cov), "day")
+
+
+@register("latest_snapshot",
+          O.with_(_chain_day(), f"SELECT {KPI_SELECT} FROM kpi WHERE period_start_utc = (SELECT max(period_start_utc) FROM kpi)"),
+          KPI_DOUBLES)
+def q_latest_snapshot(spark, sf):
+    """Every KPI row at the overall latest bucket."""
+    return ops.latest_snapshot(_kpi_day(spark, sf))
+
+
+@register("regional_comparison",
+          O.with_(_chain_day(), """SELECT region, period_start_utc, avg(avg_price) AS mean_avg_price,
+  avg(renewable_share_pct) AS mean_renewable_share_pct, avg(price_volatility) AS mean_price_volatility
+  FROM kpi GROUP BY region, period_start_utc"""),
+          ["mean_avg_price", "mean_renewable_share_pct", "mean_price_volatility"])
+def q_regional_comparison(spark, sf):
+    """Mean price, renewable share and volatility per region and bucket."""
+    return ops.regional_comparison(_kpi_day(spark, sf))
+
+
+@register("region_country", O.with_(_chain_day(), "SELECT DISTINCT region, country FROM kpi"))
+def q_region_country(spark, sf):
+    """Distinct (region, country) pairs."""
+    return ops.region_country(_kpi_day(spark, sf))
+
+
+@register("variation_guard",
+          O.with_(_chain_day(), """SELECT region, country, (count(DISTINCT period_start_utc) >= 2 AND (
+    coalesce(count(renewable_share_pct) >= 2 AND min(renewable_share_pct) <> max(renewable_share_pct), false)
+ OR coalesce(count(fossil_share_pct) >= 2 AND min(fossil_share_pct) <> max(fossil_share_pct), false)
+ OR coalesce(count(nuclear_share_pct) >= 2 AND min(nuclear_share_pct) <> max(nuclear_share_pct), false)))
+ AS has_variation FROM kpi GROUP BY region, country"""))
+def q_variation_guard(spark, sf):
+    """Does each country's share series really vary over time?"""
+    return ops.variation_guard(_kpi_day(spark, sf))
+
+
+@register("energy_mix_series",
+          O.with_(_chain_day(), "SELECT region, country, period_start_utc, renewable_share_pct, fossil_share_pct, "
+                                "nuclear_share_pct FROM kpi WHERE region = 'EU'"),
+          ["renewable_share_pct", "fossil_share_pct", "nuclear_share_pct"])
+def q_energy_mix_series(spark, sf):
+    """Share series per country (chart data)."""
+    return ops.energy_mix_series(_kpi_day(spark, sf))
+
+
+@register("price_vs_mix",
+          O.with_(_chain_day(), "SELECT region, country, period_start_utc, renewable_share_pct, avg_price "
+                                "FROM kpi WHERE region = 'EU'"),
+          ["renewable_share_pct", "avg_price"])
+def q_price_vs_mix(spark, sf):
+    """Renewable share against average price per country (chart data)."""
+    return ops.price_vs_mix(_kpi_day(spark, sf))
+
+
+@register("history_tail",
+          O.with_(_chain_day(), f"SELECT {KPI_SELECT} FROM kpi ORDER BY region DESC, country DESC, "
+                                "period_start_utc DESC LIMIT 50"),
+          KPI_DOUBLES)
+def q_history_tail(spark, sf):
+    """T4: last 50 history rows in file order (a top-k by key)."""
+    return ops.history_tail(_kpi_day(spark, sf))
+
+
+@register("price_summary",
+          O.with_(_chain_day(), """SELECT report_date, avg_price, max_price, min_price, volatility_index, missing_rate,
+  CASE WHEN missing_rate <= 0.02 THEN 'OK' ELSE 'WARN' END AS status FROM (
+  SELECT CAST(period_start_utc AS DATE) AS report_date, avg(avg_price) AS avg_price, max(avg_price) AS max_price,
+    min(avg_price) AS min_price, stddev_samp(avg_price) / nullif(avg(avg_price), 0.0) AS volatility_index,
+    1.0 - least(avg(dq_coverage_pct), 100.0) / 100.0 AS missing_rate
+  FROM kpi GROUP BY CAST(period_start_utc AS DATE))"""),
+          ["avg_price", "max_price", "min_price", "volatility_index", "missing_rate"])
+def q_price_summary(spark, sf):
+    """Daily price summary with volatility index, missing rate and status."""
+    return ops.price_summary(_kpi_day(spark, sf))
+
+
+_PROFILE_COLS = ["period", "region", "country", "metric", "energy_source", "unit", "quality_flag",
+                 "source_system"]
+
+
+def _profile_oracle():
+    kv = " UNION ALL ".join(f"SELECT '{c}' AS column_name, {c} AS value FROM readings" for c in _PROFILE_COLS)
+    return O.with_(ad.duck_ctes("readings") + [f"kv AS ({kv})"], """SELECT s.column_name, s.n_rows, s.distinct_count,
+  array_to_string(list_sort(d.vals)[1:50], '|') AS sample_values
+  FROM (SELECT column_name, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT value) AS BIGINT) AS distinct_count
+        FROM kv GROUP BY column_name) s
+  LEFT JOIN (SELECT column_name, list(DISTINCT value) AS vals FROM kv WHERE value IS NOT NULL GROUP BY column_name) d
+  ON s.column_name = d.column_name""")
+
+
+@register("table_profile", _profile_oracle())
+def q_table_profile(spark, sf):
+    """Per text column row count, distinct count and sorted 50-value sample."""
+    return ops.table_profile(A(spark, sf, "readings"), _PROFILE_COLS)
+
+# ---------------------------------------------------------------------------
+# Yearly and year comparison
+# ---------------------------------------------------------------------------
+
+YEARS = (1995, 2000)
+
+_YEARLY = """yearly AS (SELECT country_iso2, CAST(year(date) AS BIGINT) AS year,
+  round_even(avg(avg_price), 2) AS avg_price, round_even(stddev_samp(avg_price), 2) AS price_volatility
+  FROM daily_prices WHERE date IS NOT NULL AND country_iso2 IS NOT NULL GROUP BY country_iso2, year(date))"""
+
+
+@register("yearly_kpis", O.with_(ad.duck_ctes("daily_prices") + [_YEARLY], "SELECT * FROM yearly"),
+          ["avg_price", "price_volatility"])
+def q_yearly_kpis(spark, sf):
+    """A10: yearly mean and std of daily prices per country (2 dp, half-even)."""
+    return ops.yearly_kpis(A(spark, sf, "daily_prices"))
+
+
+@register("year_compare",
+          O.with_(ad.duck_ctes("daily_prices") + [_YEARLY], f"""SELECT a.country_iso2, CAST({YEARS[0]} AS BIGINT) AS year_a,
+  CAST({YEARS[1]} AS BIGINT) AS year_b, a.avg_price AS value_a, b.avg_price AS value_b,
+  b.avg_price - a.avg_price AS delta_abs,
+  CASE WHEN a.avg_price IS NULL OR a.avg_price = 0 THEN NULL ELSE (b.avg_price - a.avg_price) / a.avg_price * 100.0 END AS delta_pct
+  FROM (SELECT * FROM yearly WHERE year = {YEARS[0]}) a
+  JOIN (SELECT * FROM yearly WHERE year = {YEARS[1]}) b ON a.country_iso2 IS NOT DISTINCT FROM b.country_iso2"""),
+          ["value_a", "value_b", "delta_abs", "delta_pct"])
+def q_year_compare(spark, sf):
+    """Year A vs year B per country (NULL-safe inner self-join)."""
+    return ops.year_compare(ops.yearly_kpis(A(spark, sf, "daily_prices")), "avg_price", *YEARS)
+
+
+@register("yoy_change",
+          O.with_(ad.duck_ctes("daily_prices") + [_YEARLY], """SELECT country_iso2, year, avg_price AS current_avg_price,
+  lag(avg_price) OVER (PARTITION BY country_iso2 ORDER BY year) AS previous_avg_price,
+  round_even((avg_price - lag(avg_price) OVER (PARTITION BY country_iso2 ORDER BY year))
+    / nullif(lag(avg_price) OVER (PARTITION BY country_iso2 ORDER BY year), 0.0) * 100.0, 2) AS change_pct
+  FROM yearly"""),
+          ["current_avg_price", "previous_avg_price", "change_pct"])
+def q_yoy_change(spark, sf):
+    """Current vs previous year average price and change percent."""
+    return ops.yoy_change(ops.yearly_kpis(A(spark, sf, "daily_prices")))
+
+
+_STUB = ("(coalesce(avg_price = 90.0 AND renewable_share_pct = 50.0, false) "
+         "OR coalesce(total_generation_mwh = 336000.0, false))")
+_KY_DOUBLES = ["avg_price", "renewable_share_pct", "price_volatility", "total_generation_mwh"]
+
+
+@register("drop_placeholder_rows",
+          O.with_(ad.duck_ctes("kpi_years"), f"SELECT * FROM kpi_years WHERE NOT {_STUB}"), _KY_DOUBLES)
+def q_drop_placeholder_rows(spark, sf):
+    """Drop baseline-looking rows (price 90 & share 50, or total 336000), NULL-safe."""
+    return ops.drop_placeholder_rows(A(spark, sf, "kpi_years"))
+
+
+def _cmp_cols():
+    cols = []
+    for m in ops.compare.COMPARE_METRICS:
+        cols += [f"{m}_{YEARS[0]}", f"{m}_{YEARS[1]}", f"{m}_delta"]
+    return cols
+
+
+def _cmp_cte():
+    a, b = YEARS
+    per = []
+    for m, how in ops.compare.COMPARE_METRICS.items():
+        for y in YEARS:
+            if how == "sum":
+                per.append(f"CASE WHEN count(*) FILTER (WHERE yr = {y}) > 0 THEN coalesce(sum({m}) FILTER (WHERE yr = {y}), 0.0) END AS {m}_{y}")
+            else:
+                per.append(f"avg({m}) FILTER (WHERE yr = {y}) AS {m}_{y}")
+    deltas = [f"{m}_{b} - {m}_{a} AS {m}_delta" for m in ops.compare.COMPARE_METRICS]
+    return [f"""ky AS (SELECT *, year(period_start_utc) AS yr FROM kpi_years
+  WHERE region = 'EU' AND country IS NOT NULL AND NOT {_STUB} AND (
+   (period_start_utc >= TIMESTAMP '{a}-01-01' AND period_start_utc < TIMESTAMP '{a}-01-01' + INTERVAL 7 DAY)
+   OR (period_start_utc >= TIMESTAMP '{b}-01-01' AND period_start_utc < TIMESTAMP '{b}-01-01' + INTERVAL 7 DAY)))""",
+            f"cmp0 AS (SELECT country, {', '.join(per)} FROM ky GROUP BY country)",
+            f"cmp AS (SELECT *, {', '.join(deltas)} FROM cmp0)"]
+
+
+def _cmp(spark, sf):
+    return ops.year_comparison(A(spark, sf, "kpi_years"), YEARS, 7)
+
+
+def _cmp_sql(select, extra=None):
+    return O.with_(ad.duck_ctes("kpi_years") + _cmp_cte() + (extra or []), select)
+
+
+@register("year_comparison", _cmp_sql("SELECT * FROM cmp"), _cmp_cols())
+def q_year_comparison(spark, sf):
+    """Per-country metrics of two years (first 7 days each) and deltas."""
+    return _cmp(spark, sf)
+
+
+for _m, _key in (("renewable_share_pct", "top_movers_renewable"), ("avg_price", "top_movers_price")):
+    def _mk3(m=_m, key=_key):
+        @register(key, _cmp_sql(f"SELECT country, {m}_{YEARS[0]}, {m}_{YEARS[1]}, {m}_delta FROM cmp "
+                                f"ORDER BY {m}_delta DESC NULLS LAST, country LIMIT 10"),
+                  [f"{m}_{YEARS[0]}", f"{m}_{YEARS[1]}", f"{m}_delta"])
+        def q(spark, sf):
+            """Top-10 movers by delta (NULL deltas last)."""
+            return ops.top_movers(_cmp(spark, sf), m, YEARS, 10)
+    _mk3()
+
+
+@register("delta_bounds", _cmp_sql("""SELECT coalesce(min(renewable_share_pct_delta), -100.0) AS renewable_delta_min,
+  coalesce(max(renewable_share_pct_delta), 100.0) AS renewable_delta_max,
+  coalesce(min(avg_price_delta), -500.0) AS price_delta_min, coalesce(max(avg_price_delta), 500.0) AS price_delta_max FROM cmp"""),
+          ["renewable_delta_min", "renewable_delta_max", "price_delta_min", "price_delta_max"])
+def q_delta_bounds(spark, sf):
+    """Default slider bounds from the non-NULL deltas."""
+    return ops.delta_bounds(_cmp(spark, sf))
+
+
+REN_RANGE, PRICE_RANGE = (-40.0, 40.0), (-400.0, 400.0)
+_RANGE_WHERE = (f"avg_price_delta IS NOT NULL AND coalesce(renewable_share_pct_delta, 0.0) BETWEEN {REN_RANGE[0]} AND {REN_RANGE[1]} "
+                f"AND coalesce(avg_price_delta, 0.0) BETWEEN {PRICE_RANGE[0]} AND {PRICE_RANGE[1]}")
+
+
+@register("delta_range_filter", _cmp_sql(f"SELECT * FROM cmp WHERE {_RANGE_WHERE}"), _cmp_cols())
+def q_delta_range_filter(spark, sf):
+    """Slider filter (has price, both deltas in range, NULL read as 0)."""
+    return ops.delta_range_filter(_cmp(spark, sf), REN_RANGE, PRICE_RANGE, only_price=True)
+
+
+@register("delta_headline", _cmp_sql(f"""SELECT CAST(count(*) AS BIGINT) AS countries,
+  max(renewable_share_pct_delta) AS max_renewable_delta, max(avg_price_delta) AS max_price_delta,
+  min(avg_price_delta) AS min_price_delta FROM cmp WHERE {_RANGE_WHERE}"""),
+          ["max_renewable_delta", "max_price_delta", "min_price_delta"])
+def q_delta_headline(spark, sf):
+    """Headline figures of the filtered comparison."""
+    return ops.delta_headline(ops.delta_range_filter(_cmp(spark, sf), REN_RANGE, PRICE_RANGE))
+
+
+_TOT_B = f"total_generation_mwh_{YEARS[1]}"
+
+
+@register("transition_scatter", _cmp_sql(f"""SELECT country, renewable_share_pct_delta, avg_price_delta, {_TOT_B},
+  sqrt({_TOT_B}) / (SELECT max(sqrt({_TOT_B})) FROM cmp WHERE renewable_share_pct_delta IS NOT NULL
+     AND avg_price_delta IS NOT NULL AND {_TOT_B} IS NOT NULL) * 2500.0 AS bubble_size
+  FROM cmp WHERE renewable_share_pct_delta IS NOT NULL AND avg_price_delta IS NOT NULL AND {_TOT_B} IS NOT NULL"""),
+          ["renewable_share_pct_delta", "avg_price_delta", _TOT_B, "bubble_size"])
+def q_transition_scatter(spark, sf):
+    """Plot-ready rows with sqrt-scaled bubble size (max 2500)."""
+    return ops.transition_scatter(_cmp(spark, sf), YEARS[1])
+
+
+@register("drop_empty",
+          O.with_(ad.duck_ctes("kpi_years"), "SELECT period_start_utc, region, country, avg_price, "
+                  "renewable_share_pct, total_generation_mwh FROM kpi_years"),
+          ["avg_price", "renewable_share_pct", "total_generation_mwh"])
+def q_drop_empty(spark, sf):
+    """Drop all-NULL columns (one counting pass), then all-NULL rows."""
+    return ops.drop_empty(A(spark, sf, "kpi_years"))
+
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query (E1) on the sf0.001 tables."""
