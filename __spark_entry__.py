@@ -522,6 +522,328 @@ def q_drop_empty(spark, sf):
     """Drop all-NULL columns (one counting pass), then all-NULL rows."""
     return ops.drop_empty(A(spark, sf, "kpi_years"))
 
+# ---------------------------------------------------------------------------
+# Baseline grids (countries and ranges derived from the tables)
+# ---------------------------------------------------------------------------
+from gridmetrics.schema import (CN_MONTHLY_PROFILE, EU_HOURLY_PROFILE, READING_COLS,  # noqa: E402
+                                US_DAILY_PROFILE)
+
+M1_DOUBLES = ["value"]
+
+
+def _eu_bounds(spark, sf, cap_src="readings"):
+    r = A(spark, sf, cap_src)
+    rng = src.data_range(r, "ts_utc", "day")
+    countries = ops.eu_scope(ops.normalize_ts(r)).select("country").distinct()
+    return countries.select("country", rng.select("start").scalar().alias("start"),
+                            rng.select("end").scalar().alias("end"))
+
+
+def _years_bounds(spark, sf):
+    return src.data_range(A(spark, sf, "readings_years"), "ts_utc", "day")
+
+
+def _duck_eu_grid(cap=None):
+    lim = f" WHERE ts_utc < s + INTERVAL {cap} HOUR" if cap else ""
+    return [O.scope_cte("scoped", "readings"),
+            "rng AS (SELECT date_trunc('day', min(ts_utc)) AS s, date_trunc('day', max(ts_utc)) + INTERVAL 1 DAY AS e FROM readings)",
+            f"eg AS (SELECT country, ts_utc FROM (SELECT c.country, s, unnest(generate_series(s, e - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS ts_utc "
+            f"FROM (SELECT DISTINCT country FROM scoped) c CROSS JOIN rng){lim})",
+            O.profile_cte("eprof", EU_HOURLY_PROFILE)]
+
+
+_YRNG = ("yrng AS (SELECT date_trunc('day', min(ts_utc)) AS s, date_trunc('day', max(ts_utc)) + INTERVAL 1 DAY AS e "
+         "FROM readings_years)")
+_DAYS = ("dg AS (SELECT ts_utc FROM (SELECT s, unnest(generate_series(s, e - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS ts_utc "
+         "FROM yrng) WHERE ts_utc < s + INTERVAL 60 DAY)")
+_MONTHS = ("mg AS (SELECT ts_utc FROM (SELECT f, e, unnest(generate_series(f, e, INTERVAL 1 MONTH)) AS ts_utc FROM ("
+           "SELECT CASE WHEN date_trunc('month', s) = s THEN date_trunc('month', s) ELSE date_trunc('month', s) + INTERVAL 1 MONTH END AS f, e FROM yrng)) "
+           "WHERE ts_utc < e AND ts_utc < f + INTERVAL 24 MONTH)")
+_EU_BASE = O.baseline_select("eg", "eprof", "hour", "'EU'", "g.country", "entsoe")
+_US_BASE = O.baseline_select("dg", "uprof", "day", "'US'", "'US'", "eia")
+_CN_BASE = O.baseline_select("mg", "cprof", "month", "'CN'", "'CN'", "nbs_cn")
+
+
+@register("baseline_hourly", O.with_(ad.duck_ctes("readings") + _duck_eu_grid(), _EU_BASE), M1_DOUBLES)
+def q_baseline_hourly(spark, sf):
+    """Hourly EU profile per observed member country over the data's day range."""
+    return src.baseline_hourly(_eu_bounds(spark, sf))
+
+
+@register("baseline_hourly_capped", O.with_(ad.duck_ctes("readings") + _duck_eu_grid(48), _EU_BASE), M1_DOUBLES)
+def q_baseline_hourly_capped(spark, sf):
+    """The older hourly profile limited to the first 48 steps."""
+    return src.baseline_hourly(_eu_bounds(spark, sf), cap=48)
+
+
+@register("baseline_daily",
+          O.with_(ad.duck_ctes("readings_years") + [_YRNG, _DAYS, O.profile_cte("uprof", US_DAILY_PROFILE)], _US_BASE),
+          M1_DOUBLES)
+def q_baseline_daily(spark, sf):
+    """Daily US profile, first 60 days of the range."""
+    return src.baseline_daily(_years_bounds(spark, sf))
+
+
+@register("baseline_monthly",
+          O.with_(ad.duck_ctes("readings_years") + [_YRNG, _MONTHS, O.profile_cte("cprof", CN_MONTHLY_PROFILE)], _CN_BASE),
+          M1_DOUBLES)
+def q_baseline_monthly(spark, sf):
+    """S3: monthly CN profile, first 24 month starts on/after the range start."""
+    return src.baseline_monthly(_years_bounds(spark, sf))
+
+
+@register("multi_region_union",
+          O.with_(ad.duck_ctes("readings", "readings_years") + _duck_eu_grid()
+                  + [_YRNG, _DAYS, _MONTHS, O.profile_cte("uprof", US_DAILY_PROFILE),
+                     O.profile_cte("cprof", CN_MONTHLY_PROFILE)],
+                  f"{_EU_BASE} UNION ALL {_US_BASE} UNION ALL {_CN_BASE}"),
+          M1_DOUBLES)
+def q_multi_region_union(spark, sf):
+    """EU hourly + US daily + CN monthly canonical readings."""
+    yb = _years_bounds(spark, sf)
+    return src.multi_region_union(src.baseline_hourly(_eu_bounds(spark, sf)),
+                                  src.baseline_daily(yb), src.baseline_monthly(yb))
+
+
+# ---------------------------------------------------------------------------
+# Wide generation and price series
+# ---------------------------------------------------------------------------
+_FUELS = ["wind_onshore", "fossil_gas", "nuclear", "hydro_pumped_storage", "waste"]
+_GW_H = ("gwh AS (SELECT country, date_trunc('hour', ts) AS ts_utc, "
+         + ", ".join(f"sum({c}) AS {c}" for c in _FUELS) + " FROM gen_wide GROUP BY country, date_trunc('hour', ts))")
+
+
+@register("generation_wide_to_long",
+          O.with_(ad.duck_ctes("gen_wide") + [_GW_H, f"gwu AS (UNPIVOT gwh ON {', '.join(_FUELS)} INTO NAME fuel_type VALUE value)"],
+                  f"""SELECT ts_utc, 'hour' AS period, 'EU' AS region, country, 'generation' AS metric,
+  {O.fuel_case('fuel_type')} AS energy_source, value, 'MWh' AS unit, 'ok' AS quality_flag, 'entsoe' AS source_system
+  FROM gwu WHERE value IS NOT NULL AND ts_utc IS NOT NULL"""),
+          M1_DOUBLES)
+def q_generation_wide_to_long(spark, sf):
+    """Wide hourly generation -> canonical long rows (hourly sum, fuel buckets)."""
+    return src.generation_wide_to_long(A(spark, sf, "gen_wide"))
+
+
+@register("fuel_buckets",
+          O.with_(ad.duck_ctes("gen_wide") + [f"u AS (UNPIVOT (SELECT ts AS ts_utc, country, {', '.join(_FUELS)} FROM gen_wide) "
+                                              f"ON {', '.join(_FUELS)} INTO NAME fuel_type VALUE value)"],
+                  f"SELECT ts_utc, country, fuel_type, value, {O.fuel_case('fuel_type')} AS energy_source FROM u WHERE value IS NOT NULL"),
+          M1_DOUBLES)
+def q_fuel_buckets(spark, sf):
+    """Fuel-type name -> energy source (last matching rule wins)."""
+    return src.fuel_types(A(spark, sf, "gen_wide"))
+
+
+@register("flatten_columns",
+          O.with_(ad.duck_ctes("gen_wide"), 'SELECT ts, country, wind_onshore AS "Wind Onshore_Actual Aggregated", '
+                  'fossil_gas AS "Wind Onshore_Actual Consumption", nuclear AS "Nuclear_Actual Aggregated", '
+                  'waste AS "Nuclear" FROM gen_wide'),
+          ["Wind Onshore_Actual Aggregated", "Wind Onshore_Actual Consumption", "Nuclear_Actual Aggregated", "Nuclear"])
+def q_flatten_columns(spark, sf):
+    """P20: two-level column names flattened, blank levels skipped."""
+    g = A(spark, sf, "gen_wide")
+    nested = g.select("ts", "country",
+                      F.struct(F.col("wind_onshore").alias("Actual Aggregated"),
+                               F.col("fossil_gas").alias("Actual Consumption")).alias("Wind Onshore"),
+                      F.struct(F.col("nuclear").alias("Actual Aggregated"),
+                               F.col("waste").alias(" ")).alias("Nuclear"))
+    return src.flatten_columns(nested)
+
+
+@register("price_hourly",
+          O.with_(ad.duck_ctes("readings") + [O.scope_cte("scoped", "readings")], """SELECT ts_utc, 'hour' AS period, 'EU' AS region,
+  country, 'price' AS metric, 'all' AS energy_source, value, 'EUR/MWh' AS unit, 'ok' AS quality_flag, 'entsoe' AS source_system
+  FROM (SELECT country, date_trunc('hour', ts_utc) AS ts_utc, avg(value) AS value FROM scoped WHERE metric = 'price'
+        GROUP BY country, date_trunc('hour', ts_utc)) WHERE value IS NOT NULL"""),
+          M1_DOUBLES)
+def q_price_hourly(spark, sf):
+    """Price series -> hourly mean per country; empty hours vanish."""
+    prices = ops.eu_scope(ops.normalize_ts(A(spark, sf, "readings"))).where(F.col("metric") == "price")
+    return src.price_to_hourly(prices)
+
+
+# ---------------------------------------------------------------------------
+# Monthly files and pages
+# ---------------------------------------------------------------------------
+_ML = O.monthly_long_cte("ml", "monthly_raw", '"Date"', '"Area"', '" Variable"', '"Value"', '"Unit"')
+_MR_COLS = ["Date", "Area", " Variable", "Unit", "Value"]
+
+
+@register("monthly_to_long", O.with_(ad.duck_ctes("monthly_raw") + [_ML], "SELECT * FROM ml"), M1_DOUBLES)
+def q_monthly_to_long(spark, sf):
+    """S7 (long input): role detection, metric/source rules, lenient parsing."""
+    return src.monthly_to_long(A(spark, sf, "monthly_raw"))
+
+
+_WIDE_COLS = ", ".join(f'"{v}"' for v in ad.WIDE_VARIABLES)
+
+
+@register("monthly_wide_to_long",
+          O.with_(ad.duck_ctes("monthly_wide") + [f'mwu AS (UNPIVOT monthly_wide ON {_WIDE_COLS} INTO NAME variable VALUE value)',
+                                                  O.monthly_long_cte("mwl", "mwu", '"Date"', '"Area"', "variable", "value", "'unknown'")],
+                  "SELECT * FROM mwl"),
+          M1_DOUBLES)
+def q_monthly_wide_to_long(spark, sf):
+    """S7 (wide input): unpivot the variable columns, then the same rules."""
+    return src.monthly_to_long(A(spark, sf, "monthly_wide"))
+
+
+@register("monthly_raw_long",
+          O.with_(ad.duck_ctes("monthly_raw"), """SELECT * FROM (
+  SELECT TRY_CAST("Date" AS TIMESTAMP) AS ts_utc, 'month' AS period, 'GLOBAL' AS region, "Area" AS country,
+    lower(u.variable) AS metric, 'all' AS energy_source, TRY_CAST(u.value AS DOUBLE) AS value, 'unknown' AS unit,
+    'ok' AS quality_flag, 'ember' AS source_system
+  FROM (UNPIVOT monthly_raw ON " Variable", "Unit", "Value" INTO NAME variable VALUE value) u)
+  WHERE ts_utc IS NOT NULL AND value IS NOT NULL"""),
+          M1_DOUBLES)
+def q_monthly_raw_long(spark, sf):
+    """The older rule-free monthly shaping (verbatim variable as metric)."""
+    return src.monthly_raw_to_long(A(spark, sf, "monthly_raw"))
+
+
+@register("normalize_ts",
+          O.with_(ad.duck_ctes("monthly_raw"), 'SELECT TRY_CAST("Date" AS TIMESTAMP) AS "Date", "Area", " Variable", "Unit", "Value" '
+                  'FROM monthly_raw WHERE TRY_CAST("Date" AS TIMESTAMP) IS NOT NULL'))
+def q_normalize_ts(spark, sf):
+    """Parse a text time column as UTC and drop what does not parse."""
+    return ops.normalize_ts(A(spark, sf, "monthly_raw"), "Date")
+
+
+@register("rule_buckets",
+          O.with_(ad.duck_ctes("monthly_raw"), f"""SELECT *, {O.rule_case('lower(trim(" Variable"))', __import__('gridmetrics.schema', fromlist=['x']).METRIC_RULES, 'other')} AS metric,
+  {O.rule_case('lower(trim(" Variable"))', __import__('gridmetrics.schema', fromlist=['x']).SOURCE_RULES, 'all')} AS energy_source FROM monthly_raw"""))
+def q_rule_buckets(spark, sf):
+    """Variable text -> metric and energy-source buckets (first rule wins)."""
+    return src.rule_buckets(A(spark, sf, "monthly_raw"), " Variable")
+
+
+@register("eu_scope_export",
+          O.with_(ad.duck_ctes("monthly_raw") + [_ML], f"SELECT ts_utc, period, 'EU' AS region, country, metric, energy_source, "
+                  f"value, unit, quality_flag, source_system FROM ml WHERE country IN ({_EU_NAMES})"),
+          M1_DOUBLES)
+def q_eu_scope_export(spark, sf):
+    """Report scope keeps display names of members only, region EU."""
+    return ops.export_scope(src.monthly_to_long(A(spark, sf, "monthly_raw")))
+
+
+LINK_PATTERN = r'href="(/[^"]+)"'
+
+
+@register("page_data_links", """SELECT page_id, concat(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1), link) AS data_url
+FROM (SELECT page_id, url, nullif(regexp_extract(html, '(?i)href="(/[^"]+)"', 1), '') AS link FROM pages) WHERE link IS NOT NULL""")
+def q_page_data_links(spark, sf):
+    """First matching link per page, site-relative links made absolute."""
+    return src.page_data_links(ad.load_table(spark, sf, "pages"), LINK_PATTERN)
+
+
+# ---------------------------------------------------------------------------
+# Fallback, range selection, country aliases
+# ---------------------------------------------------------------------------
+RUN_START, RUN_END = "1996-03-01", "1996-03-02"
+
+
+@register("fallback_fill",
+          O.with_(ad.duck_ctes("readings", "readings_years")
+                  + [O.scope_cte("scoped", "readings"), O.scope_cte("scoped_y", "readings_years"),
+                     "req AS (SELECT DISTINCT country FROM scoped)",
+                     f"obs AS (SELECT * FROM scoped_y WHERE ts_utc >= TIMESTAMP '{RUN_START}' AND ts_utc < TIMESTAMP '{RUN_END}' "
+                     "AND country IN (SELECT country FROM req))",
+                     "miss AS (SELECT country FROM req WHERE country NOT IN (SELECT country FROM obs WHERE metric IN ('generation','price')))",
+                     f"eg AS (SELECT country, unnest(generate_series(TIMESTAMP '{RUN_START}', TIMESTAMP '{RUN_END}' - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS ts_utc FROM miss)",
+                     O.profile_cte("eprof", EU_HOURLY_PROFILE)],
+                  f"SELECT *, 'live' AS source_kind FROM obs UNION ALL SELECT *, 'stub' AS source_kind FROM ({_EU_BASE})"),
+          M1_DOUBLES)
+def q_fallback_fill(spark, sf):
+    """Requested countries (those in the events-based readings) without
+    generation or price rows in a one-day run window of the lineitem-based
+    feed get the hourly baseline."""
+    requested = ops.eu_scope(ops.normalize_ts(A(spark, sf, "readings"))).select("country")
+    observed = ops.eu_scope(ops.normalize_ts(A(spark, sf, "readings_years")))
+    return src.fallback_fill(observed, requested, RUN_START, RUN_END)
+
+
+@register("range_select",
+          O.with_(ad.duck_ctes("readings") + [O.scope_cte("scoped", "readings")],
+                  "SELECT * FROM scoped WHERE ts_utc >= TIMESTAMP '2024-01-08' AND ts_utc < TIMESTAMP '2024-01-15' "
+                  f"AND country IN ({_EU_NAMES})"),
+          M1_DOUBLES)
+def q_range_select(spark, sf):
+    """Half-open week range and a country list (the members)."""
+    scoped = ops.eu_scope(ops.normalize_ts(A(spark, sf, "readings")))
+    return ops.range_select(scoped, "2024-01-08", "2024-01-15", [n for _, n in EU27])
+
+
+@register("country_alias",
+          O.with_(ad.duck_ctes("country_lists"), """SELECT event_id, countries,
+  array_to_string(list_transform(list_filter(list_transform(string_split(countries, ','), lambda x: trim(x)), lambda x: x <> ''),
+    lambda x: CASE WHEN upper(x) = 'DE' THEN 'DE_LU' ELSE x END), ',') AS countries_alias,
+  array_to_string(list_transform(list_filter(list_transform(string_split(
+    array_to_string(list_transform(list_filter(list_transform(string_split(countries, ','), lambda x: trim(x)), lambda x: x <> ''),
+      lambda x: CASE WHEN upper(x) = 'DE' THEN 'DE_LU' ELSE x END), ','), ','), lambda x: trim(x)), lambda x: x <> ''),
+    lambda x: CASE WHEN upper(x) = 'DE_LU' THEN 'DE' ELSE x END), ',') AS countries_back
+  FROM country_lists"""))
+def q_country_alias(spark, sf):
+    """Comma lists trimmed, blanks dropped, DE -> DE_LU (and back)."""
+    df = ops.alias_countries(A(spark, sf, "country_lists"), "countries", "countries_alias")
+    return ops.alias_countries(df, "countries_alias", "countries_back", inverse=True)
+
+
+# ---------------------------------------------------------------------------
+# Round trips through files, global pipeline
+# ---------------------------------------------------------------------------
+
+@register("csv_roundtrip", O.with_(ad.duck_ctes("monthly_raw"), "SELECT * FROM monthly_raw"))
+def q_csv_roundtrip(spark, sf):
+    """CSV sink then all-text CSV scan (header and whitespace verbatim)."""
+    path = scratch_path(spark, "csv_roundtrip")
+    src.write_csv(A(spark, sf, "monthly_raw"), path)
+    return src.read_csv(spark, path)
+
+
+@register("raw_cache_roundtrip", O.with_(ad.duck_ctes("readings") + [O.scope_cte("scoped", "readings")],
+                                         "SELECT * FROM scoped"), M1_DOUBLES)
+def q_raw_cache_roundtrip(spark, sf):
+    """Parameter-keyed parquet cache write and read-back."""
+    root = scratch_path(spark, "raw_cache")
+    path = src.raw_path(root, "entsoe", "eu", {"mode": "eu", "agg": "day", "sf": sf})
+    src.write_raw(ops.eu_scope(ops.normalize_ts(A(spark, sf, "readings"))), path)
+    return src.read_raw(spark, path)
+
+
+@register("latest_cached", O.with_(ad.duck_ctes("monthly_raw") + [_ML], "SELECT * FROM ml"), M1_DOUBLES)
+def q_latest_cached(spark, sf):
+    """Of two cache entries, read the most recently written one."""
+    root = scratch_path(spark, "raw_cache")
+    src.write_raw(ops.eu_scope(ops.normalize_ts(A(spark, sf, "readings"))),
+                  src.raw_path(root, "entsoe", "eu", {"mode": "eu"}))
+    src.write_raw(src.monthly_to_long(A(spark, sf, "monthly_raw")),
+                  src.raw_path(root, "ember", "monthly", {"mode": "global"}))
+    return src.read_latest_cached(spark, root)
+
+
+@register("kpi_history_export", O.with_(_chain_day(), f"SELECT {KPI_SELECT} FROM kpi WHERE country IN ({_EU_NAMES})"),
+          KPI_DOUBLES)
+def q_kpi_history_export(spark, sf):
+    """History CSV (report scope, overwrite) read back with the KPI schema."""
+    path = scratch_path(spark, "kpi_history")
+    src.write_kpi_history(_kpi_day(spark, sf), path)
+    return src.read_kpi_history(spark, path)
+
+
+def _global_oracle():
+    ctes = ad.duck_ctes("monthly_raw") + [_ML, O.scope_cte("gscoped", "ml")]
+    ctes += O.bucket_ctes("gscoped", "month")
+    ctes.append(f"bucketed AS ({O.bucketed_select('cov')})")
+    ctes.append(O.dq_cte("cov"))
+    ctes += O.kpi_ctes("bucketed", "month", "dq")
+    return O.with_(ctes, f"SELECT {KPI_SELECT} FROM kpi")
+
+
+@register("global_pipeline", _global_oracle(), KPI_DOUBLES)
+def q_global_pipeline(spark, sf):
+    """Monthly global table -> long -> EU scope -> month buckets -> KPI with DQ."""
+    return global_pipeline(A(spark, sf, "monthly_raw")).kpi
+
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query (E1) on the sf0.001 tables."""

@@ -13,7 +13,7 @@ def nan_to_null(c: Column) -> Column:
 
 def to_double(c: Column) -> Column:
     """Lenient numeric parse: bad text -> NULL (ANSI mode would raise)."""
-    return nan_to_null(F.try_cast(c.cast("string"), "double"))
+    return nan_to_null(c.cast("string").try_cast("double"))
 
 
 def safe_div(num: Column, den: Column) -> Column:

@@ -70,3 +70,16 @@ def to_utc_ts(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.coalesce(F.try_to_timestamp(c.cast("string")),
                       F.try_to_timestamp(c.cast("string"), F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")))
+
+
+def ts_of(df, name: str) -> Column:
+    """Timestamp view of column ``name`` of ``df``: timestamps pass through,
+    zone-less timestamps and dates are read as UTC, text is parsed leniently."""
+    from pyspark.sql import types as T
+    dtype = df.schema[name].dataType
+    c = F.col(f"`{name}`")
+    if isinstance(dtype, T.TimestampType):
+        return c
+    if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
+        return c.cast("timestamp")
+    return to_utc_ts(c)

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import round_half_even, safe_div, to_utc_ts
+from ..functions import round_half_even, safe_div, ts_of
 from ..schema import PLACEHOLDER_PRICE_SHARE, PLACEHOLDER_TOTAL_MWH, require_columns
 
 COMPARE_METRICS = {
@@ -29,7 +29,7 @@ def yearly_kpis(daily: DataFrame, country_col: str = "country_iso2", date_col: s
     rounded half-even to 2 decimals."""
     require_columns(daily, {country_col, date_col, value_col}, "daily df")
     d = daily.select(F.col(country_col).alias("country_iso2"),
-                     to_utc_ts(F.col(date_col)).alias("_d"), F.col(value_col).alias("_v"))
+                     ts_of(daily, date_col).alias("_d"), F.col(value_col).alias("_v"))
     d = d.where(F.col("_d").isNotNull() & F.col("country_iso2").isNotNull())
     return (d.groupBy("country_iso2", F.year("_d").cast("long").alias("year"))
              .agg(round_half_even(F.avg("_v"), 2).alias("avg_price"),

@@ -126,3 +126,8 @@ def duck_ctes(*names: str) -> list[str]:
             body = body.format(**{t: t for t in tables})
         out.append(f"{n} AS ({body.replace('`', chr(34))})")
     return out
+
+
+BODIES["country_lists"] = ("""
+SELECT e.event_id, concat(g.iso2, ', ', CASE WHEN e.event_id % 4 = 0 THEN 'de' ELSE 'DE' END, ' ,, ', g.name, ' ,') AS countries
+FROM {events} e JOIN geo g ON e.user_id % 30 = g.idx""", ["events"])

@@ -5,7 +5,7 @@ from .fallback import fallback_fill, run_kind
 from .grid import (baseline_daily, baseline_hourly, baseline_monthly, bounds_frame, calendar_grid,
                    data_range, multi_region_union, profile_rows)
 from .ingest import (flatten_columns, fuel_types, generation_wide_to_long, monthly_raw_to_long,
-                     monthly_to_long, price_to_hourly)
+                     monthly_to_long, price_to_hourly, rule_buckets)
 from .pages import page_data_links
 from .sinks import (dq_latest_document, kpi_latest_document, read_csv, read_kpi_history,
                     write_csv, write_json_document, write_kpi_history)

@@ -124,3 +124,42 @@ def eu_chain(src_adapter: str, level: str, thr: float = 98.0, with_dq: bool = Tr
     ctes.append(dq_cte("cov"))
     ctes += kpi_ctes("bucketed", level, "dq" if with_dq else None)
     return ctes
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def rule_case(expr: str, rules, default: str) -> str:
+    whens = " ".join(
+        "WHEN " + " OR ".join(f"contains({expr}, {_q(w.lower())})" for w in words) + f" THEN '{b}'"
+        for b, words in rules)
+    return f"CASE {whens} ELSE '{default}' END"
+
+
+def fuel_case(expr: str) -> str:
+    from gridmetrics.schema import FUEL_RULES
+    whens = " ".join(f"WHEN regexp_matches(lower({expr}), {_q(p)}) THEN '{b}'" for b, p in reversed(FUEL_RULES))
+    return f"CASE {whens} ELSE 'all' END"
+
+
+def monthly_long_cte(name: str, src: str, time_col: str, geo_col: str, var_expr: str, value_col: str,
+                     unit_expr: str) -> str:
+    from gridmetrics.schema import METRIC_RULES, SOURCE_RULES
+    v = f"lower(trim({var_expr}))"
+    return f"""{name} AS (SELECT * FROM (SELECT TRY_CAST({time_col} AS TIMESTAMP) AS ts_utc, 'month' AS period,
+  'GLOBAL' AS region, CAST({geo_col} AS VARCHAR) AS country, {rule_case(v, METRIC_RULES, 'other')} AS metric,
+  {rule_case(v, SOURCE_RULES, 'all')} AS energy_source, TRY_CAST({value_col} AS DOUBLE) AS value,
+  {unit_expr} AS unit, 'ok' AS quality_flag, 'ember' AS source_system FROM {src})
+  WHERE ts_utc IS NOT NULL AND value IS NOT NULL AND metric IN ('generation', 'price'))"""
+
+
+def profile_cte(name: str, profile) -> str:
+    vals = ", ".join(f"({_q(m)}, {_q(s)}, {float(v)!r}, {_q(u)}, {_q(q)})" for m, s, v, u, q in profile)
+    return f"{name}(metric, energy_source, value, unit, quality_flag) AS (VALUES {vals})"
+
+
+def baseline_select(grid: str, prof: str, period: str, region: str, country: str, system: str) -> str:
+    return (f"SELECT g.ts_utc, '{period}' AS period, {region} AS region, {country} AS country, p.metric, "
+            f"p.energy_source, p.value, p.unit, p.quality_flag, '{system}' AS source_system "
+            f"FROM {grid} g CROSS JOIN {prof} p")
