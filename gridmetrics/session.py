@@ -32,6 +32,7 @@ def build_session(master: str | None = None, app: str = "gridmetrics",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     if shuffle_partitions:
@@ -60,6 +61,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         path = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if not path:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster "
+                               f"(master={master!r}); machine-local folders do not survive executor loss")
         path = tempfile.mkdtemp(prefix="gridmetrics-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     spark.sparkContext.setCheckpointDir(path)
