@@ -12,9 +12,15 @@ def col_(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Every code point that counts as whitespace (tabs, line breaks, no-break and
+# typographic spaces, ...), derived by rule rather than listed by hand.
+WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+
+
 def trim_ws(c: Column | str) -> Column:
-    """Strip leading/trailing whitespace of any kind (not only blanks)."""
-    return F.regexp_replace(col_(c), r"(?U)^\s+|\s+$", "")
+    """Strip leading/trailing whitespace of any kind (not only blanks).
+    A character-set trim: no regex evaluation per row."""
+    return F.btrim(col_(c), F.lit(WHITESPACE))
 
 
 def norm_text(c: Column | str) -> Column:
