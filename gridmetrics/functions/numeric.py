@@ -21,8 +21,9 @@ def safe_div(num: Column, den: Column) -> Column:
 
 
 def round_half_even(c: Column, scale: int = 2) -> Column:
-    """Half-even rounding on the binary value (scale, rint, unscale), so a
-    value such as 2.675 (stored just below the tie) rounds down, as numeric
-    libraries do; ``bround`` would round its decimal text instead."""
+    """Half-even rounding the way numeric libraries do it: scale by 10^s,
+    ``rint`` (ties to even) on the binary product, unscale. ``bround`` would
+    round the shortest decimal text of the value instead, which differs on
+    values whose scaled product is not what their text suggests."""
     f = float(10 ** scale)
     return F.rint(c * F.lit(f)) / F.lit(f)

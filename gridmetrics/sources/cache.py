@@ -20,13 +20,22 @@ def raw_path(root: str, source: str, kind: str, params: dict[str, Any], ext: str
     return f"{root.rstrip('/')}/{source}/{kind}/{cache_key(params)}.{ext}"
 
 
-def write_raw(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").parquet(path)
+def write_raw(df: DataFrame, path: str, partition_by_month: bool = False) -> str:
+    """Overwrite a cache entry. With ``partition_by_month`` canonical readings
+    are laid out by UTC month (``ts_month=YYYY-MM``), so later time-range
+    scans prune whole directories instead of reading every file."""
+    if partition_by_month:
+        (df.withColumn("ts_month", F.date_format("ts_utc", "yyyy-MM"))
+           .repartition("ts_month")
+           .write.mode("overwrite").partitionBy("ts_month").parquet(path))
+    else:
+        df.write.mode("overwrite").parquet(path)
     return path
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    df = spark.read.parquet(path)
+    return df.drop("ts_month") if "ts_month" in df.columns else df
 
 
 def latest_cached_path(spark: SparkSession, root: str) -> str | None:
