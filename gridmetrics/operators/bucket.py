@@ -32,9 +32,10 @@ def bucket_values(readings: DataFrame, level: str) -> DataFrame:
             .dropna(subset=["ts_utc", *SERIES_COLS]))
     mean_metrics = [m for m, a in METRIC_AGG.items() if a == "mean"]
     agg = rows.groupBy(*SERIES_COLS, bucket_start("ts_utc", lv).alias("ts_utc")).agg(
-        F.sum("value").alias("_sum"), F.avg("value").alias("_avg"),
-        F.count("value").alias("actual_points"))
-    value = (F.when(F.col("metric").isin(mean_metrics), F.col("_avg"))
+        F.sum("value").alias("_sum"), F.count("value").alias("actual_points"))
+    # mean = sum / count (exactly what avg computes), so one sum buffer serves both
+    mean = F.col("_sum") / F.nullif(F.col("actual_points").cast("double"), F.lit(0.0))
+    value = (F.when(F.col("metric").isin(mean_metrics), mean)
               .otherwise(F.coalesce(F.col("_sum"), F.lit(0.0))))
     return agg.select(*SERIES_COLS, "ts_utc", value.alias("value"), "actual_points")
 
