@@ -23,7 +23,7 @@ import oracles as O  # noqa: E402
 from gridmetrics import operators as ops  # noqa: E402
 from gridmetrics import sources as src  # noqa: E402
 from gridmetrics.plans import adapters as ad  # noqa: E402
-from gridmetrics.plans.pipeline import eu_pipeline, global_pipeline  # noqa: E402
+from gridmetrics.plans.pipeline import eu_pipeline, global_pipeline, materialize  # noqa: E402
 from gridmetrics.schema import EU27, KPI_COLS  # noqa: E402
 from gridmetrics.session import ensure_utc, scratch_path  # noqa: E402
 
@@ -179,8 +179,10 @@ def q_kpi_compute(spark, sf):
 @register("kpi_with_dq", O.with_(O.eu_chain("readings", "day"), f"SELECT {KPI_SELECT} FROM kpi"),
           KPI_DOUBLES)
 def q_kpi_with_dq(spark, sf):
-    """KPI left-joined with the DQ roll-up of the same period."""
-    cov = _cov(spark, sf, "day")
+    """KPI left-joined with the DQ roll-up of the same period. The bucket
+    coverage feeds both sides, so it is written once to the shared folder and
+    read back (one raw scan instead of two)."""
+    cov = materialize(spark, _cov(spark, sf, "day"), "coverage")
     return ops.compute_kpis(ops.bucketed_view(cov), "day", dq=ops.dq_rollup(cov))
 
 
@@ -277,8 +279,9 @@ def q_dq_summary(spark, sf):
           O.with_(_chain_day(), f"SELECT {KPI_SELECT} FROM kpi WHERE period_start_utc = (SELECT max(period_start_utc) FROM kpi)"),
           KPI_DOUBLES)
 def q_latest_snapshot(spark, sf):
-    """Every KPI row at the overall latest bucket."""
-    return ops.latest_snapshot(_kpi_day(spark, sf))
+    """Every KPI row at the overall latest bucket. The KPI table is read
+    twice (max, then rows), so it is materialised once in the shared folder."""
+    return ops.latest_snapshot(materialize(spark, _kpi_day(spark, sf), "kpi"))
 
 
 @register("regional_comparison",

@@ -58,10 +58,12 @@ def dq_summary(dq: DataFrame, period: str, threshold: float = REPORT_COVERAGE_PC
 
 
 def latest_snapshot(df: DataFrame, ts_col: str = "period_start_utc") -> DataFrame:
-    """All rows at the overall latest timestamp (scalar subquery, no window
-    over the whole table)."""
-    mx = df.select(F.max(ts_col)).scalar()
-    return df.where(F.col(ts_col) == mx)
+    """All rows at the overall latest timestamp: an equi-join with the
+    one-row global maximum (exactly one row, so broadcasting it is safe), in
+    the same plan as the input so the input's shuffles are computed once and
+    reused; no window over the whole table."""
+    mx = df.agg(F.max(ts_col).alias("_latest_ts"))
+    return df.join(F.broadcast(mx), F.col(ts_col) == F.col("_latest_ts"), "inner").drop("_latest_ts")
 
 
 def regional_comparison(kpi: DataFrame,
@@ -147,7 +149,9 @@ def table_profile(df: DataFrame, columns: Sequence[str] | None = None, sample_si
                 .where(F.col("_rn") <= sample_size)
                 .groupBy("column_name")
                 .agg(F.array_join(F.array_sort(F.collect_list("value")), "|").alias("sample_values")))
-    return stats.join(sample, "column_name", "left")
+    # one sample row per profiled column (at most ``sample_size`` values each):
+    # bounded by the schema, so it is broadcast instead of shuffled
+    return stats.join(F.broadcast(sample), "column_name", "left")
 
 
 # ---- year-comparison dashboard data -------------------------------------
