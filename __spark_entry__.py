@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
-import oracles as O  # noqa: E402
+import entry_oracles as O  # noqa: E402
 from gridmetrics import operators as ops  # noqa: E402
 from gridmetrics import sources as src  # noqa: E402
 from gridmetrics.plans import adapters as ad  # noqa: E402

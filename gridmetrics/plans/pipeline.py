@@ -77,19 +77,17 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def run_eu(spark: SparkSession, readings: DataFrame, out_dir: str, level: str | None = None,
-           requested: DataFrame | None = None, start=None, end=None,
-           params: dict | None = None) -> dict[str, str]:
-    """Write the raw cache, history CSV and the two latest-documents."""
-    res = eu_pipeline(readings, level, requested=requested, start=start, end=end)
-    out = out_dir.rstrip("/")
-    cache = raw_path(f"{out}/raw", "entsoe", "eu", dict(params or {}, agg=res.level))
+def _write_reports(spark: SparkSession, res: PipelineResult, out: str, source: str, kind: str,
+                   params: dict) -> dict[str, str]:
+    cache = raw_path(f"{out}/raw", source, kind, dict(params, agg=res.level))
     write_raw(res.raw, cache)
     cov = materialize(spark, res.coverage, "coverage")
     kpi = compute_kpis_with_quality(cov, res.level)
     dq = dq_rollup(cov)
     return {
         "raw_cache": cache,
+        "raw_source": source,
+        "raw_kind": kind,
         "kpi_history_csv": write_kpi_history(kpi, f"{out}/reports/kpi_history"),
         "kpi_latest_json": write_json_document(kpi_latest_document(kpi, res.level),
                                                f"{out}/reports/kpi_latest"),
@@ -98,6 +96,38 @@ def run_eu(spark: SparkSession, readings: DataFrame, out_dir: str, level: str |
     }
 
 
+def run_eu(spark: SparkSession, readings: DataFrame, out_dir: str, level: str | None = None,
+           requested: DataFrame | None = None, start=None, end=None,
+           params: dict | None = None) -> dict[str, str]:
+    """EU run: raw cache, history CSV and the two latest-documents."""
+    res = eu_pipeline(readings, level, requested=requested, start=start, end=end)
+    kind = "eu_live"
+    if requested is not None:
+        from ..sources.fallback import fallback_fill as _ff, run_kind
+        raw = eu_scope(normalize_ts(readings.select(*READING_COLS)))
+        kind = run_kind(_ff(raw, _requested_names(requested), start, end)).first()["raw_kind"]
+    return _write_reports(spark, res, out_dir.rstrip("/"), "entsoe", kind, dict(params or {}, mode="eu"))
+
+
+def run_global(spark: SparkSession, monthly: DataFrame, out_dir: str, level: str | None = None,
+               params: dict | None = None) -> dict[str, str]:
+    """Global run over a landed monthly table: same reports, month level by default."""
+    res = global_pipeline(monthly, level)
+    return _write_reports(spark, res, out_dir.rstrip("/"), "ember", "monthly_kpi",
+                          dict(params or {}, mode="global"))
+
+
+def run_pipeline(spark: SparkSession, mode: str, data: DataFrame, out_dir: str,
+                 level: str | None = None, **kw) -> dict[str, str]:
+    """Entry point for both modes (``eu``: canonical readings, ``global``: a
+    monthly table); the level is resolved per mode (default day / month)."""
+    if mode == "eu":
+        return run_eu(spark, data, out_dir, level, **kw)
+    if mode == "global":
+        return run_global(spark, data, out_dir, level, params=kw.get("params"))
+    raise ValueError(f"Unknown mode: {mode}")
+
+
 def compare_years(kpi_history: DataFrame, years: Sequence[int] = (2015, 2024),
                   window_days: int | None = 7) -> DataFrame:
     """Year comparison over a KPI history (first ``window_days`` of each year)."""

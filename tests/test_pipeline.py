@@ -27,7 +27,9 @@ def test_run_eu_writes_reports(spark):
     req = spark.createDataFrame([("DE",), ("AT",), ("FR",)], "country string")
     out = run_eu(spark, raw.limit(0), scratch_path(spark, "run"), "day", requested=req,
                  start="2026-01-01", end="2026-01-02", params={"countries": ["DE", "AT", "FR"]})
-    assert set(out) == {"raw_cache", "kpi_history_csv", "kpi_latest_json", "dq_latest_json"}
+    assert set(out) == {"raw_cache", "raw_source", "raw_kind", "kpi_history_csv", "kpi_latest_json",
+                        "dq_latest_json"}
+    assert out["raw_kind"] == "eu_stub"
     hist = src.read_kpi_history(spark, out["kpi_history_csv"])
     assert sorted(r["country"] for r in hist.collect()) == ["Austria", "France", "Germany"]
     assert os.path.isdir(out["kpi_latest_json"])
@@ -43,3 +45,19 @@ def test_level_resolution():
 def test_required_columns(spark):
     with pytest.raises(ValueError):
         ops.yearly_kpis(spark.createDataFrame([("DE",)], "country_iso2 string"))
+
+
+def test_run_global(spark):
+    from gridmetrics.plans.pipeline import run_pipeline
+    monthly = spark.createDataFrame([
+        ("2024-01-01", "Germany", "Wind generation", "TWh", "10"),
+        ("2024-01-01", "Norway", "Wind generation", "TWh", "10"),
+        ("2024-03-01", "Germany", "Day-ahead electricity price", "EUR/MWh", "80.5"),
+    ], "Date string, Area string, Variable string, Unit string, Value string")
+    out = run_pipeline(spark, "global", monthly, scratch_path(spark, "grun"))
+    hist = {(r["period_start_utc"].month, r["country"]): r for r in src.read_kpi_history(spark, out["kpi_history_csv"]).collect()}
+    # gap filling is per series: the generation and price series have one bucket each
+    assert set(hist) == {(1, "Germany"), (3, "Germany")}
+    assert hist[(1, "Germany")]["renewable_mwh"] == 10.0 and hist[(3, "Germany")]["avg_price"] == 80.5
+    assert hist[(1, "Germany")]["avg_price"] is None and hist[(1, "Germany")]["period"] == "month"
+    assert hist[(1, "Germany")]["dq_issue_count"] == 1      # one monthly point vs 744 expected
