@@ -83,3 +83,42 @@ def ts_of(df, name: str) -> Column:
     if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
         return c.cast("timestamp")
     return to_utc_ts(c)
+
+
+STEP_MICROS = {"hour": 3_600_000_000, "day": 86_400_000_000, "week": 7 * 86_400_000_000}
+
+
+def _month_index(ts: Column) -> Column:
+    return F.year(ts) * 12 + F.month(ts)
+
+
+def steps_between(start: Column, end: Column, level: str) -> Column:
+    """Number of grid points ``start + k*step`` (k >= 0) that lie before ``end``
+    (0 when ``end <= start``). Month grids assume ``start`` is a month start."""
+    lv = check_level(level)
+    if lv == "month":
+        n = (_month_index(end) - _month_index(start)
+             + F.when(end > F.date_trunc("month", end), 1).otherwise(0))
+        return F.greatest(n, F.lit(0)).cast("long")
+    us = STEP_MICROS[lv]
+    span = F.unix_micros(end) - F.unix_micros(start)
+    return F.when(span > 0, F.floor((span + F.lit(us - 1)) / F.lit(us))).otherwise(0).cast("long")
+
+
+def nth_step(start: Column, i: Column, level: str) -> Column:
+    """``start`` advanced by ``i`` steps (exact microsecond / calendar-month arithmetic)."""
+    lv = check_level(level)
+    if lv == "month":
+        return F.add_months(F.to_date(start), i.cast("int")).cast("timestamp")
+    return F.timestamp_micros(F.unix_micros(start) + i * F.lit(STEP_MICROS[lv]))
+
+
+def chunked_range(n: Column, chunk: int) -> tuple[Column, Column, Column]:
+    """Generator pieces for ``0 .. n-1`` in chunks of at most ``chunk``: the
+    outer ``explode`` yields chunk ids; the inner sequence for chunk ``c`` is
+    ``lo(c) .. hi(c)``, so no single array exceeds ``chunk`` elements."""
+    ids = F.when(n > 0, F.sequence(F.lit(0).cast("long"), F.ceil(n / F.lit(chunk)) - 1)) \
+           .otherwise(F.array().cast("array<bigint>"))
+    lo = lambda c: c * F.lit(chunk)
+    hi = lambda c: F.least(c * F.lit(chunk) + F.lit(chunk), n) - 1
+    return ids, lo, hi

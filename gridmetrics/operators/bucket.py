@@ -12,7 +12,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import bucket_start, check_level, expected_points, step
+from ..functions import bucket_start, check_level, expected_points
+from ..functions.time import chunked_range, nth_step, steps_between
+
+GAP_CHUNK = 4096   # longest array any single gap row materialises
 from ..schema import METRIC_AGG, MIN_COVERAGE_PCT, SERIES_COLS
 from .scope import eu_scope, normalize_ts
 
@@ -47,9 +50,15 @@ def fill_interior_gaps(bucketed: DataFrame, level: str) -> DataFrame:
     mean_metrics = [m for m, a in METRIC_AGG.items() if a == "mean"]
     w = Window.partitionBy(*SERIES_COLS).orderBy("ts_utc")
     nxt = bucketed.withColumn("_next", F.lead("ts_utc").over(w))
-    last = F.coalesce(F.col("_next") - step(lv), F.col("ts_utc"))
-    g = nxt.select(*SERIES_COLS, "ts_utc", "value", "actual_points",
-                   F.posexplode(F.sequence(F.col("ts_utc"), last, step(lv))).alias("_pos", "_b"))
+    # buckets from this one up to (not including) the next: 1 + the gap length
+    n = (F.when(F.col("_next").isNull(), F.lit(1).cast("long"))
+          .otherwise(steps_between(F.col("ts_utc"), F.col("_next"), lv)))
+    ids, lo, hi = chunked_range(F.col("_n"), GAP_CHUNK)
+    keep = [*SERIES_COLS, "ts_utc", "value", "actual_points"]
+    g = (nxt.select(*keep, n.alias("_n"))
+            .select(*keep, "_n", F.explode(ids).alias("_c"))
+            .select(*keep, F.explode(F.sequence(lo(F.col("_c")), hi(F.col("_c")))).alias("_pos"))
+            .withColumn("_b", nth_step(F.col("ts_utc"), F.col("_pos"), lv)))
     filled = F.col("_pos") > 0
     value = (F.when(~filled, F.col("value"))
               .when(F.col("metric").isin(mean_metrics), F.lit(None).cast("double"))

@@ -15,16 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import check_level
+from ..functions.time import chunked_range, nth_step, steps_between
 from ..schema import (CN_MONTHLY_CAP, CN_MONTHLY_PROFILE, EU_HOURLY_PROFILE, READING_COLS,
                       US_DAILY_CAP, US_DAILY_PROFILE)
 
-_STEP_MICROS = {"hour": 3_600_000_000, "day": 86_400_000_000, "week": 7 * 86_400_000_000}
-
-
-def _month_index(ts: Column) -> Column:
-    return F.year(ts) * 12 + F.month(ts)
-
-
 def _grid_first_and_count(start: Column, end: Column, level: str):
     """First grid point and number of points in ``[start, end)``.
 
@@ -33,19 +27,8 @@ def _grid_first_and_count(start: Column, end: Column, level: str):
     if level == "month":
         m0 = F.date_trunc("month", start)
         first = F.when(m0 == start, m0).otherwise(F.add_months(F.to_date(m0), 1).cast("timestamp"))
-        n = (_month_index(end) - _month_index(first)
-             + F.when(end > F.date_trunc("month", end), 1).otherwise(0))
-        return first, n.cast("long")
-    us = _STEP_MICROS[level]
-    span = F.unix_micros(end) - F.unix_micros(start)
-    n = F.when(span > 0, F.floor((span + F.lit(us - 1)) / F.lit(us))).otherwise(0)
-    return start, n.cast("long")
-
-
-def _point(first: Column, i: Column, level: str) -> Column:
-    if level == "month":
-        return F.add_months(F.to_date(first), i.cast("int")).cast("timestamp")
-    return F.timestamp_micros(F.unix_micros(first) + i * F.lit(_STEP_MICROS[level]))
+        return first, steps_between(first, end, level)
+    return start, steps_between(start, end, level)
 
 
 def calendar_grid(bounds: DataFrame, level: str, start_col: str = "start", end_col: str = "end",
@@ -60,16 +43,12 @@ def calendar_grid(bounds: DataFrame, level: str, start_col: str = "start", end_c
     if cap is not None:
         n = F.least(n, F.lit(int(cap)).cast("long"))
     b = bounds.select(*keys, first.alias("_first"), n.alias("_n"))
-    n_chunks = F.ceil(F.col("_n") / F.lit(chunk_steps))
-    chunks = b.select(*keys, "_first", "_n",
-                      F.explode(F.when(F.col("_n") > 0, F.sequence(F.lit(0).cast("long"), n_chunks - 1))
-                                 .otherwise(F.array().cast("array<bigint>"))).alias("_chunk"))
+    ids, lo, hi = chunked_range(F.col("_n"), chunk_steps)
+    chunks = b.select(*keys, "_first", "_n", F.explode(ids).alias("_chunk"))
     parts = partitions or bounds.sparkSession.sparkContext.defaultParallelism
     chunks = chunks.repartition(int(parts), *keys, "_chunk")
-    lo = F.col("_chunk") * F.lit(chunk_steps)
-    hi = F.least(lo + F.lit(chunk_steps), F.col("_n")) - 1
-    idx = chunks.select(*keys, "_first", F.explode(F.sequence(lo, hi)).alias("_i"))
-    return idx.select(*keys, _point(F.col("_first"), F.col("_i"), lv).alias("ts_utc"))
+    idx = chunks.select(*keys, "_first", F.explode(F.sequence(lo(F.col("_chunk")), hi(F.col("_chunk")))).alias("_i"))
+    return idx.select(*keys, nth_step(F.col("_first"), F.col("_i"), lv).alias("ts_utc"))
 
 
 def profile_rows(grid: DataFrame, profile: Sequence[tuple], *, period: str, region: Column | str,

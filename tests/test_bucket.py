@@ -84,3 +84,14 @@ def test_hour_and_month_levels(spark):
     assert (h["value"], h["expected_points"], h["coverage_pct"]) == (5.0, 1, 200.0)
     m = ops.bucket_coverage(df, "month").first()
     assert m["ts_utc"] == dt.datetime(2024, 2, 1) and m["expected_points"] == 696
+
+
+def test_long_gap_is_filled_in_bounded_chunks(spark):
+    from gridmetrics.operators.bucket import GAP_CHUNK
+    df = readings_rows(spark, [("2020-01-01T00:00:00Z", "DE", "load", "all", 1.0, "MWh"),
+                               ("2021-03-01T00:00:00Z", "DE", "load", "all", 2.0, "MWh")])
+    cov = ops.bucket_coverage(df, "hour")
+    hours = int((dt.datetime(2021, 3, 1) - dt.datetime(2020, 1, 1)).total_seconds() // 3600)
+    assert hours > GAP_CHUNK
+    agg = cov.agg(F.count("*"), F.sum("value"), F.sum("actual_points"), F.countDistinct("ts_utc")).first()
+    assert tuple(agg) == (hours + 1, 3.0, 2, hours + 1)
