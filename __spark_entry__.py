@@ -24,7 +24,8 @@ from gridmetrics import operators as ops  # noqa: E402
 from gridmetrics import sources as src  # noqa: E402
 from gridmetrics.plans import adapters as ad  # noqa: E402
 from gridmetrics.plans.pipeline import eu_pipeline, global_pipeline, materialize  # noqa: E402
-from gridmetrics.schema import EU27, KPI_COLS  # noqa: E402
+from gridmetrics.schema import (CN_MONTHLY_PROFILE, EU27, EU_HOURLY_PROFILE, KPI_COLS,  # noqa: E402
+                                METRIC_RULES, SOURCE_RULES, US_DAILY_PROFILE)
 from gridmetrics.session import ensure_utc, scratch_path  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -528,8 +529,6 @@ def q_drop_empty(spark, sf):
 # ---------------------------------------------------------------------------
 # Baseline grids (countries and ranges derived from the tables)
 # ---------------------------------------------------------------------------
-from gridmetrics.schema import (CN_MONTHLY_PROFILE, EU_HOURLY_PROFILE, READING_COLS,  # noqa: E402
-                                US_DAILY_PROFILE)
 
 M1_DOUBLES = ["value"]
 
@@ -713,8 +712,8 @@ def q_normalize_ts(spark, sf):
 
 
 @register("rule_buckets",
-          O.with_(ad.duck_ctes("monthly_raw"), f"""SELECT *, {O.rule_case('lower(trim(" Variable"))', __import__('gridmetrics.schema', fromlist=['x']).METRIC_RULES, 'other')} AS metric,
-  {O.rule_case('lower(trim(" Variable"))', __import__('gridmetrics.schema', fromlist=['x']).SOURCE_RULES, 'all')} AS energy_source FROM monthly_raw"""))
+          O.with_(ad.duck_ctes("monthly_raw"), f"""SELECT *, {O.rule_case('lower(trim(" Variable"))', METRIC_RULES, 'other')} AS metric,
+  {O.rule_case('lower(trim(" Variable"))', SOURCE_RULES, 'all')} AS energy_source FROM monthly_raw"""))
 def q_rule_buckets(spark, sf):
     """Variable text -> metric and energy-source buckets (first rule wins)."""
     return src.rule_buckets(A(spark, sf, "monthly_raw"), " Variable")

@@ -104,6 +104,11 @@ def price_vs_mix(kpi: DataFrame, region: str = "EU") -> DataFrame:
                .select("region", "country", "period_start_utc", "renewable_share_pct", "avg_price"))
 
 
+def head_rows(df: DataFrame, order_cols: Sequence[str], n: int = 10) -> DataFrame:
+    """First ``n`` rows in an explicit order (a top-k, never "whatever comes first")."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order_cols]).limit(n)
+
+
 def history_tail(kpi: DataFrame, n: int = 50) -> DataFrame:
     """Last ``n`` rows of the history in file order (region, country, time)."""
     return kpi.orderBy(F.col("region").desc(), F.col("country").desc(),

@@ -49,3 +49,8 @@ def test_alias_lists(spark):
     assert fwd == ["DE_LU,FR,NL", "DE_LU"]
     back = [r[0] for r in ops.alias_countries(df, "c", "o", inverse=True).select("o").collect()]
     assert back == ["de,FR,NL", "DE"]
+
+
+def test_head_rows_ordered(spark):
+    df = spark.createDataFrame([(3, "c"), (1, None), (2, "b")], "k long, v string")
+    assert [r["k"] for r in ops.head_rows(df, ["v", "k"], 2).collect()] == [2, 3]
