@@ -812,14 +812,17 @@ def q_raw_cache_roundtrip(spark, sf):
     return src.read_raw(spark, path)
 
 
-@register("latest_cached", O.with_(ad.duck_ctes("monthly_raw") + [_ML], "SELECT * FROM ml"), M1_DOUBLES)
+@register("latest_cached", O.with_(ad.duck_ctes("readings") + [O.scope_cte("scoped", "readings")],
+                                   "SELECT * FROM scoped"), M1_DOUBLES)
 def q_latest_cached(spark, sf):
-    """Of two cache entries, read the most recently written one."""
+    """Of two cache entries, read the most recently written one. The
+    later entry also has the greater path, so a modification-time tie on a
+    coarse-clock file system resolves the same way."""
     root = scratch_path(spark, "raw_cache")
-    src.write_raw(ops.eu_scope(ops.normalize_ts(A(spark, sf, "readings"))),
-                  src.raw_path(root, "entsoe", "eu", {"mode": "eu"}))
     src.write_raw(src.monthly_to_long(A(spark, sf, "monthly_raw")),
                   src.raw_path(root, "ember", "monthly", {"mode": "global"}))
+    src.write_raw(ops.eu_scope(ops.normalize_ts(A(spark, sf, "readings"))),
+                  src.raw_path(root, "entsoe", "eu", {"mode": "eu"}))
     return src.read_latest_cached(spark, root)
 
 

@@ -79,19 +79,36 @@ def shared_dir(spark: SparkSession) -> str:
     private temporary folder is created and registered.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
+    sc = _spark_context(spark)
+    if not path and sc is not None:
+        path = sc.getConf().get(CHECKPOINT_CONF, None)
     if not path:
-        path = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
-    if not path:
-        master = spark.sparkContext.master or ""
+        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
         if not master.startswith("local"):
             raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster "
                                f"(master={master!r}); machine-local folders do not survive executor loss")
         path = tempfile.mkdtemp(prefix="gridmetrics-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
-    spark.sparkContext.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
     return path
 
 
+def _spark_context(spark: SparkSession):
+    """The SparkContext of a classic session; ``None`` under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        return None
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _spark_context(spark)
+    if sc is not None:
+        return int(sc.defaultParallelism)
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the shared folder."""
     base = shared_dir(spark).rstrip("/")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import check_level
 from ..functions.time import chunked_range, nth_step, steps_between
+from ..session import default_parallelism
 from ..schema import (CN_MONTHLY_CAP, CN_MONTHLY_PROFILE, EU_HOURLY_PROFILE, READING_COLS,
                       US_DAILY_CAP, US_DAILY_PROFILE)
 
@@ -45,7 +46,7 @@ def calendar_grid(bounds: DataFrame, level: str, start_col: str = "start", end_c
     b = bounds.select(*keys, first.alias("_first"), n.alias("_n"))
     ids, lo, hi = chunked_range(F.col("_n"), chunk_steps)
     chunks = b.select(*keys, "_first", "_n", F.explode(ids).alias("_chunk"))
-    parts = partitions or bounds.sparkSession.sparkContext.defaultParallelism
+    parts = partitions or default_parallelism(bounds.sparkSession)
     chunks = chunks.repartition(int(parts), *keys, "_chunk")
     idx = chunks.select(*keys, "_first", F.explode(F.sequence(lo(F.col("_chunk")), hi(F.col("_chunk")))).alias("_i"))
     return idx.select(*keys, nth_step(F.col("_first"), F.col("_i"), lv).alias("ts_utc"))
