@@ -4,7 +4,8 @@ Every query reads the driver's parquet tables through the adapters in
 ``gridmetrics.plans.adapters`` (whole tables, no row subsets) and runs the
 package's operators. ``oracle_sql`` holds an independently written DuckDB
 twin of each one. Output normalisation (both sides): timestamps are
-zone-less UTC, integers are 64-bit, doubles are rounded to 6 decimals.
+zone-less UTC, integers are 64-bit, doubles are rounded to 10 significant
+digits (tie-proof, see ``sig_round``).
 """
 
 from __future__ import annotations
@@ -29,7 +30,32 @@ from gridmetrics.schema import (CN_MONTHLY_PROFILE, EU27, EU_HOURLY_PROFILE, KPI
 from gridmetrics.session import ensure_utc, scratch_path  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
-ROUND = 6
+SIG_DIGITS = 10
+# Check normalisation of doubles: 10 significant digits (a fixed number of
+# decimals is too fine for sums near 1e9, whose summation-order noise reaches
+# the 7th decimal). Means of 2-decimal inputs can sit exactly on a decimal
+# rounding tie, so every value is first scaled by (1 + SIG_SHIFT), far below
+# the kept precision, which moves such ties off the boundary. Both sides use
+# the same IEEE steps: exact powers of ten, one multiply or divide, one
+# round-to-integer.
+SIG_SHIFT = 1e-11 * (2 ** 0.5 - 1)
+
+
+def sig_round(c):
+    v = c * F.lit(1.0 + SIG_SHIFT)
+    s = F.lit(SIG_DIGITS - 1) - F.floor(F.log10(F.abs(v))).cast("int")
+    up = F.round(v * F.pow(F.lit(10.0), s), 0) / F.pow(F.lit(10.0), s)
+    down = F.round(v / F.pow(F.lit(10.0), -s), 0) * F.pow(F.lit(10.0), -s)
+    return F.when(v == 0, F.lit(0.0)).when(s >= 0, up).otherwise(down)
+
+
+def sig_round_sql(col: str) -> str:
+    v = f'(CAST("{col}" AS DOUBLE) * CAST({1.0 + SIG_SHIFT!r} AS DOUBLE))'
+    s = f"({SIG_DIGITS - 1} - CAST(floor(log10(abs({v}))) AS INTEGER))"
+    return (f"CASE WHEN {v} IS NULL THEN NULL WHEN {v} = 0 THEN 0.0 "
+            f"WHEN {s} >= 0 THEN round({v} * pow(10.0, {s})) / pow(10.0, {s}) "
+            f"ELSE round({v} / pow(10.0, -{s})) * pow(10.0, -{s}) END")
+
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
@@ -45,7 +71,7 @@ def finalize(df: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("long")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), ROUND)
+            c = sig_round(c.cast("double"))
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
@@ -53,7 +79,7 @@ def finalize(df: DataFrame) -> DataFrame:
 def oracle_round(sql: str, doubles: list[str]) -> str:
     if not doubles:
         return sql
-    rep = ", ".join(f'round("{c}", {ROUND}) AS "{c}"' for c in doubles)
+    rep = ", ".join(f'{sig_round_sql(c)} AS "{c}"' for c in doubles)
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) q"
 
 

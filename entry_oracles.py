@@ -155,7 +155,8 @@ def monthly_long_cte(name: str, src: str, time_col: str, geo_col: str, var_expr:
 
 
 def profile_cte(name: str, profile) -> str:
-    vals = ", ".join(f"({_q(m)}, {_q(s)}, {float(v)!r}, {_q(u)}, {_q(q)})" for m, s, v, u, q in profile)
+    vals = ", ".join(f"({_q(m)}, {_q(s)}, CAST({float(v)!r} AS DOUBLE), {_q(u)}, {_q(q)})"
+                     for m, s, v, u, q in profile)
     return f"{name}(metric, energy_source, value, unit, quality_flag) AS (VALUES {vals})"
 
 
