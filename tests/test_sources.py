@@ -104,3 +104,13 @@ def test_history_and_documents(spark):
     assert len(doc["items"]) == 2 and doc["items"][0]["price_volatility"] is None
     dq = src.dq_latest_document(res.dq, "day").first()
     assert dq["summary"]["countries_below_98pct"] == 0 and dq["summary"]["min_coverage_pct"] == 100.0
+
+
+def test_odd_column_names(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 5), "DE", 1.0, 2.0)],
+                               "ts timestamp, country string, `Solar.PV` double, `Hard coal ` double")
+    rows = sorted((r["energy_source"], r["value"]) for r in src.generation_wide_to_long(df).collect())
+    assert rows == [("fossil", 2.0), ("renewable", 1.0)]
+    wide = spark.createDataFrame([("2024-01-01", "Germany", 3.0)], "`Month` string, `Country` string, `Wind.generation` double")
+    out = src.monthly_to_long(wide).collect()
+    assert [(r["metric"], r["energy_source"], r["value"], r["unit"]) for r in out] == [("generation", "renewable", 3.0, "unknown")]
