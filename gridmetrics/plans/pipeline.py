@@ -21,8 +21,8 @@ from ..operators.kpi import compute_kpis_with_quality
 from ..operators.scope import eu_scope, normalize_ts
 from ..schema import MIN_COVERAGE_PCT, READING_COLS
 from ..session import scratch_path
-from ..sources.cache import raw_path, write_raw
-from ..sources.fallback import fallback_fill
+from ..sources.cache import raw_path, read_raw, write_raw
+from ..sources.fallback import fallback_fill, run_kind
 from ..sources.ingest import monthly_to_long
 from ..sources.sinks import (dq_latest_document, kpi_latest_document, write_json_document,
                              write_kpi_history)
@@ -44,15 +44,23 @@ def _requested_names(requested: DataFrame) -> DataFrame:
     return eu_scope(r).select("country").distinct()
 
 
+def eu_raw(readings: DataFrame, requested: DataFrame | None = None,
+           start: str | Column | None = None, end: str | Column | None = None) -> DataFrame:
+    """Canonical readings in EU scope plus ``source_kind`` (live / stub): with a
+    requested country list, silent countries get the baseline for the window."""
+    raw = eu_scope(normalize_ts(readings.select(*READING_COLS)))
+    if requested is None:
+        return raw.withColumn("source_kind", F.lit("live"))
+    return fallback_fill(raw, _requested_names(requested), start, end)
+
+
 def eu_pipeline(readings: DataFrame, level: str | None = None,
                 min_coverage_pct: float = MIN_COVERAGE_PCT,
                 requested: DataFrame | None = None,
                 start: str | Column | None = None, end: str | Column | None = None) -> PipelineResult:
     """Readings -> (fallback) -> buckets + coverage -> KPI with DQ columns."""
     lv = resolve_level("eu", level)
-    raw = eu_scope(normalize_ts(readings.select(*READING_COLS)))
-    if requested is not None:
-        raw = fallback_fill(raw, _requested_names(requested), start, end).select(*READING_COLS)
+    raw = eu_raw(readings, requested, start, end)
     cov = bucket_coverage(raw, lv, min_coverage_pct, scope=False)
     return PipelineResult(raw, cov, bucketed_view(cov), dq_rollup(cov),
                           compute_kpis_with_quality(cov, lv), lv)
@@ -77,21 +85,27 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _write_reports(spark: SparkSession, res: PipelineResult, out: str, source: str, kind: str,
-                   params: dict) -> dict[str, str]:
-    cache = raw_path(f"{out}/raw", source, kind, dict(params, agg=res.level))
-    write_raw(res.raw, cache)
-    cov = materialize(spark, res.coverage, "coverage")
-    kpi = compute_kpis_with_quality(cov, res.level)
+def _write_reports(spark: SparkSession, raw: DataFrame, level: str, out: str, source: str,
+                   params: dict, scope: bool, kind: str | None = None) -> dict[str, str]:
+    """Raw cache first; everything downstream reads the cache back, so the
+    source is scanned (and the fallback / shaping evaluated) exactly once, and
+    the coverage frame is materialised once for the three report sinks."""
+    cache = raw_path(f"{out}/raw", source, params.get("kind", source), dict(params, agg=level))
+    write_raw(raw, cache)
+    landed = read_raw(spark, cache)
+    if kind is None:
+        kind = run_kind(landed).first()["raw_kind"]
+    cov = materialize(spark, bucket_coverage(landed, level, scope=scope), "coverage")
+    kpi = compute_kpis_with_quality(cov, level)
     dq = dq_rollup(cov)
     return {
         "raw_cache": cache,
         "raw_source": source,
         "raw_kind": kind,
         "kpi_history_csv": write_kpi_history(kpi, f"{out}/reports/kpi_history"),
-        "kpi_latest_json": write_json_document(kpi_latest_document(kpi, res.level),
+        "kpi_latest_json": write_json_document(kpi_latest_document(kpi, level),
                                                f"{out}/reports/kpi_latest"),
-        "dq_latest_json": write_json_document(dq_latest_document(dq, res.level),
+        "dq_latest_json": write_json_document(dq_latest_document(dq, level),
                                               f"{out}/reports/dq_report_latest"),
     }
 
@@ -100,21 +114,20 @@ def run_eu(spark: SparkSession, readings: DataFrame, out_dir: str, level: str |
            requested: DataFrame | None = None, start=None, end=None,
            params: dict | None = None) -> dict[str, str]:
     """EU run: raw cache, history CSV and the two latest-documents."""
-    res = eu_pipeline(readings, level, requested=requested, start=start, end=end)
-    kind = "eu_live"
-    if requested is not None:
-        from ..sources.fallback import fallback_fill as _ff, run_kind
-        raw = eu_scope(normalize_ts(readings.select(*READING_COLS)))
-        kind = run_kind(_ff(raw, _requested_names(requested), start, end)).first()["raw_kind"]
-    return _write_reports(spark, res, out_dir.rstrip("/"), "entsoe", kind, dict(params or {}, mode="eu"))
+    lv = resolve_level("eu", level)
+    raw = eu_raw(readings, requested, start, end)
+    return _write_reports(spark, raw, lv, out_dir.rstrip("/"), "entsoe",
+                          dict(params or {}, mode="eu", kind="eu"), scope=False,
+                          kind=None if requested is not None else "eu_live")
 
 
 def run_global(spark: SparkSession, monthly: DataFrame, out_dir: str, level: str | None = None,
                params: dict | None = None) -> dict[str, str]:
     """Global run over a landed monthly table: same reports, month level by default."""
-    res = global_pipeline(monthly, level)
-    return _write_reports(spark, res, out_dir.rstrip("/"), "ember", "monthly_kpi",
-                          dict(params or {}, mode="global"))
+    lv = resolve_level("global", level)
+    return _write_reports(spark, monthly_to_long(monthly), lv, out_dir.rstrip("/"), "ember",
+                          dict(params or {}, mode="global", kind="monthly_kpi"), scope=True,
+                          kind="monthly_kpi")
 
 
 def run_pipeline(spark: SparkSession, mode: str, data: DataFrame, out_dir: str,
