@@ -76,3 +76,8 @@ def write_json_document(doc: DataFrame, path: str) -> str:
     """Write a one-row document as JSON (NULL fields kept as ``null``)."""
     doc.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
     return path
+
+
+def read_json_document(spark: SparkSession, path: str) -> DataFrame:
+    """Read a written report document back (one row; ``items`` as an array of structs)."""
+    return spark.read.json(path)

@@ -102,6 +102,9 @@ def test_history_and_documents(spark):
     doc = json.loads(open(os.path.join(doc_path, files[0])).read().splitlines()[0])
     assert doc["period"] == "day" and doc["period_start_utc"] == "2026-01-02T00:00:00Z"
     assert len(doc["items"]) == 2 and doc["items"][0]["price_volatility"] is None
+    back = src.read_json_document(spark, doc_path).first()
+    assert back["period"] == "day" and len(back["items"]) == 2
+    assert {i["country"] for i in back["items"]} == {"Germany", "France"}
     dq = src.dq_latest_document(res.dq, "day").first()
     assert dq["summary"]["countries_below_98pct"] == 0 and dq["summary"]["min_coverage_pct"] == 100.0
 
