@@ -46,13 +46,16 @@ def sig_round(c):
     s = F.lit(SIG_DIGITS - 1) - F.floor(F.log10(F.abs(v))).cast("int")
     up = F.round(v * F.pow(F.lit(10.0), s), 0) / F.pow(F.lit(10.0), s)
     down = F.round(v / F.pow(F.lit(10.0), -s), 0) * F.pow(F.lit(10.0), -s)
-    return F.when(v == 0, F.lit(0.0)).when(s >= 0, up).otherwise(down)
+    special = F.isnan(v) | (F.abs(v) == F.lit(float("inf")))
+    return (F.when(v == 0, F.lit(0.0)).when(special, v).when(s > 290, v)
+             .when(s >= 0, up).otherwise(down))
 
 
 def sig_round_sql(col: str) -> str:
     v = f'(CAST("{col}" AS DOUBLE) * CAST({1.0 + SIG_SHIFT!r} AS DOUBLE))'
     s = f"({SIG_DIGITS - 1} - CAST(floor(log10(abs({v}))) AS INTEGER))"
-    return (f"CASE WHEN {v} IS NULL THEN NULL WHEN {v} = 0 THEN 0.0 "
+    return (f"CASE WHEN {v} IS NULL THEN NULL WHEN {v} = 0 THEN 0.0 WHEN isnan({v}) OR isinf({v}) THEN {v} "
+            f"WHEN {s} > 290 THEN {v} "
             f"WHEN {s} >= 0 THEN round({v} * pow(10.0, {s})) / pow(10.0, {s}) "
             f"ELSE round({v} / pow(10.0, -{s})) * pow(10.0, -{s}) END")
 
