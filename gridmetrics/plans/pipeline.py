@@ -51,7 +51,8 @@ def eu_raw(readings: DataFrame, requested: DataFrame | None = None,
     raw = eu_scope(normalize_ts(readings.select(*READING_COLS)))
     if requested is None:
         return raw.withColumn("source_kind", F.lit("live"))
-    return fallback_fill(raw, _requested_names(requested), start, end)
+    # requested names are mapped into the member scope: at most 27 rows
+    return fallback_fill(raw, _requested_names(requested), start, end, requested_is_small=True)
 
 
 def eu_pipeline(readings: DataFrame, level: str | None = None,

@@ -10,20 +10,27 @@ from ..schema import READING_COLS
 from .grid import baseline_hourly
 
 
-def fallback_fill(observed: DataFrame, requested: DataFrame, start: str, end: str) -> DataFrame:
+def fallback_fill(observed: DataFrame, requested: DataFrame, start: str, end: str,
+                  requested_is_small: bool = False) -> DataFrame:
     """``observed``: canonical readings; ``requested``: one ``country`` column.
 
     Observed rows of requested countries inside ``[start, end)`` are kept
     (``source_kind = 'live'``); each requested country with no generation and
     no price row there is filled with the hourly baseline (``'stub'``).
-    The country sets are joined (semi / anti), never collected.
+    The country sets are joined (semi / anti), never collected. When the
+    caller can prove the requested set is small (``requested_is_small``,
+    e.g. names already mapped into the 27-member scope) it is broadcast, so
+    the big observed side is never shuffled by a possibly hot country key;
+    otherwise AQE picks the strategy from runtime sizes.
     """
     lo, hi = F.to_timestamp(F.lit(start)), F.to_timestamp(F.lit(end))
     req = requested.select("country").where(F.col("country").isNotNull()).distinct()
+    small = F.broadcast if requested_is_small else (lambda d: d)
     live = (observed.where((F.col("ts_utc") >= lo) & (F.col("ts_utc") < hi))
-                    .join(req, "country", "left_semi"))
+                    .join(small(req), "country", "left_semi"))
     have = live.where(F.col("metric").isin("generation", "price")).select("country").distinct()
-    missing = req.join(have, "country", "left_anti")
+    # ``have`` is a subset of ``req``, so it is small whenever ``req`` is
+    missing = req.join(small(have), "country", "left_anti")
     stub = baseline_hourly(missing.select("country", lo.alias("start"), hi.alias("end")))
     return (live.select(*READING_COLS, F.lit("live").alias("source_kind"))
                 .unionByName(stub.select(*READING_COLS, F.lit("stub").alias("source_kind"))))
