@@ -41,7 +41,21 @@ SIG_DIGITS = 10
 SIG_SHIFT = 1e-11 * (2 ** 0.5 - 1)
 
 
+def sig_round_expr(col: str) -> str:
+    """Spark SQL text of the normalisation of column ``col`` (built as text so a
+    whole row of columns costs one ``selectExpr`` call, not hundreds of py4j
+    round trips)."""
+    v = f"(CAST(`{col}` AS DOUBLE) * {1.0 + SIG_SHIFT!r}D)"
+    s = f"({SIG_DIGITS - 1} - CAST(floor(log10(abs({v}))) AS INT))"
+    return (f"CASE WHEN {v} IS NULL THEN NULL WHEN {v} = 0 THEN 0.0D "
+            f"WHEN isnan({v}) OR abs({v}) = double('inf') THEN {v} "
+            f"WHEN {s} > 290 THEN {v} "
+            f"WHEN {s} >= 0 THEN round({v} * pow(10.0D, {s}), 0) / pow(10.0D, {s}) "
+            f"ELSE round({v} / pow(10.0D, -{s}), 0) * pow(10.0D, -{s}) END")
+
+
 def sig_round(c):
+    """Column form of the normalisation (used by tests on single columns)."""
     v = c * F.lit(1.0 + SIG_SHIFT)
     s = F.lit(SIG_DIGITS - 1) - F.floor(F.log10(F.abs(v))).cast("int")
     up = F.round(v * F.pow(F.lit(10.0), s), 0) / F.pow(F.lit(10.0), s)
@@ -65,18 +79,21 @@ _ORACLES: dict[str, str] = {}
 
 
 def finalize(df: DataFrame) -> DataFrame:
-    """Comparable output: UTC timestamps as zone-less, ints as long, doubles rounded."""
-    cols = []
+    """Comparable output: UTC timestamps as zone-less, ints as long, doubles
+    normalised; one ``selectExpr`` for the whole row."""
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        q = f"`{f.name}`"
         if isinstance(f.dataType, T.TimestampType):
-            c = c.cast(T.TimestampNTZType())
+            e = f"CAST({q} AS TIMESTAMP_NTZ)"
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            c = c.cast("long")
+            e = f"CAST({q} AS BIGINT)"
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = sig_round(c.cast("double"))
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            e = sig_round_expr(f.name)
+        else:
+            e = q
+        exprs.append(f"{e} AS {q}")
+    return df.selectExpr(*exprs)
 
 
 def oracle_round(sql: str, doubles: list[str]) -> str:

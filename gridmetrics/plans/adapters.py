@@ -95,8 +95,18 @@ def monthly_wide_body(src: str) -> str:
     return f"SELECT `Date`, `Area`,\n  {cols}\nFROM {src} WHERE `Date` <> 'n/a' GROUP BY `Date`, `Area`"
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of a driver table; the (lazy) scan is reused within a
+    session so its file listing and footer read happen once."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def adapter(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
