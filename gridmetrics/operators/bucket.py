@@ -30,9 +30,12 @@ def bucket_values(readings: DataFrame, level: str) -> DataFrame:
     values are NULL), mean for price, and the count of non-NULL points.
     Metrics without an aggregate rule and rows with a NULL key are dropped."""
     lv = check_level(level)
-    rows = (readings
-            .where(F.col("metric").isin(list(METRIC_AGG)))
-            .dropna(subset=["ts_utc", *SERIES_COLS]))
+    # one IsNotNull per key column (not a single dropna predicate), so each
+    # reaches the parquet reader through the scope join
+    keys_present = F.lit(True)
+    for c in ["ts_utc", *SERIES_COLS]:
+        keys_present = keys_present & F.col(c).isNotNull()
+    rows = readings.where(F.col("metric").isin(list(METRIC_AGG)) & keys_present)
     mean_metrics = [m for m, a in METRIC_AGG.items() if a == "mean"]
     agg = rows.groupBy(*SERIES_COLS, bucket_start("ts_utc", lv).alias("ts_utc")).agg(
         F.sum("value").alias("_sum"), F.count("value").alias("actual_points"))
