@@ -7,7 +7,6 @@ are UTC) and a shared folder for materialised intermediates.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -114,6 +113,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or os.path.isabs(path)

@@ -53,3 +53,13 @@ def test_fused_equals_join_form(spark):
     joined = ops.compute_kpis(ops.bucketed_view(cov), "day", dq=ops.dq_rollup(cov))
     assert sorted(fused.collect()) == sorted(joined.select(*fused.columns).collect())
     assert fused.count() == 2 * 4   # gap day 3 is filled for both countries
+
+
+def test_fill_mwh_and_compare_years(spark):
+    from gridmetrics.plans.pipeline import compare_years
+    kpi = spark.createDataFrame([(None, 1.0, None)], "renewable_mwh double, fossil_mwh double, avg_price double")
+    r = ops.fill_mwh(kpi).first()
+    assert (r["renewable_mwh"], r["fossil_mwh"], r["avg_price"]) == (0.0, 1.0, None)
+    hist = spark.createDataFrame([], "period_start_utc timestamp, region string, country string, avg_price double, "
+                                     "renewable_share_pct double, price_volatility double, total_generation_mwh double")
+    assert compare_years(hist, (2015, 2024)).count() == 0
