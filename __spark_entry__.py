@@ -583,8 +583,8 @@ def _eu_bounds(spark, sf, cap_src="readings"):
     r = A(spark, sf, cap_src)
     rng = src.data_range(r, "ts_utc", "day")
     countries = ops.eu_scope(ops.normalize_ts(r)).select("country").distinct()
-    return countries.select("country", rng.select("start").scalar().alias("start"),
-                            rng.select("end").scalar().alias("end"))
+    both = rng.select(F.struct("start", "end")).scalar()        # one scalar subquery, one scan
+    return countries.select("country", both["start"].alias("start"), both["end"].alias("end"))
 
 
 def _years_bounds(spark, sf):
