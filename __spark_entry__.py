@@ -787,28 +787,33 @@ def q_page_data_links(spark, sf):
 # ---------------------------------------------------------------------------
 # Fallback, range selection, country aliases
 # ---------------------------------------------------------------------------
-RUN_START, RUN_END = "1996-03-01", "1996-03-02"
+_RUN_WIN = ("win AS (SELECT date_trunc('day', max(ts_utc)) AS ws, date_trunc('day', max(ts_utc)) + INTERVAL 1 DAY AS we "
+            "FROM readings_years)")
 
 
 @register("fallback_fill",
           O.with_(ad.duck_ctes("readings", "readings_years")
-                  + [O.scope_cte("scoped", "readings"), O.scope_cte("scoped_y", "readings_years"),
+                  + [O.scope_cte("scoped", "readings"), O.scope_cte("scoped_y", "readings_years"), _RUN_WIN,
                      "req AS (SELECT DISTINCT country FROM scoped)",
-                     f"obs AS (SELECT * FROM scoped_y WHERE ts_utc >= TIMESTAMP '{RUN_START}' AND ts_utc < TIMESTAMP '{RUN_END}' "
-                     "AND country IN (SELECT country FROM req))",
+                     "obs AS (SELECT s.* FROM scoped_y s, win WHERE s.ts_utc >= win.ws AND s.ts_utc < win.we "
+                     "AND s.country IN (SELECT country FROM req))",
                      "miss AS (SELECT country FROM req WHERE country NOT IN (SELECT country FROM obs WHERE metric IN ('generation','price')))",
-                     f"eg AS (SELECT country, unnest(generate_series(TIMESTAMP '{RUN_START}', TIMESTAMP '{RUN_END}' - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS ts_utc FROM miss)",
+                     "eg AS (SELECT country, unnest(generate_series(ws, we - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS ts_utc FROM miss, win)",
                      O.profile_cte("eprof", EU_HOURLY_PROFILE)],
                   f"SELECT *, 'live' AS source_kind FROM obs UNION ALL SELECT *, 'stub' AS source_kind FROM ({_EU_BASE})"),
           M1_DOUBLES)
 def q_fallback_fill(spark, sf):
-    """Requested countries (those in the events-based readings) without
-    generation or price rows in a one-day run window of the lineitem-based
-    feed get the hourly baseline."""
+    """A daily run for the latest day of the lineitem-based feed: the
+    requested countries (those in the events-based readings) that delivered
+    no generation or price rows that day get the hourly baseline. The run
+    window is derived from the data (one struct scalar subquery)."""
+    feed = A(spark, sf, "readings_years")
     requested = ops.eu_scope(ops.normalize_ts(A(spark, sf, "readings"))).select("country")
-    observed = ops.eu_scope(ops.normalize_ts(A(spark, sf, "readings_years")))
+    observed = ops.eu_scope(ops.normalize_ts(feed))
+    day = F.date_trunc("day", F.max("ts_utc"))
+    win = feed.select(F.struct(day.alias("ws"), (day + F.expr("INTERVAL 1 DAY")).alias("we"))).scalar()
     # requested names come out of the member scope: at most 27 distinct rows
-    return src.fallback_fill(observed, requested, RUN_START, RUN_END, requested_is_small=True)
+    return src.fallback_fill(observed, requested, win["ws"], win["we"], requested_is_small=True)
 
 
 @register("range_select",
