@@ -902,6 +902,24 @@ def q_global_pipeline(spark, sf):
     return global_pipeline(A(spark, sf, "monthly_raw")).kpi
 
 
+def _optional_queries():
+    """The training-data operators (subpackage ``llm`` with ``corpus_pipeline``)
+    are registered only where that subpackage is present."""
+    try:
+        from gridmetrics.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if (e.name or "").split(".")[-1] in ("llm", "corpus_pipeline"):
+            return None
+        raise
+    return llm
+
+
+_LLM = _optional_queries()
+if _LLM is not None:
+    _QUERIES.update(_LLM.QUERIES)
+    _ORACLES.update(_LLM.ORACLES)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query (E1) on the sf0.001 tables."""
     return _QUERIES["eu_pipeline"](spark, SMOKE_DIR)

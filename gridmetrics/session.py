@@ -7,6 +7,7 @@ are UTC) and a shared folder for materialised intermediates.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -75,24 +76,36 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Read from the session; only when it is unset (local runs, tests) a
-    private temporary folder is created and registered.
+    private temporary folder is created and registered. A ``file:`` folder is
+    accepted on one machine only (``local`` and ``local-cluster`` masters):
+    executors on other hosts would not see it.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     sc = _spark_context(spark)
     if not path and sc is not None:
         path = sc.getConf().get(CHECKPOINT_CONF, None)
+    master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
+    check_shared(path, master)
     if not path:
-        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
-        if not master.startswith("local"):
-            raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster "
-                               f"(master={master!r}); machine-local folders do not survive executor loss")
         path = tempfile.mkdtemp(prefix="gridmetrics-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
-    if sc is not None:
+    if sc is not None and not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(path)
     return path
 
 
+def check_shared(path: str | None, master: str) -> None:
+    """Raise unless ``path`` can be seen by every executor of ``master``."""
+    if master.startswith("local"):
+        return
+    if not path:
+        raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster "
+                           f"(master={master!r}); machine-local folders do not survive executor loss")
+    if path.startswith("file:"):
+        raise RuntimeError(f"{CHECKPOINT_CONF}={path!r} is a machine-local folder; name one that all "
+                           f"executors of {master!r} share")
+
+
 def _spark_context(spark: SparkSession):
     """The SparkContext of a classic session; ``None`` under Spark Connect."""
     try:
@@ -108,8 +121,34 @@ def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+_SCRATCH: dict[str, SparkSession] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused path under the shared folder."""
+    """A fresh, never-reused path under the shared folder; what is still there
+    when the Python process ends is deleted then."""
     base = shared_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    if not _SCRATCH:
+        atexit.register(_drop_all_scratch)
+    _SCRATCH[path] = spark
+    return path
 
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder (any Hadoop file system); missing is fine."""
+    _SCRATCH.pop(path, None)
+    sc = _spark_context(spark)
+    if sc is None:
+        return
+    hadoop = sc._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def _drop_all_scratch() -> None:
+    for path, spark in list(_SCRATCH.items()):
+        try:
+            drop_path(spark, path)
+        except Exception:  # noqa: BLE001 - the JVM may be gone already
+            _SCRATCH.clear()
+            return
