@@ -10,6 +10,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -77,8 +78,8 @@ def shared_dir(spark: SparkSession) -> str:
 
     Read from the session; only when it is unset (local runs, tests) a
     private temporary folder is created and registered. A ``file:`` folder is
-    accepted on one machine only (``local`` and ``local-cluster`` masters):
-    executors on other hosts would not see it.
+    taken without remark on one machine (``local`` and ``local-cluster``
+    masters); elsewhere it has to be a shared mount, so it draws a warning.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     sc = _spark_context(spark)
@@ -95,15 +96,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def check_shared(path: str | None, master: str) -> None:
-    """Raise unless ``path`` can be seen by every executor of ``master``."""
+    """Raise where a cluster names no folder; warn where it names a ``file:`` one."""
     if master.startswith("local"):
         return
     if not path:
         raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster "
                            f"(master={master!r}); machine-local folders do not survive executor loss")
     if path.startswith("file:"):
-        raise RuntimeError(f"{CHECKPOINT_CONF}={path!r} is a machine-local folder; name one that all "
-                           f"executors of {master!r} share")
+        warnings.warn(f"{CHECKPOINT_CONF}={path!r}: on {master!r} this must be a mount that the driver "
+                      "and all executors share", stacklevel=3)
 
 
 def _spark_context(spark: SparkSession):
