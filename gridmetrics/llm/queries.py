@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules
+from . import importance, mixing, packing, quality_rules, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +25,22 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+@query("op2_sharding")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.balanced_shards(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op7_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op8_importance")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.importance_resample(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                          table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 @query("op9_quality_rules", quality_rules.oracle())
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
