@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import importance, mixing, packing, quality_rules, sharding
+from . import importance, minhash, mixing, packing, quality_rules, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.balanced_shards(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query("op4_minhash", minhash.oracle())
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text")).drop("text_key")
+
+
 @query("op7_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))

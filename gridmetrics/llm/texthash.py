@@ -32,10 +32,10 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def chunks(texts: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, row offsets into them) of each part of a
-    text column; null counts as empty. A part holds about ``CHUNK_BYTES`` or
-    one longer text."""
+    text column; null counts as empty. A part holds about ``size`` bytes or one
+    longer text."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if texts.null_count:
@@ -49,7 +49,7 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
     i = 0
     while i < n:
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + CHUNK_BYTES, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, "right")) - 1)
         j = min(j, n)
         yield i, j, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
         i = j
