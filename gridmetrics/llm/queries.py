@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import importance, minhash, mixing, packing, quality_rules, sharding
+from . import importance, minhash, mixing, packing, quality_rules, sharding, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text")).drop("text_key")
 
 
+@query("op5_token_output")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.token_output(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op7_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
