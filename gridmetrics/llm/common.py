@@ -15,7 +15,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 #: Rows of one block of a distributed rank: small enough to sort in memory.
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 5_000
 
 
 class Scratch:
