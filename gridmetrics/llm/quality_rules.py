@@ -168,7 +168,7 @@ def quality_rules(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     rated = scratch.save(f.select("doc_id", "lang_key", "source_key", "row", "f.word_chars", "f.n_symbols",
                                   "f.w.n_words", "f.w.n_repeat_words", "f.l.n_lines", "f.l.n_dup_lines"), "rated")
     sketch = scratch.save(sketches(rated), "sketches")
-    limits = thresholds(sketch)
+    limits = scratch.save(thresholds(sketch), "limits")  # written: its size decides how it is joined
     base_failed = ((F.col("n_words") < MIN_WORDS)
                    | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     ok = ~F.col("base_failed")
