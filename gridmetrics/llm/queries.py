@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import importance, minhash, mixing, packing, quality_rules, sharding, token_output
+from . import importance, minhash, mixing, packing, pii, quality_rules, sharding, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +25,11 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+@query("op1_pii")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents", "doc_id", "text")).drop("items")
+
+
 @query("op2_sharding")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.balanced_shards(table(spark, sf_dir, "documents", "doc_id", "text"))
