@@ -87,20 +87,24 @@ def byte_parts(v: Column) -> Column:
 
 
 def base_spans(text: Column) -> Column:
-    """Valid matches of the four kinds, by kind."""
+    """Matches of the four kinds, by kind; those that fail their check (Luhn,
+    parts over 255, number of digits) have kind -1."""
+    def checked(found: Column, ok) -> Column:
+        return F.transform(found, lambda x: F.struct(
+            x["s"].alias("s"), x["e"].alias("e"), F.when(ok(x["v"]), x["k"]).otherwise(F.lit(-1)).alias("k"), x["v"].alias("v")))
+
     has = lambda c, x: F.when(c, x).otherwise(no_spans())
     email = has(text.contains("@"), spans(text, EMAIL, 0))
-    digit = text.rlike("[0-9]")
-    ip = has(digit & text.contains("."), F.filter(spans(text, IP, 1), lambda x: byte_parts(x["v"])))
-    card = has(text.rlike("[0-9][ -]?[0-9]"), F.filter(
-        spans(text, CARD, 2), lambda x: F.length(digits(x["v"])).between(14, 19) & luhn(digits(x["v"]))))
-    phone = has(text.contains("+"), F.filter(
-        spans(text, PHONE, 3), lambda x: F.length(digits(x["v"])).between(10, 15)))
+    ip = has(text.rlike("[0-9]") & text.contains("."), checked(spans(text, IP, 1), byte_parts))
+    card = F.filter(spans(text, CARD, 2), lambda x: F.length(digits(x["v"])).between(14, 19))
+    card = has(text.rlike("[0-9][ -]?[0-9]"), checked(card, lambda v: luhn(digits(v))))
+    phone = has(text.contains("+"), checked(spans(text, PHONE, 3), lambda v: F.length(digits(v)).between(10, 15)))
     return F.concat(email, ip, card, phone)
 
 
 def tokens(text: Column, base: Column) -> Column:
-    """Identifier-shaped tokens beside the base spans, without the punctuation around them."""
+    """Identifier-shaped tokens without the punctuation around them, apart from
+    those in a base match: a number that failed its check is no identifier."""
     opening = r"^[\"'(\[{<]++"
     closing = r"(?<![\"')\]}>.,;:!?])[\"')\]}>.,;:!?]++$"
 
@@ -174,7 +178,8 @@ def personal_data(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "pii")
     row = F.struct(*(F.col(c) for c in carry)) if carry else F.lit(None).cast("struct<doc_id:long>")
     text = text_or_empty()
-    found = let(base_spans(text), lambda b: F.struct(b.alias("base"), tokens(text, b).alias("tokens")))
+    found = let(base_spans(text), lambda b: F.struct(
+        F.filter(b, lambda x: x["k"] >= 0).alias("base"), tokens(text, b).alias("tokens")))
     context = lambda a: F.transform(a, lambda x: beside(text, x))
     rows = docs.select("doc_id", row.alias("row"), let(found, lambda f: F.struct(
         in_order(f["base"]).alias("base"), context(f["base"]).alias("seeds"), context(f["tokens"]).alias("tokens"))).alias("f"))
