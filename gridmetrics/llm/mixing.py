@@ -130,7 +130,8 @@ def mix_sources(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     row = F.struct(*(F.col(c) for c in carry)) if carry else F.lit(None).cast("struct<doc_id:long>")
     base = scratch.save(docs.select(
         "doc_id", source_key(F.col("source")).alias("source_key"),
-        n_words(text_or_empty()).alias("size"), F.xxhash64("doc_id", "text").alias("place"), row.alias("row")), "sizes")
+        n_words(text_or_empty()).alias("size"), F.xxhash64("doc_id", "text").alias("place"),
+        F.monotonically_increasing_id().alias("rid"), row.alias("row")), "sizes")
     hist = scratch.save(base.groupBy("source_key", "size").agg(F.count("*").alias("n")), "histogram")
     sources = hist.groupBy("source_key").agg(
         F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("documents"),
@@ -143,22 +144,12 @@ def mix_sources(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
             .otherwise(F.least(F.lit(float(MAX_COPIES)), F.exp(F.col("l") * F.col("size") / F.col("mean")))))
     blocks = F.ceil(F.col("documents") / F.lit(BLOCK_ROWS))
     rated = (base.drop("row").join(state, "source_key")
-             .select("doc_id", "source_key", "size", "place", "source_size", "target", F.round(rate, 12).alias("rate"),
+             .select("rid", "doc_id", "source_key", "size", "place", "source_size", "target", F.round(rate, 12).alias("rate"),
                      F.pmod(F.xxhash64("doc_id", "place", F.lit(1)), blocks).alias("block")))
-    if carry:  # the carried rows do not pass through the rounding: it works on narrow rows
-        rated = rated.withColumn("row", F.lit(None).cast("int")).drop("row")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rated.schema.fields) + ", copies int"
     done = (rated.groupBy("source_key", "block").applyInPandas(diffuse, schema)
             .withColumn("taken", F.col("copies") * F.col("size")))
     cols = ["doc_id", "size", "source_size", "target", "taken", "rate", "copies"]
     if not carry:
         return done.select(*cols)
-    # identical (doc_id, text) rows may differ in copies: number them on both sides
-    same = Window.partitionBy("source_key", "size", "place", "doc_id")
-    left = done.withColumn("nth", F.row_number().over(same.orderBy("copies")))
-    right = base.select("source_key", "size", "place", "doc_id", "row",
-                        F.row_number().over(same.orderBy(F.xxhash64("row"))).alias("nth"))
-    key = ["source_key", "size", "place", "nth"]
-    on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in key] + [F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))]
-    return (left.alias("a").join(right.alias("b"), on)
-            .select(*(F.col(f"a.{c}") for c in cols), F.col("b.row")))
+    return done.select("rid", *cols).join(base.select("rid", "row"), "rid").drop("rid")

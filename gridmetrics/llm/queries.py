@@ -64,3 +64,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_mixing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
+def _pipeline() -> None:
+    import corpus_pipeline
+
+    QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+_pipeline()
