@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import importance, minhash, mixing, packing, pii, quality_rules, sharding, token_output
+from . import embedding_dedup, importance, minhash, mixing, packing, pii, quality_rules, sharding, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,6 +45,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query("op6_embedding_dedup", embedding_dedup.oracle())
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 @query("op7_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
