@@ -6,13 +6,16 @@ coordinate k is the least ``pi(sigma(shingle) - k)``, that is ``pi`` shifted
 circularly by k. Signatures are cut into ``BANDS`` bands of ``ROWS`` rows; a
 pair at similarity 0.8 misses all bands with probability (1 - 0.8^5)^32 = 3e-6.
 
-Documents with equal sets are one node (their links need no check). A band
-bucket first compares its members with its least node only; nodes thus linked
-are united. What is left are pairs that share a bucket but lie in different
-components: there every member outside the bucket's largest component is
-compared with all members of other components. So each pair of nodes that
-shares a band is either compared on full sets or already connected; no cap, and
-no quadratic work within a large group of near copies.
+Documents with equal sets are one node (their links need no check). Each band
+bucket compares its members with one of them, its hub: first the least node,
+then the one with most links so far, which in a group of near copies is the
+text that all of them stem from. Linked nodes are united. What is left are
+pairs that share a bucket, and so a hub, but lie in different components. They
+are compared hub by hub: the members outside the largest component of a hub's
+group against all members, in blocks of bounded size, each block pair a task
+that gives out only the links it finds. So each pair of nodes that shares a
+band is compared on full sets or already connected; there is no cap, and no
+pairs are listed.
 
 Defined cases: null or empty text, or text without words, has an empty set, is
 its own component and is kept; repeated rows and ties fall into one component;
@@ -26,6 +29,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +42,8 @@ BANDS, ROWS = 32, 5
 PERCENT = 80
 #: Text bytes signed at once: the shingles of a part stay in a core's cache.
 PART = 1 << 20
+#: Shingles of one block of a group whose members are compared.
+BLOCK_SHINGLES = 1_000_000
 
 
 def sigma(x: np.ndarray) -> np.ndarray:
@@ -141,26 +147,66 @@ def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(f1), pa.array(f2), sets], names=["f1", "f2", "shingles"])
 
 
-def confirmed(scratch: Scratch, docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+def confirmed(scratch: Scratch, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes that are similar on their full sets."""
-    near = (pairs.join(nodes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
-            .join(nodes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
+    sizes = sets.select("node", F.size("shingles").alias("n"))
+    near = (pairs.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
+            .join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
             .filter(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")))
-    near = scratch.save(near, "pairs")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = scratch.save(wanted.join(nodes, "node").select("node", "rep", "f1", "f2"), "wanted")
-    texts = (docs.select("doc_id", "text").alias("d")
-             .join(wanted.select("rep").distinct().alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.rep")), "left_semi"))
-    sets = (texts.select("text").mapInArrow(full_sets, "f1 long, f2 long, shingles array<long>")
-            .dropDuplicates(["f1", "f2"]).join(wanted, ["f1", "f2"]).select("node", "shingles"))
-    sets = scratch.save(sets, "sets")
     with_b = near.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     both = with_b.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
     common = F.size(F.array_intersect("sa", "sb"))
-    out = scratch.save(both.filter(100 * common >= PERCENT * (F.col("na") + F.col("nb") - common))
-                       .select("a", "b"), "links")
-    scratch.drop(near, wanted, sets)
-    return out
+    return scratch.save(both.filter(100 * common >= PERCENT * (F.col("na") + F.col("nb") - common))
+                        .select("a", "b"), "links")
+
+
+def compare_block(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links between the askers and the members of one pair of blocks that lie
+    in different components: common shingles by an inverted index."""
+    ask, base = pdf[pdf["ask"]], pdf[pdf["base"]]
+    out_a, out_b = [], []
+    if len(ask) and len(base):
+        node, comp, n = (base[c].to_numpy() for c in ("node", "comp", "n"))
+        post = np.concatenate(base["shingles"].to_list())
+        owner = np.repeat(np.arange(len(base)), n)
+        order = np.argsort(post, kind="stable")
+        post, owner = post[order], owner[order]
+        for a, c, size, s in zip(ask["node"], ask["comp"], ask["n"], ask["shingles"]):
+            lo, hi = np.searchsorted(post, s, "left"), np.searchsorted(post, s, "right")
+            length = hi - lo
+            at = np.repeat(hi - np.cumsum(length), length) + np.arange(int(length.sum()))
+            common = np.bincount(owner[at], minlength=len(base))
+            hit = np.flatnonzero((100 * common >= PERCENT * (n + size - common)) & (comp != c))
+            out_a += [a] * len(hit)
+            out_b += node[hit].tolist()
+    return pd.DataFrame({"a": np.asarray(out_a, np.int64), "b": np.asarray(out_b, np.int64)})
+
+
+def across(scratch: Scratch, sets: DataFrame, groups: DataFrame, labels: DataFrame,
+           block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """Links between different components of the same group (hub, node)."""
+    held = (groups.join(labels, "node", "left").select("hub", "node", F.coalesce("comp", "node").alias("comp"))
+            .join(sets.select("node", F.size("shingles").alias("n")), "node"))
+    held = scratch.save(held, "held")
+    mains = (held.groupBy("hub", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+             .groupBy("hub").agg(F.count("*").alias("comps"), F.sum("s").alias("all"),
+                                 F.max(F.struct("c", "comp", "s")).alias("m")).filter("comps > 1")
+             .select("hub", F.col("m.comp").alias("main"),
+                     F.ceil(F.col("all") / block_shingles).alias("nb"),
+                     F.ceil((F.col("all") - F.col("m.s")) / block_shingles).alias("na")))
+    mixed = held.join(mains, "hub").withColumn("is_ask", F.col("comp") != F.col("main"))
+    i, j = F.pmod(F.xxhash64("node"), F.col("na")), F.pmod(F.xxhash64("node", F.lit(1)), F.col("nb"))
+    cell = lambda x, y, ask: F.struct(x.alias("i"), y.alias("j"), F.lit(ask).alias("ask"), F.lit(not ask).alias("base"))
+    to = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    roles = F.concat(F.transform(to(F.col("na")), lambda x: cell(x, j, False)),
+                     F.when(F.col("is_ask"), F.transform(to(F.col("nb")), lambda y: cell(i, y, True)))
+                     .otherwise(F.array().cast("array<struct<i:long,j:long,ask:boolean,base:boolean>>")))
+    parts = (mixed.select("hub", "node", "comp", "n", F.explode(roles).alias("r"))
+             .select("hub", "node", "comp", "n", "r.*").join(sets, "node"))
+    links = parts.groupBy("hub", "i", "j").applyInPandas(compare_block, "a long, b long")
+    links = scratch.save(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    scratch.drop(held)
+    return links
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -177,39 +223,40 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = scratch.save(
         signed.filter("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"))
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
+    narrow = nodes.drop("bands")
     cells = nodes.select("node", F.explode("bands").alias("key"))
-    hubs = cells.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("hub")).filter("c > 1")
-    cells = scratch.save(cells.join(hubs.select("key", "hub"), "key"), "cells")
+    shared = cells.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("hub")).filter("c > 1")
+    cells = scratch.save(cells.join(shared.select("key", "hub"), "key"), "cells")
+
+    wanted = scratch.save(cells.select("node").distinct().join(narrow, "node").select("node", "rep", "f1", "f2"), "wanted")
+    texts = (docs.select("doc_id", "text").alias("d")
+             .join(wanted.select("rep").distinct().alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.rep")), "left_semi"))
+    sets = (texts.select("text").mapInArrow(full_sets, "f1 long, f2 long, shingles array<long>")
+            .dropDuplicates(["f1", "f2"]).join(wanted, ["f1", "f2"]).select("node", "shingles"))
+    sets = scratch.save(sets, "sets")
+
     stars = scratch.save(cells.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
                          .distinct(), "stars")
-    narrow = nodes.drop("bands")
-    links = confirmed(scratch, docs, narrow, stars)
+    links = confirmed(scratch, sets, stars)
+    degree = (links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links")))
+    hubs = (cells.drop("hub").join(degree, "node", "left").groupBy("key")
+            .agg(F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), "node"))["node"].alias("hub")))
+    groups = scratch.save(cells.drop("hub").join(hubs, "key").select("hub", "node").distinct(), "groups")
+    again = (groups.filter("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
+             .distinct().join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
+    links = scratch.save(links.unionByName(confirmed(scratch, sets, again)), "links")
     labels = components(scratch, links)
-
-    held = scratch.save(cells.join(labels, "node", "left")
-                        .select("key", "node", F.coalesce("comp", "node").alias("comp")), "held")
-    mains = (held.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key")
-             .agg(F.count("*").alias("comps"), F.max(F.struct("c", "comp")).alias("m")).filter("comps > 1")
-             .select("key", F.col("m.comp").alias("main")))
-    mixed = scratch.save(held.join(mains, "key"), "mixed")
-    x, y = mixed.filter("comp <> main").alias("x"), mixed.alias("y")
-    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & (
-        (F.col("y.comp") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
-    rest = (x.join(y, apart).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-            .distinct().join(stars, ["a", "b"], "left_anti"))
-    rest = scratch.save(rest, "rest")
-    if not rest.isEmpty():
-        more = confirmed(scratch, docs, narrow, rest)
-        if not more.isEmpty():
-            labels = components(scratch, links.unionByName(more))
-    scratch.drop(cells, stars, held, mixed, rest)
+    more = across(scratch, sets, groups, labels)
+    if not more.isEmpty():
+        labels = components(scratch, links.unionByName(more))
+    scratch.drop(cells, wanted, sets, stars, groups)
 
     classes = narrow.join(labels, "node", "left").select("f1", "f2", "rep", F.coalesce("comp", "node").alias("comp"))
     names = classes.groupBy("comp").agg(F.min("rep").alias("component_id"))
     named = classes.join(names, "comp").select("f1", "f2", "component_id")
-    out = signed.drop("bands").join(named, ["f1", "f2"], "left")
+    out = signed.drop("bands").join(named, ["f1", "f2"], "left").withColumnRenamed("n", "n_shingles")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return (out.withColumnRenamed("n", "n_shingles").withColumn("component_id", component)
+    return (out.withColumn("component_id", component)
             .select("doc_id", "n_shingles", "component_id",
                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"), "text_key"))
 
