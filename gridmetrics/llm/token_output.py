@@ -33,14 +33,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch
+from .texthash import chunks, mix64
 
 END_ID = 2
 SEQUENCE = 2048
 #: Sequences of a record batch, and ids after which a task begins a new file.
 BATCH_SEQUENCES = 256
 FILE_IDS = 64 << 20
-#: Texts handed to the tokenizer at once (characters).
-PART_CHARS = 2 << 20
+#: Bytes of text handled at once.
+PART = 4 << 20
 
 MANIFEST = "part int, file_no int, file string, row long, doc_id long, first long, n_tokens long"
 
@@ -52,18 +53,62 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+_LETTER_OR_DIGIT = np.zeros(256, bool)
+_LETTER_OR_DIGIT[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_ODD = np.zeros(256, bool)
+_ODD[[0x09, 0x0B, 0x0C, 0x0D, *range(0x1C, 0x20)]] = True
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def powers(n: int, base: np.uint64) -> np.ndarray:
+    """The first n powers of the base (of 64-bit integers)."""
+    have = _POWERS.get(int(base))
+    if have is None or len(have) < n:
+        x = np.full(max(n, 1 << 16), base, np.uint64)
+        x[0] = 1
+        have = _POWERS[int(base)] = np.cumprod(x)
+    return have[:n]
+
+
+def irregular(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Whether a row's white space is other than single spaces and line breaks
+    between other characters."""
+    space = (data == 32) | (data == 10)
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    bad = _ODD[data]
+    bad[1:] |= space[1:] & (space[:-1] | edge[1:-1])  # two in a row, or at a row's start
+    bad[:1] |= space[:1]
+    bad |= space & edge[1:]  # at a row's end
+    for lead, follows in ((0xC2, ((0x85,), (0xA0,))), (0xE1, ((0x9A, 0x80),)), (0xE3, ((0x80, 0x80),)),
+                          (0xE2, ((0x80, *range(0x80, 0x8B), 0xA8, 0xA9, 0xAF), (0x81, 0x9F)))):
+        at = np.flatnonzero(data == lead)  # white space beyond ASCII
+        for second, *third in follows:
+            hit = at[data[np.minimum(at + 1, len(data) - 1)] == second]
+            if third:
+                hit = hit[np.isin(data[np.minimum(hit + 2, len(data) - 1)], third)]
+            bad[hit] = True
+    total = np.concatenate([[0], np.cumsum(bad)])
+    return total[offsets[1:]] > total[offsets[:-1]]
+
+
 class Encoder:
     """Texts to ids with the tokenizers library, each word once.
 
     The byte-level pre-tokenizer never joins characters across a single space
-    or line break between two other characters. Texts whose white space is all
-    of that kind are therefore cut there, and the ids of a piece are kept for
-    the next time it occurs (at most ``KNOWN`` pieces); all other texts are
-    encoded whole. New words go to the library many at a time: a word's first
-    id is the one whose token starts with the mark of a space.
+    or line break between two other characters, nor a last comma or stop with
+    the letter or digit before it. Rows whose white space is regular are cut
+    there, and the ids of a piece are kept by the 64-bit hash of its bytes (at
+    most ``KNOWN`` pieces); other rows are encoded whole. New pieces go to the
+    library many at a time: a word's first id is the one whose token starts
+    with the mark of a space.
     """
 
-    KNOWN = 600_000
+    KNOWN = 3_000_000
     AT_ONCE = 2000
 
     def __init__(self, path: str):
@@ -79,62 +124,95 @@ class Encoder:
         self.opens_word = np.zeros(max(vocab.values()) + 1, bool)
         for token, i in vocab.items():
             self.opens_word[i] = token.startswith("\u0120")
-        self.known: dict[str, bytes] = {}
+        self.forget()
 
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(x.ids, self.dtype).tobytes()
+    def forget(self) -> None:
+        self.keys, self.first = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, self.dtype)
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(x.ids, self.dtype)
                 for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def spaced(self, parts: list[str]) -> list[bytes]:
-        """Ids of each part with a space before it; parts hold no white space."""
-        out = []
-        for i in range(0, len(parts), self.AT_ONCE):
-            some = parts[i:i + self.AT_ONCE]
-            joined = self.whole([" " + " ".join(some)])[0]
-            starts = np.flatnonzero(self.opens_word[np.frombuffer(joined, self.dtype)]) * self.dtype.itemsize
-            if len(starts) != len(some):  # a vocabulary of another kind
-                out += self.whole([" " + x for x in some])
-                continue
-            ends = [*starts.tolist(), len(joined)]
-            out += [joined[a:b] for a, b in zip(ends, ends[1:])]
+    def pieces(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(order in which the parts are encoded, number of ids of each in that
+        order, their ids one after the other)."""
+        after = [i for i, x in enumerate(parts) if x[:1] == b" "]
+        bare = [i for i, x in enumerate(parts) if x[:1] != b" "]
+        ids = self.whole([parts[i].decode() for i in bare])
+        count = [np.array([len(x) for x in ids], np.int64)]
+        for k in range(0, len(after), self.AT_ONCE):
+            some = [parts[i] for i in after[k:k + self.AT_ONCE]]
+            joined = self.whole([b"".join(some).decode()])
+            starts = np.flatnonzero(self.opens_word[joined[0]])
+            if len(starts) == len(some):
+                count.append(np.diff(starts, append=len(joined[0])))
+            else:  # a vocabulary of another kind
+                joined = self.whole([x.decode() for x in some])
+                count.append(np.array([len(x) for x in joined], np.int64))
+            ids += joined
+        return np.array(bare + after, np.int64), np.concatenate(count), np.concatenate([np.zeros(0, self.dtype), *ids])
+
+    def learn(self, keys: np.ndarray, parts: list[bytes]) -> None:
+        if len(self.keys) > self.KNOWN:
+            self.forget()
+        order, count, ids = self.pieces(parts)
+        first = len(self.ids) + np.cumsum(count) - count
+        self.ids = np.concatenate([self.ids, ids])
+        keys = np.concatenate([self.keys, keys[order]])
+        order = np.argsort(keys, kind="stable")
+        self.keys = keys[order]
+        self.first, self.count = np.concatenate([self.first, first])[order], np.concatenate([self.count, count])[order]
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """Ids of each row."""
+        rows = len(offsets) - 1
+        if not len(data):
+            return [np.zeros(0, self.dtype)] * rows
+        odd = irregular(data, offsets)
+        cut = np.zeros(len(data) + 1, bool)
+        cut[offsets] = True
+        space = (data == 32) | (data == 10)
+        stop = ((data == 44) | (data == 46)) & np.append(space[1:], True) | ((data == 44) | (data == 46)) & cut[1:]
+        before = np.concatenate([[False], _LETTER_OR_DIGIT[data[:-1]]])
+        accent = data[:-2] == 0xC3  # letters of Latin-1 but the two signs
+        before[2:] |= accent & (data[1:-1] >= 0x80) & (data[1:-1] != 0x97) & (data[1:-1] != 0xB7)
+        cut[:-1] |= space | (stop & before)
+        cut[1:] |= data == 10
+        starts = np.flatnonzero(cut[:-1])
+        ends = np.append(starts[1:], len(data))
+        row = np.searchsorted(offsets, starts, "right") - 1
+        use = ~odd[row]
+        starts, ends, row = starts[use], ends[use], row[use]
+        if len(starts):
+            p = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(len(data), _BASE), out=p[1:])
+            key = mix64((p[ends] - p[starts]) * powers(len(data), _INVERSE)[starts] + (ends - starts).astype(np.uint64))
+            kind, at, which = np.unique(key, return_index=True, return_inverse=True)
+            place = np.searchsorted(self.keys, kind).clip(max=max(0, len(self.keys) - 1))
+            new = self.keys[place] != kind if len(self.keys) else np.ones(len(kind), bool)
+            if new.any():
+                size = len(self.keys)
+                parts = lambda which: [data[a:b].tobytes() for a, b in zip(starts[at[which]].tolist(), ends[at[which]].tolist())]
+                self.learn(kind[new], parts(new))
+                if len(self.keys) != size + int(new.sum()):  # began afresh: the old ones of this part are needed too
+                    self.learn(kind[~new], parts(~new))
+                place = np.searchsorted(self.keys, kind)
+            place = place[which]
+            n = self.count[place]
+            total = np.cumsum(n)
+            flat = self.ids[np.repeat(self.first[place] - (total - n), n) + np.arange(total[-1])]
+            bound = np.searchsorted(row, np.arange(rows + 1))
+            token = np.concatenate([[0], total])[bound]
+        else:
+            flat, token = np.zeros(0, self.dtype), np.zeros(rows + 1, np.int64)
+        out = [flat[a:b] for a, b in zip(token[:-1].tolist(), token[1:].tolist())]
+        strange = np.flatnonzero(odd).tolist()
+        texts = [data[offsets[i]:offsets[i + 1]].tobytes().decode() for i in strange]
+        for i, ids in zip(strange, self.whole(texts)):
+            out[i] = ids
         return out
 
-    def learn(self, pieces: set[str]) -> None:
-        """Keep the ids of pieces that follow a space. A piece is cut further at
-        line breaks, and before a last comma or stop that follows letters;
-        keys that begin with a line break stand for text without a space."""
-        plans, need = [], {}
-        for piece in pieces:
-            plan = []
-            for k, part in enumerate(piece.split("\n")):
-                mark = "\n" if k else ""
-                if k:
-                    plan.append("\n")
-                if part[-1] in ".," and part[:-1].isalpha():
-                    plan += [mark + part[:-1], "\n" + part[-1]]
-                else:
-                    plan.append(mark + part)
-            need.update(dict.fromkeys(plan))
-            plans.append((piece, plan))
-        new = [x for x in need if x not in self.known]
-        bare = [x for x in new if x[0] == "\n"]
-        after = [x for x in new if x[0] != "\n"]
-        self.known.update(zip(after, self.spaced(after)))
-        self.known.update(zip(bare, self.whole([x[1:] or x for x in bare])))
-        get = self.known.__getitem__
-        for piece, plan in plans:
-            if len(plan) > 1:
-                self.known[piece] = b"".join(map(get, plan))
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > self.KNOWN:
-            self.known.clear()
-        pieces = [x.split(" ") if x and " ".join(x.split()) == x.replace("\n", " ") else None for x in texts]
-        self.learn(set().union(*(p[1:] for p in pieces if p)) - self.known.keys())
-        heads = self.whole([p[0] if p else x for x, p in zip(texts, pieces)])
-        get = self.known.__getitem__
-        return [np.frombuffer(h + b"".join(map(get, p[1:])) if p else h, self.dtype) for h, p in zip(heads, pieces)]
-
 
 def open_fs(uri: str):
     from pyarrow import fs
@@ -210,14 +288,9 @@ def writer_of(folder: str, vocab: str, end_id: int, sequence: int, file_ids: int
         encoder, out, file_no, row = None, None, 0, 0
         for batch in batches:
             encoder = encoder or encoder_of(vocab)
-            texts, ids = batch.column("text").to_pylist(), batch.column("doc_id")
-            rows, i = [], 0
-            while i < len(texts):
-                j, size = i, 0
-                while j < len(texts) and (j == i or size < PART_CHARS):
-                    size += len(texts[j] or "")
-                    j += 1
-                for tokens in encoder([t or "" for t in texts[i:j]]):
+            ids, rows = batch.column("doc_id"), []
+            for _, _, data, offsets in chunks(batch.column("text"), PART):
+                for tokens in encoder(data, offsets):
                     if out is not None and out.written + out.held >= file_ids:
                         out.close()
                         out, file_no = None, file_no + 1
@@ -225,7 +298,6 @@ def writer_of(folder: str, vocab: str, end_id: int, sequence: int, file_ids: int
                     first = out.add(np.append(tokens, encoder.dtype.type(end_id)))
                     rows.append((file_no, out.name, row, first, len(tokens) + 1))
                     row += 1
-                i = j
             if rows:
                 no, name, place, first, n = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
