@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, importance, minhash, mixing, packing, pii, quality_rules, sharding, token_output
+from . import embedding_dedup, importance, minhash, mixing, packing, pii, quality_rules, sharding, suffix_dedup, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.balanced_shards(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query("op3_suffix_dedup", suffix_dedup.oracle())
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op4_minhash", minhash.oracle())
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text")).drop("text_key")
