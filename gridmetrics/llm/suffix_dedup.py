@@ -251,8 +251,9 @@ def across_buckets(scratch: Scratch, entries: DataFrame) -> DataFrame:
     while not rows.isEmpty():
         hashed = scratch.save(rows.mapInArrow(range_hashes, SPLIT + ", common long, whole long"), "hashed")
         near = hashed.groupBy("core", "lo", "common").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
-        same = (hashed.filter("whole IS NOT NULL").groupBy("core", "lo", "whole").agg(F.count("*").alias("c"))
-                .filter("c > 1").select("core", "lo", "whole", F.lit(True).alias("repeat")))
+        same = (hashed.filter("whole IS NOT NULL").groupBy("core", "lo", "whole")
+                .agg(F.count("*").alias("c"), F.min("context").alias("speaker")).filter("c > 1")
+                .select("core", "lo", "whole", "speaker", F.lit(True).alias("repeat")))
         live = hashed.join(near, ["core", "lo", "common"]).join(same, ["core", "lo", "whole"], "left")
         live = scratch.save(live, "live")
         done = live.filter("repeat").select("core", "context", F.col("lo").alias("least"), F.col("hi").alias("greatest"))
@@ -262,7 +263,8 @@ def across_buckets(scratch: Scratch, entries: DataFrame) -> DataFrame:
                          F.struct((middle + 1).alias("lo"), F.col("hi").alias("hi")))
         old = rows
         cols = [c.split()[0] for c in ENTRY.split(", ")]
-        rows = scratch.save(live.filter("repeat IS NULL AND lo < hi").select(*cols, F.explode(halves).alias("h"))
+        # of entries with equal bytes one goes on, for others that share some of its suffixes
+        rows = scratch.save(live.filter("(repeat IS NULL OR context = speaker) AND lo < hi").select(*cols, F.explode(halves).alias("h"))
                             .select(*cols, "h.lo", "h.hi"), "split")
         scratch.drop(old, hashed)
     if found is None:
