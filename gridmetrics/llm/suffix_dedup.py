@@ -40,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -124,20 +125,34 @@ def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 ENTRY = "core long, context long, before int, after int, bytes binary, lead binary"
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
+    """Small parts of the batches, where rows become Python objects."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes around the wanted places of each text."""
-    for batch in batches:
-        out = {k: [] for k in ("core", "context", "before", "after", "bytes", "lead")}
-        for text, want in zip(batch.column("text").to_pylist(), batch.column("want").to_pylist()):
+    for part in slices(batches):
+        want = part.column("want")
+        fields = want.flatten()
+        place, core, context = (fields.field(k) for k in ("place", "core", "context"))
+        parts, lead, before = [], [], []
+        places = iter(place.to_pylist())
+        for text, n in zip(part.column("text").to_pylist(), want.value_lengths().to_pylist()):
             data = text.encode()
-            for w in want:
-                at = w["place"]
-                lo, hi = max(0, at - LEFT), min(len(data), at + RIGHT)
-                for k, v in (("core", w["core"]), ("context", w["context"]), ("before", at - lo), ("after", hi - at),
-                             ("bytes", data[lo:hi]), ("lead", data[at:at + CORE])):
-                    out[k].append(v)
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=list(out))
+            for _ in range(n):
+                at = next(places)
+                lo = max(0, at - LEFT)
+                parts.append(data[lo:at + RIGHT])
+                lead.append(data[at:at + CORE])
+                before.append(at - lo)
+        left = pa.array(before, pa.int32())
+        size = pa.array([len(x) for x in parts], pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [core, context, left, pc.subtract(size, left), pa.array(parts, pa.binary()), pa.array(lead, pa.binary())],
+            names=["core", "context", "before", "after", "bytes", "lead"])
 
 
 def prefix_table(before: np.ndarray, parts: list[bytes]) -> np.ndarray:
@@ -317,7 +332,7 @@ CUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 stri
 
 def cutter(digest: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for doc, text, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans"))):
                 data = text.encode()
