@@ -24,7 +24,7 @@ import entry_oracles as O  # noqa: E402
 from gridmetrics import operators as ops  # noqa: E402
 from gridmetrics import sources as src  # noqa: E402
 from gridmetrics.plans import adapters as ad  # noqa: E402
-from gridmetrics.plans.pipeline import eu_pipeline, global_pipeline, materialize  # noqa: E402
+from gridmetrics.plans.pipeline import eu_pipeline, global_pipeline, run_eu  # noqa: E402
 from gridmetrics.schema import (CN_MONTHLY_PROFILE, EU27, EU_HOURLY_PROFILE, KPI_COLS,  # noqa: E402
                                 METRIC_RULES, SOURCE_RULES, US_DAILY_PROFILE)
 from gridmetrics.session import ensure_utc, scratch_path  # noqa: E402
@@ -76,6 +76,8 @@ def sig_round_sql(col: str) -> str:
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
+#: The operators' own frames, without the check's rounding (what ``bench.py`` times).
+_FRAMES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def finalize(df: DataFrame) -> DataFrame:
@@ -111,6 +113,7 @@ def register(name: str, sql: str | None = None, doubles: list[str] | None = None
         run.__name__ = name
         run.__doc__ = fn.__doc__
         _QUERIES[name] = run
+        _FRAMES[name] = fn
         if sql is not None:
             _ORACLES[name] = oracle_round(sql, doubles or [])
         return fn
@@ -226,10 +229,9 @@ def q_kpi_compute(spark, sf):
 @register("kpi_with_dq", O.with_(O.eu_chain("readings", "day"), f"SELECT {KPI_SELECT} FROM kpi"),
           KPI_DOUBLES)
 def q_kpi_with_dq(spark, sf):
-    """KPI left-joined with the DQ roll-up of the same period. The bucket
-    coverage feeds both sides, so it is written once to the shared folder and
-    read back (one raw scan instead of two)."""
-    cov = materialize(spark, _cov(spark, sf, "day"), "coverage")
+    """KPI left-joined with the DQ roll-up of the same period. Both sides
+    come from one lazy coverage frame; Spark reuses its exchanges."""
+    cov = _cov(spark, sf, "day")
     return ops.compute_kpis(ops.bucketed_view(cov), "day", dq=ops.dq_rollup(cov))
 
 
@@ -326,9 +328,8 @@ def q_dq_summary(spark, sf):
           O.with_(_chain_day(), f"SELECT {KPI_SELECT} FROM kpi WHERE period_start_utc = (SELECT max(period_start_utc) FROM kpi)"),
           KPI_DOUBLES)
 def q_latest_snapshot(spark, sf):
-    """Every KPI row at the overall latest bucket. The KPI table is read
-    twice (max, then rows), so it is materialised once in the shared folder."""
-    return ops.latest_snapshot(materialize(spark, _kpi_day(spark, sf), "kpi"))
+    """Every KPI row at the overall latest bucket; one plan, nothing written."""
+    return ops.latest_snapshot(_kpi_day(spark, sf))
 
 
 @register("regional_comparison",
@@ -444,8 +445,8 @@ def q_yearly_kpis(spark, sf):
   JOIN (SELECT * FROM yearly WHERE year = {YEARS[1]}) b ON a.country_iso2 IS NOT DISTINCT FROM b.country_iso2"""),
           ["value_a", "value_b", "delta_abs", "delta_pct"])
 def q_year_compare(spark, sf):
-    """Year A vs year B per country (NULL-safe inner self-join)."""
-    return ops.year_compare(ops.yearly_kpis(A(spark, sf, "daily_prices")), "avg_price", *YEARS)
+    """Year A vs year B per country (one scan of the two years; oracle: self-join)."""
+    return ops.year_compare(ops.yearly_kpis(A(spark, sf, "daily_prices"), years=YEARS), "avg_price", *YEARS)
 
 
 @register("yoy_change",
@@ -491,14 +492,13 @@ def _cmp_cte():
     deltas = [f"{m}_{b} - {m}_{a} AS {m}_delta" for m in ops.compare.COMPARE_METRICS]
     return [f"""ky AS (SELECT *, year(period_start_utc) AS yr FROM kpi_years
   WHERE region = 'EU' AND country IS NOT NULL AND NOT {_STUB} AND (
-   (period_start_utc >= TIMESTAMP '{a}-01-01' AND period_start_utc < TIMESTAMP '{a}-01-01' + INTERVAL 7 DAY)
-   OR (period_start_utc >= TIMESTAMP '{b}-01-01' AND period_start_utc < TIMESTAMP '{b}-01-01' + INTERVAL 7 DAY)))""",
+   year(period_start_utc) IN ({a}, {b})))""",
             f"cmp0 AS (SELECT country, {', '.join(per)} FROM ky GROUP BY country)",
             f"cmp AS (SELECT *, {', '.join(deltas)} FROM cmp0)"]
 
 
 def _cmp(spark, sf):
-    return ops.year_comparison(A(spark, sf, "kpi_years"), YEARS, 7)
+    return ops.year_comparison(A(spark, sf, "kpi_years"), YEARS)
 
 
 def _cmp_sql(select, extra=None):
@@ -507,10 +507,17 @@ def _cmp_sql(select, extra=None):
 
 @register("year_comparison", _cmp_sql("SELECT * FROM cmp"), _cmp_cols())
 def q_year_comparison(spark, sf):
-    """Per-country metrics of two years (first 7 days each) and deltas."""
+    """Per-country metrics of two whole years and deltas."""
     return _cmp(spark, sf)
 
 
+@register("year_comparison_ranked", _cmp_sql("""SELECT *, CAST(row_number() OVER (
+  ORDER BY renewable_share_pct_delta DESC NULLS LAST, country) AS BIGINT) AS delta_rank FROM cmp"""), _cmp_cols())
+def q_year_comparison_ranked(spark, sf):
+    """The comparison in sink order (largest delta first, NULL last), the place as a column."""
+    return ops.ranked_by_delta(_cmp(spark, sf))
+
+
 for _m, _key in (("renewable_share_pct", "top_movers_renewable"), ("avg_price", "top_movers_price")):
     def _mk3(m=_m, key=_key):
         @register(key, _cmp_sql(f"SELECT country, {m}_{YEARS[0]}, {m}_{YEARS[1]}, {m}_delta FROM cmp "
@@ -579,34 +586,30 @@ def q_drop_empty(spark, sf):
 M1_DOUBLES = ["value"]
 
 
-def _eu_bounds(spark, sf, cap_src="readings"):
-    r = A(spark, sf, cap_src)
-    rng = src.data_range(r, "ts_utc", "day")
-    countries = ops.eu_scope(ops.normalize_ts(r)).select("country").distinct()
-    both = rng.select(F.struct("start", "end")).scalar()        # one scalar subquery, one scan
-    return countries.select("country", both["start"].alias("start"), both["end"].alias("end"))
+def _eu_bounds(spark, sf):
+    """Observed member countries, each with the day range of the whole table (one scan)."""
+    return ops.eu_scope(src.country_bounds(A(spark, sf, "readings"))).select("country", "start", "end").distinct()
 
 
 def _years_bounds(spark, sf):
     return src.data_range(A(spark, sf, "readings_years"), "ts_utc", "day")
 
 
-def _duck_eu_grid(cap=None):
-    lim = f" WHERE ts_utc < s + INTERVAL {cap} HOUR" if cap else ""
+def _duck_eu_grid():
     return [O.scope_cte("scoped", "readings"),
             "rng AS (SELECT date_trunc('day', min(ts_utc)) AS s, date_trunc('day', max(ts_utc)) + INTERVAL 1 DAY AS e FROM readings)",
             f"eg AS (SELECT country, ts_utc FROM (SELECT c.country, s, unnest(generate_series(s, e - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS ts_utc "
-            f"FROM (SELECT DISTINCT country FROM scoped) c CROSS JOIN rng){lim})",
+            f"FROM (SELECT DISTINCT country FROM scoped) c CROSS JOIN rng))",
             O.profile_cte("eprof", EU_HOURLY_PROFILE)]
 
 
 _YRNG = ("yrng AS (SELECT date_trunc('day', min(ts_utc)) AS s, date_trunc('day', max(ts_utc)) + INTERVAL 1 DAY AS e "
          "FROM readings_years)")
 _DAYS = ("dg AS (SELECT ts_utc FROM (SELECT s, unnest(generate_series(s, e - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS ts_utc "
-         "FROM yrng) WHERE ts_utc < s + INTERVAL 60 DAY)")
+         "FROM yrng))")
 _MONTHS = ("mg AS (SELECT ts_utc FROM (SELECT f, e, unnest(generate_series(f, e, INTERVAL 1 MONTH)) AS ts_utc FROM ("
            "SELECT CASE WHEN date_trunc('month', s) = s THEN date_trunc('month', s) ELSE date_trunc('month', s) + INTERVAL 1 MONTH END AS f, e FROM yrng)) "
-           "WHERE ts_utc < e AND ts_utc < f + INTERVAL 24 MONTH)")
+           "WHERE ts_utc < e)")
 _EU_BASE = O.baseline_select("eg", "eprof", "hour", "'EU'", "g.country", "entsoe")
 _US_BASE = O.baseline_select("dg", "uprof", "day", "'US'", "'US'", "eia")
 _CN_BASE = O.baseline_select("mg", "cprof", "month", "'CN'", "'CN'", "nbs_cn")
@@ -618,17 +621,11 @@ def q_baseline_hourly(spark, sf):
     return src.baseline_hourly(_eu_bounds(spark, sf))
 
 
-@register("baseline_hourly_capped", O.with_(ad.duck_ctes("readings") + _duck_eu_grid(48), _EU_BASE), M1_DOUBLES)
-def q_baseline_hourly_capped(spark, sf):
-    """The older hourly profile limited to the first 48 steps."""
-    return src.baseline_hourly(_eu_bounds(spark, sf), cap=48)
-
-
 @register("baseline_daily",
           O.with_(ad.duck_ctes("readings_years") + [_YRNG, _DAYS, O.profile_cte("uprof", US_DAILY_PROFILE)], _US_BASE),
           M1_DOUBLES)
 def q_baseline_daily(spark, sf):
-    """Daily US profile, first 60 days of the range."""
+    """Daily US profile over the whole range."""
     return src.baseline_daily(_years_bounds(spark, sf))
 
 
@@ -636,7 +633,7 @@ def q_baseline_daily(spark, sf):
           O.with_(ad.duck_ctes("readings_years") + [_YRNG, _MONTHS, O.profile_cte("cprof", CN_MONTHLY_PROFILE)], _CN_BASE),
           M1_DOUBLES)
 def q_baseline_monthly(spark, sf):
-    """S3: monthly CN profile, first 24 month starts on/after the range start."""
+    """S3: monthly CN profile, month starts on/after the range start."""
     return src.baseline_monthly(_years_bounds(spark, sf))
 
 
@@ -685,16 +682,18 @@ def q_fuel_buckets(spark, sf):
 @register("flatten_columns",
           O.with_(ad.duck_ctes("gen_wide"), 'SELECT ts, country, wind_onshore AS "Wind Onshore_Actual Aggregated", '
                   'fossil_gas AS "Wind Onshore_Actual Consumption", nuclear AS "Nuclear_Actual Aggregated", '
-                  'waste AS "Nuclear" FROM gen_wide'),
-          ["Wind Onshore_Actual Aggregated", "Wind Onshore_Actual Consumption", "Nuclear_Actual Aggregated", "Nuclear"])
+                  'waste AS "Nuclear", hydro_pumped_storage AS "Hydro.Pumped" FROM gen_wide'),
+          ["Wind Onshore_Actual Aggregated", "Wind Onshore_Actual Consumption", "Nuclear_Actual Aggregated", "Nuclear",
+           "Hydro.Pumped"])
 def q_flatten_columns(spark, sf):
-    """P20: two-level column names flattened, blank levels skipped."""
+    """P20: two-level column names flattened, blank levels skipped, dots kept."""
     g = A(spark, sf, "gen_wide")
     nested = g.select("ts", "country",
                       F.struct(F.col("wind_onshore").alias("Actual Aggregated"),
                                F.col("fossil_gas").alias("Actual Consumption")).alias("Wind Onshore"),
                       F.struct(F.col("nuclear").alias("Actual Aggregated"),
-                               F.col("waste").alias(" ")).alias("Nuclear"))
+                               F.col("waste").alias(" ")).alias("Nuclear"),
+                      F.col("hydro_pumped_storage").alias("Hydro.Pumped"))
     return src.flatten_columns(nested)
 
 
@@ -774,46 +773,48 @@ def q_eu_scope_export(spark, sf):
     return ops.export_scope(src.monthly_to_long(A(spark, sf, "monthly_raw")))
 
 
-LINK_PATTERN = r'href="(/[^"]+)"'
-
-
-@register("page_data_links", """SELECT page_id, concat(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1), link) AS data_url
-FROM (SELECT page_id, url, nullif(regexp_extract(html, '(?i)href="(/[^"]+)"', 1), '') AS link FROM pages) WHERE link IS NOT NULL""")
+@register("page_data_links", O.with_(ad.duck_ctes("linked_pages"), """SELECT page_id,
+  CASE WHEN link LIKE '/%' THEN concat(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1), link) ELSE link END AS data_url
+FROM (SELECT page_id, url, nullif(regexp_extract(html, '(?i)href="([^"]+\\.csv)"', 1), '') AS link FROM linked_pages) WHERE link IS NOT NULL"""))
 def q_page_data_links(spark, sf):
-    """First matching link per page, site-relative links made absolute."""
-    return src.page_data_links(ad.load_table(spark, sf, "pages"), LINK_PATTERN)
+    """First CSV link per page, site-relative links made absolute."""
+    return src.page_data_links(A(spark, sf, "linked_pages"))
 
 
 # ---------------------------------------------------------------------------
 # Fallback, range selection, country aliases
 # ---------------------------------------------------------------------------
-_RUN_WIN = ("win AS (SELECT date_trunc('day', max(ts_utc)) AS ws, date_trunc('day', max(ts_utc)) + INTERVAL 1 DAY AS we "
-            "FROM readings_years)")
-
-
-@register("fallback_fill",
-          O.with_(ad.duck_ctes("readings", "readings_years")
-                  + [O.scope_cte("scoped", "readings"), O.scope_cte("scoped_y", "readings_years"), _RUN_WIN,
-                     "req AS (SELECT DISTINCT country FROM scoped)",
-                     "obs AS (SELECT s.* FROM scoped_y s, win WHERE s.ts_utc >= win.ws AND s.ts_utc < win.we "
-                     "AND s.country IN (SELECT country FROM req))",
-                     "miss AS (SELECT country FROM req WHERE country NOT IN (SELECT country FROM obs WHERE metric IN ('generation','price')))",
-                     "eg AS (SELECT country, unnest(generate_series(ws, we - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS ts_utc FROM miss, win)",
-                     O.profile_cte("eprof", EU_HOURLY_PROFILE)],
-                  f"SELECT *, 'live' AS source_kind FROM obs UNION ALL SELECT *, 'stub' AS source_kind FROM ({_EU_BASE})"),
-          M1_DOUBLES)
+_FILLED = (ad.duck_ctes("readings_partial") + [
+    O.scope_cte("scoped", "readings_partial"),
+    "win AS (SELECT date_trunc('day', min(ts_utc)) AS ws, date_trunc('day', max(ts_utc)) + INTERVAL 1 DAY AS we FROM readings_partial)",
+    "req AS (SELECT DISTINCT country FROM scoped)",
+    "miss AS (SELECT country FROM req WHERE country NOT IN (SELECT country FROM scoped WHERE metric IN ('generation','price')))",
+    "eg AS (SELECT country, unnest(generate_series(ws, we - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS ts_utc FROM miss, win)",
+    O.profile_cte("eprof", EU_HOURLY_PROFILE),
+    f"runrows AS (SELECT *, 'live' AS source_kind FROM scoped UNION ALL SELECT *, 'stub' AS source_kind FROM ({_EU_BASE}))"])
+
+
+def _request(spark, sf):
+    """Feed, requested countries (all that ever report), and the run window (the feed's days)."""
+    feed = A(spark, sf, "readings_partial")
+    win = src.data_range(feed).select(F.struct("start", "end")).scalar()
+    return feed, ops.eu_scope(feed.select("country").distinct()).select("country"), win["start"], win["end"]
+
+
+@register("fallback_fill", O.with_(_FILLED, "SELECT * FROM runrows"), M1_DOUBLES)
 def q_fallback_fill(spark, sf):
-    """A daily run for the latest day of the lineitem-based feed: the
-    requested countries (those in the events-based readings) that delivered
-    no generation or price rows that day get the hourly baseline. The run
-    window is derived from the data (one struct scalar subquery)."""
-    feed = A(spark, sf, "readings_years")
-    requested = ops.eu_scope(ops.normalize_ts(A(spark, sf, "readings"))).select("country")
-    observed = ops.eu_scope(ops.normalize_ts(feed))
-    day = F.date_trunc("day", F.max("ts_utc"))
-    win = feed.select(F.struct(day.alias("ws"), (day + F.expr("INTERVAL 1 DAY")).alias("we"))).scalar()
-    # requested names come out of the member scope: at most 27 distinct rows
-    return src.fallback_fill(observed, requested, win["ws"], win["we"], requested_is_small=True)
+    """Requested countries that delivered no generation or price rows in
+    the run window get the hourly baseline, the others keep their rows."""
+    feed, requested, start, end = _request(spark, sf)
+    return src.fallback_fill(ops.eu_scope(ops.normalize_ts(feed)), requested, start, end)
+
+
+@register("run_kind", O.with_(_FILLED, """SELECT CASE WHEN count(*) FILTER (WHERE source_kind = 'live') = 0 THEN 'eu_stub'
+  WHEN count(*) FILTER (WHERE source_kind = 'stub') > 0 THEN 'eu_live_with_stub' ELSE 'eu_live' END AS raw_kind FROM runrows"""))
+def q_run_kind(spark, sf):
+    """Label of a run that mixes live and stub countries."""
+    feed, requested, start, end = _request(spark, sf)
+    return src.run_kind(src.fallback_fill(ops.eu_scope(ops.normalize_ts(feed)), requested, start, end))
 
 
 @register("range_select",
@@ -846,11 +847,11 @@ def q_country_alias(spark, sf):
 # Round trips through files, global pipeline
 # ---------------------------------------------------------------------------
 
-@register("csv_roundtrip", O.with_(ad.duck_ctes("monthly_raw"), "SELECT * FROM monthly_raw"))
+@register("csv_roundtrip", O.with_(ad.duck_ctes("text_rows"), "SELECT * FROM text_rows"))
 def q_csv_roundtrip(spark, sf):
-    """CSV sink then all-text CSV scan (header and whitespace verbatim)."""
+    """CSV sink then all-text CSV scan; line breaks, quotes, empty text and NULL survive."""
     path = scratch_path(spark, "csv_roundtrip")
-    src.write_csv(A(spark, sf, "monthly_raw"), path)
+    src.write_csv(A(spark, sf, "text_rows"), path)
     return src.read_csv(spark, path)
 
 
@@ -867,17 +868,89 @@ def q_raw_cache_roundtrip(spark, sf):
 @register("latest_cached", O.with_(ad.duck_ctes("readings") + [O.scope_cte("scoped", "readings")],
                                    "SELECT * FROM scoped"), M1_DOUBLES)
 def q_latest_cached(spark, sf):
-    """Of two cache entries, read the most recently written one. The
-    later entry also has the greater path, so a modification-time tie on a
-    coarse-clock file system resolves the same way."""
+    """Of two cache entries, read the one committed last: laid out by
+    month, at the smaller path (the entry before it is flat and at the greater)."""
     root = scratch_path(spark, "raw_cache")
     src.write_raw(src.monthly_to_long(A(spark, sf, "monthly_raw")),
                   src.raw_path(root, "ember", "monthly", {"mode": "global"}))
     src.write_raw(ops.eu_scope(ops.normalize_ts(A(spark, sf, "readings"))),
-                  src.raw_path(root, "entsoe", "eu", {"mode": "eu"}))
+                  src.raw_path(root, "actuals", "eu", {"mode": "eu"}), partition_by_month=True)
     return src.read_latest_cached(spark, root)
 
 
+_KPI_ITEMS = ["total_generation_mwh", "renewable_share_pct", "fossil_share_pct", "nuclear_share_pct", "avg_price",
+              "price_volatility", "dq_coverage_pct"]
+_KPI_LATEST_CTE = f"""kl AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY region, country ORDER BY period_start_utc DESC) AS rn
+  FROM kpi WHERE country IN ({_EU_NAMES})) WHERE rn = 1)"""
+
+
+@register("kpi_latest_document", O.with_(_chain_day() + [_KPI_LATEST_CTE], f"""SELECT 'day' AS period,
+  strftime((SELECT max(period_start_utc) FROM kl), '%Y-%m-%dT%H:%M:%SZ') AS document_start, region, country,
+  strftime(period_start_utc, '%Y-%m-%dT%H:%M:%SZ') AS period_start_utc, price_unit, dq_issue_count, {', '.join(_KPI_ITEMS)} FROM kl"""),
+          _KPI_ITEMS)
+def q_kpi_latest_document(spark, sf):
+    """The latest-KPI document, written as JSON and read back, one row per item."""
+    path = scratch_path(spark, "kpi_latest")
+    src.write_json_document(src.kpi_latest_document(_kpi_day(spark, sf), "day"), path)
+    doc = src.read_json_document(spark, path).withColumnRenamed("period_start_utc", "document_start")
+    cols = ["region", "country", "period_start_utc", "price_unit", "dq_issue_count", *_KPI_ITEMS]
+    return doc.select("period", "document_start", F.explode("items").alias("i")).select(
+        "period", "document_start", *(F.col(f"i.{c}") for c in cols))
+
+
+@register("dq_latest_document", O.with_(_chain_day() + [_DQ_LATEST], """SELECT 'day' AS period,
+  strftime(max(ts_utc) OVER (), '%Y-%m-%dT%H:%M:%SZ') AS document_ts, min(coverage_pct) OVER () AS min_coverage_pct,
+  CAST(sum(CASE WHEN coverage_pct < 98.0 THEN 1 ELSE 0 END) OVER () AS BIGINT) AS countries_below_98pct,
+  CAST(sum(issue_count) OVER () AS BIGINT) AS total_issue_count, region, country,
+  strftime(ts_utc, '%Y-%m-%dT%H:%M:%SZ') AS ts_utc, coverage_pct, issue_count FROM dql"""),
+          ["min_coverage_pct", "coverage_pct"])
+def q_dq_latest_document(spark, sf):
+    """The latest-DQ document, written as JSON and read back, one row per item."""
+    path = scratch_path(spark, "dq_latest")
+    src.write_json_document(src.dq_latest_document(ops.dq_rollup(_cov(spark, sf, "day")), "day"), path)
+    doc = src.read_json_document(spark, path)
+    return doc.select("period", F.col("ts_utc").alias("document_ts"), "summary.*", F.explode("items").alias("i")).select(
+        "period", "document_ts", "min_coverage_pct", "countries_below_98pct", "total_issue_count",
+        *(F.col(f"i.{c}") for c in ("region", "country", "ts_utc", "coverage_pct", "issue_count")))
+
+
+def _run_oracle():
+    ctes = _FILLED + O.bucket_ctes("runrows", "day")
+    ctes.append(f"bucketed AS ({O.bucketed_select('cov')})")
+    ctes.append(O.dq_cte("cov"))
+    ctes += O.kpi_ctes("bucketed", "day", "dq")
+    return O.with_(ctes, f"SELECT {KPI_SELECT}, 'entsoe' AS raw_source, 'eu_live_with_stub' AS raw_kind FROM kpi "
+                         f"WHERE country IN ({_EU_NAMES})")
+
+
+@register("eu_run", _run_oracle(), KPI_DOUBLES)
+def q_eu_run(spark, sf):
+    """A whole run (request, fallback, raw cache, reports); its history file
+    read back, with the labels that the run reports."""
+    feed, requested, start, end = _request(spark, sf)
+    out = run_eu(spark, feed, scratch_path(spark, "eu_run"), "day", requested=requested, start=start, end=end)
+    return (src.read_kpi_history(spark, out["kpi_history_csv"])
+            .withColumn("raw_source", F.lit(out["raw_source"])).withColumn("raw_kind", F.lit(out["raw_kind"])))
+
+
+@register("history_head", O.with_(_chain_day(), f"SELECT {KPI_SELECT} FROM kpi ORDER BY region NULLS LAST, country NULLS LAST, "
+                                                "period_start_utc NULLS LAST LIMIT 10"), KPI_DOUBLES)
+def q_history_head(spark, sf):
+    """T5: first 10 rows in a stated order (a top-k)."""
+    return ops.head_rows(_kpi_day(spark, sf), ["region", "country", "period_start_utc"], 10)
+
+
+@register("monthly_dropped_rows", O.with_(ad.duck_ctes("monthly_raw") + [f"""mr AS (SELECT TRY_CAST("Date" AS TIMESTAMP) AS ts,
+  TRY_CAST("Value" AS DOUBLE) AS v, {O.rule_case('lower(trim(" Variable"))', METRIC_RULES, 'other')} AS m FROM monthly_raw)"""],
+    """SELECT count(*) AS n_rows, count(*) FILTER (WHERE ts IS NULL) AS bad_date,
+  count(*) FILTER (WHERE ts IS NOT NULL AND v IS NULL) AS bad_value,
+  count(*) FILTER (WHERE ts IS NOT NULL AND v IS NOT NULL AND m = 'other') AS other_metric,
+  count(*) FILTER (WHERE ts IS NOT NULL AND v IS NOT NULL AND m <> 'other') AS kept FROM mr"""))
+def q_monthly_dropped_rows(spark, sf):
+    """What the monthly shaping keeps and drops, and why."""
+    return src.dropped_rows(A(spark, sf, "monthly_raw"))
+
+
 @register("kpi_history_export", O.with_(_chain_day(), f"SELECT {KPI_SELECT} FROM kpi WHERE country IN ({_EU_NAMES})"),
           KPI_DOUBLES)
 def q_kpi_history_export(spark, sf):
@@ -925,6 +998,10 @@ def entry(spark: SparkSession) -> DataFrame:
     return _QUERIES["eu_pipeline"](spark, SMOKE_DIR)
 
 
+def frames() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_FRAMES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

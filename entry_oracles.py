@@ -4,7 +4,7 @@ Written independently of the Spark code path, in the *reference* form where
 the two differ: the KPI is the union of three aggregates joined back
 (Spark: one conditional aggregate), gap filling uses per-series
 ``generate_series`` (Spark: ``lead`` + ``sequence``), and so on. Doubles are
-rounded to 6 decimals on both sides before comparison.
+normalised to 10 significant digits on both sides before comparison.
 """
 
 from __future__ import annotations

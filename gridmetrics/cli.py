@@ -12,10 +12,11 @@ import argparse
 import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .functions import resolve_level
 from .operators.compare import order_by_delta, year_comparison
+from .operators.scope import range_select
+from .schema import MIN_COVERAGE_PCT
 from .session import build_session, ensure_utc
 from .sources.sinks import read_kpi_history, write_csv
 
@@ -41,11 +42,13 @@ def main(argv: list[str] | None = None) -> dict:
     run.add_argument("--start", default=None)
     run.add_argument("--end", default=None)
     run.add_argument("--agg", default=None, help="hour|day|week|month")
+    run.add_argument("--min-coverage", type=float, default=MIN_COVERAGE_PCT, help="data-quality threshold in percent")
+    run.add_argument("--date-format", action="append", help="further date pattern of the monthly table (repeatable)")
     run.add_argument("--out", required=True)
     cmp = sub.add_parser("compare")
     cmp.add_argument("--history", required=True)
     cmp.add_argument("--years", default="2015,2024")
-    cmp.add_argument("--window-days", type=int, default=7)
+    cmp.add_argument("--window-days", type=int, default=None, help="first days of each year only (default: whole years)")
     cmp.add_argument("--out", required=True)
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
@@ -55,13 +58,14 @@ def main(argv: list[str] | None = None) -> dict:
     if a.cmd == "compare":
         years = [int(y) for y in a.years.split(",")]
         cmp_df = year_comparison(read_kpi_history(spark, a.history), years, a.window_days)
-        return {"year_comparison_csv": write_csv(order_by_delta(cmp_df).coalesce(1), a.out)}
+        return {"year_comparison_csv": write_csv(order_by_delta(cmp_df), a.out)}
 
     from .plans.pipeline import run_eu, run_global
     from .schema import READINGS
     level = resolve_level(a.mode, a.agg)
     if a.mode == "global":
-        return run_global(spark, _read(spark, a.input, a.format), a.out, level)
+        return run_global(spark, _read(spark, a.input, a.format), a.out, level, min_coverage_pct=a.min_coverage,
+                          date_formats=a.date_format)
     data = (_read(spark, a.input, a.format) if a.input
             else spark.createDataFrame([], READINGS))
     requested = None
@@ -71,10 +75,10 @@ def main(argv: list[str] | None = None) -> dict:
             raise SystemExit("--countries needs --start and --end (the run window)")
     params = {"mode": a.mode, "countries": _countries(a.countries) or None, "start": a.start,
               "end": a.end, "agg": level}
-    if a.start and a.end and requested is None:
-        data = data.where((F.col("ts_utc") >= F.to_timestamp(F.lit(a.start)))
-                          & (F.col("ts_utc") < F.to_timestamp(F.lit(a.end))))
-    return run_eu(spark, data, a.out, level, requested=requested, start=a.start, end=a.end, params=params)
+    if requested is None:
+        data = range_select(data, a.start, a.end)  # whichever bound is given
+    return run_eu(spark, data, a.out, level, requested=requested, start=a.start, end=a.end, params=params,
+                  min_coverage_pct=a.min_coverage)
 
 
 if __name__ == "__main__":

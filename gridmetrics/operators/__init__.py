@@ -3,7 +3,7 @@
 from .bucket import (DQConfig, aggregate_timeseries, bucket_coverage, bucket_values,
                      bucketed_view, dq_rollup, fill_interior_gaps, with_coverage)
 from .compare import (drop_placeholder_rows, order_by_delta, placeholder_mask, top_movers,
-                      year_compare, year_comparison, year_window_filter, yearly_kpis, yoy_change)
+                      ranked_by_delta, year_compare, year_comparison, year_window_filter, yearly_kpis, yoy_change)
 from .kpi import (attach_dq, compute_kpis, compute_kpis_with_quality, energy_mix, fill_mwh,
                   kpi_core, net_import, price_stats)
 from .reports import (delta_bounds, delta_headline, delta_range_filter, dq_latest_items,

@@ -24,10 +24,14 @@ COMPARE_METRICS = {
 
 
 def yearly_kpis(daily: DataFrame, country_col: str = "country_iso2", date_col: str = "date",
-                value_col: str = "avg_price") -> DataFrame:
+                value_col: str = "avg_price", years: Sequence[int] | None = None) -> DataFrame:
     """Mean and sample std of daily prices per country and calendar year,
-    rounded half-even to 2 decimals."""
+    rounded half-even to 2 decimals. ``years`` restricts the input to these
+    calendar years by range predicates on the date column, which reach the
+    scan (a test on ``year(date)`` would not)."""
     require_columns(daily, {country_col, date_col, value_col}, "daily df")
+    if years is not None:
+        daily = daily.where(in_years(date_col, years))
     d = daily.select(F.col(country_col).alias("country_iso2"),
                      ts_of(daily, date_col).alias("_d"), F.col(value_col).alias("_v"))
     d = d.where(F.col("_d").isNotNull() & F.col("country_iso2").isNotNull())
@@ -36,20 +40,31 @@ def yearly_kpis(daily: DataFrame, country_col: str = "country_iso2", date_col: s
                   round_half_even(F.stddev_samp("_v"), 2).alias("price_volatility")))
 
 
+def in_years(col: str, years: Sequence[int]) -> Column:
+    """Half-open date ranges of calendar years, as plain predicates on ``col``."""
+    cond = F.lit(False)
+    for y in years:
+        cond = cond | ((F.col(col) >= F.lit(f"{y:04d}-01-01").cast("timestamp"))
+                       & (F.col(col) < F.lit(f"{y + 1:04d}-01-01").cast("timestamp")))
+    return cond
+
+
 def year_compare(yearly: DataFrame, metric: str, year_a: int, year_b: int,
                  key: str = "country_iso2") -> DataFrame:
-    """Inner self-join of year A and year B per country (NULL keys match each
-    other); absolute and percent delta, percent NULL on a NULL or zero base."""
+    """Year A beside year B per key (NULL keys belong together), for the keys
+    that have both; absolute and percent delta, percent NULL on a NULL or zero
+    base. ``yearly`` has one row per key and year, so one conditional aggregate
+    over one scan does what a self-join would."""
     require_columns(yearly, {key, "year", metric}, "yearly df")
-    a = yearly.where(F.col("year") == year_a).select(F.col(key).alias("_ka"), F.col(metric).alias("value_a"))
-    b = yearly.where(F.col("year") == year_b).select(F.col(key).alias("_kb"), F.col(metric).alias("value_b"))
-    j = a.join(b, a["_ka"].eqNullSafe(b["_kb"]), "inner")
+    in_a, in_b = F.col("year") == year_a, F.col("year") == year_b
+    both = (yearly.where(in_a | in_b).groupBy(key)
+            .agg(F.max(F.when(in_a, F.col(metric))).alias("value_a"), F.max(F.when(in_b, F.col(metric))).alias("value_b"),
+                 F.count_if(in_a).alias("_a"), F.count_if(in_b).alias("_b"))
+            .where("_a > 0 AND _b > 0"))
     delta = F.col("value_b") - F.col("value_a")
-    pct = F.when(F.col("value_a").isNull() | (F.col("value_a") == 0), F.lit(None).cast("double")) \
-           .otherwise((delta / F.col("value_a")) * F.lit(100.0))
-    return j.select(F.col("_ka").alias(key), F.lit(year_a).cast("long").alias("year_a"),
-                    F.lit(year_b).cast("long").alias("year_b"), "value_a", "value_b",
-                    delta.alias("delta_abs"), pct.alias("delta_pct"))
+    base = F.nullif(F.col("value_a").cast("double"), F.lit(0.0))
+    return both.select(key, F.lit(year_a).cast("long").alias("year_a"), F.lit(year_b).cast("long").alias("year_b"),
+                       "value_a", "value_b", delta.alias("delta_abs"), (delta / base * F.lit(100.0)).alias("delta_pct"))
 
 
 def placeholder_mask(df: DataFrame) -> Column:
@@ -69,10 +84,10 @@ def drop_placeholder_rows(df: DataFrame) -> DataFrame:
     return df.where(~placeholder_mask(df))
 
 
-def year_window_filter(df: DataFrame, years: Sequence[int], window_days: int | None = 7,
+def year_window_filter(df: DataFrame, years: Sequence[int], window_days: int | None = None,
                        ts_col: str = "period_start_utc") -> DataFrame:
-    """Rows inside ``[Y-01-01, Y-01-01 + window_days)`` for each year, as
-    plain range predicates so they reach the scan."""
+    """Rows of each calendar year, or with ``window_days`` of its first days
+    only, as plain range predicates so they reach the scan."""
     cond = F.lit(False)
     for y in years:
         lo = F.to_timestamp(F.lit(f"{y:04d}-01-01"))
@@ -82,7 +97,7 @@ def year_window_filter(df: DataFrame, years: Sequence[int], window_days: int | N
     return df.where(cond)
 
 
-def year_comparison(kpi: DataFrame, years: Sequence[int] = (2015, 2024), window_days: int | None = 7,
+def year_comparison(kpi: DataFrame, years: Sequence[int] = (2015, 2024), window_days: int | None = None,
                     region: str = "EU", metrics: dict | None = None,
                     ts_col: str = "period_start_utc") -> DataFrame:
     """Per country: each metric for each year (mean, or sum for energy), then
@@ -114,6 +129,13 @@ def order_by_delta(cmp: DataFrame, metric: str = "renewable_share_pct") -> DataF
     return cmp.orderBy(F.col(f"{metric}_delta").desc_nulls_last(), F.col("country").asc())
 
 
+def ranked_by_delta(cmp: DataFrame, metric: str = "renewable_share_pct") -> DataFrame:
+    """The sink order as a column: 1 for the largest delta, NULL deltas last.
+    The comparison has one row per country, so one window may hold it."""
+    w = Window.orderBy(F.col(f"{metric}_delta").desc_nulls_last(), F.col("country").asc())
+    return cmp.withColumn("delta_rank", F.row_number().over(w).cast("long"))
+
+
 def top_movers(cmp: DataFrame, metric: str, years: Sequence[int], k: int = 10) -> DataFrame:
     """The k largest ``{metric}_delta`` rows (a top-k: TakeOrderedAndProject)."""
     a, b = years[0], years[-1]

@@ -59,9 +59,9 @@ def dq_summary(dq: DataFrame, period: str, threshold: float = REPORT_COVERAGE_PC
 
 def latest_snapshot(df: DataFrame, ts_col: str = "period_start_utc") -> DataFrame:
     """All rows at the overall latest timestamp: an equi-join with the
-    one-row global maximum (exactly one row, so broadcasting it is safe), in
-    the same plan as the input so the input's shuffles are computed once and
-    reused; no window over the whole table."""
+    one-row global maximum (exactly one row, so broadcasting it is safe); no
+    window over the whole table. The maximum's side needs the key columns
+    only, so its scan reads no values."""
     mx = df.agg(F.max(ts_col).alias("_latest_ts"))
     return df.join(F.broadcast(mx), F.col(ts_col) == F.col("_latest_ts"), "inner").drop("_latest_ts")
 
@@ -130,30 +130,29 @@ def price_summary(kpi: DataFrame, warn_missing_rate: float = 0.02) -> DataFrame:
                                      .otherwise(F.lit("WARN")))
 
 
-def table_profile(df: DataFrame, columns: Sequence[str] | None = None, sample_size: int = 50,
-                  approx: bool = False) -> DataFrame:
+def table_profile(df: DataFrame, columns: Sequence[str] | None = None, sample_size: int = 50) -> DataFrame:
     """Row count, distinct count and the ``sample_size`` smallest distinct
-    values of each text column.
+    values of each text column, from one scan.
 
-    The columns are unpivoted to (column_name, value); distinct values are
-    aggregated map-side, and the sample comes from a ``row_number`` limit that
-    Spark applies per partition before the shuffle, so no task ever holds more
-    than ``sample_size`` values per column from one input partition.
+    One ``(column_name, value)`` count, aggregated map-side, gives all three:
+    its sum, its number of non-NULL rows, and its first values (a
+    ``row_number`` limit that Spark applies per partition before the shuffle).
     """
     cols = list(columns) if columns else [c for c, t in df.dtypes if t == "string"]
     cols = [c for c in cols if c in df.columns]
     kv = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols
+        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols
     ])).alias("kv")).select("kv.*")
-    distinct_fn = F.approx_count_distinct if approx else F.count_distinct
-    stats = kv.groupBy("column_name").agg(F.count(F.lit(1)).cast("long").alias("n_rows"),
-                                         distinct_fn("value").cast("long").alias("distinct_count"))
+    counts = kv.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    stats = counts.groupBy("column_name").agg(F.sum("n").cast("long").alias("n_rows"),
+                                              F.count("value").cast("long").alias("distinct_count"))
     w = Window.partitionBy("column_name").orderBy("value")
-    sample = (kv.where(F.col("value").isNotNull()).distinct()
-                .withColumn("_rn", F.row_number().over(w))
-                .where(F.col("_rn") <= sample_size)
-                .groupBy("column_name")
-                .agg(F.array_join(F.array_sort(F.collect_list("value")), "|").alias("sample_values")))
+    # the test on n keeps the two branches' aggregate the same, so its exchange is reused
+    sample = (counts.where(F.col("value").isNotNull() & (F.col("n") > 0))
+                    .withColumn("_rn", F.row_number().over(w))
+                    .where(F.col("_rn") <= sample_size)
+                    .groupBy("column_name")
+                    .agg(F.array_join(F.array_sort(F.collect_list("value")), "|").alias("sample_values")))
     # one sample row per profiled column (at most ``sample_size`` values each):
     # bounded by the schema, so it is broadcast instead of shuffled
     return stats.join(F.broadcast(sample), "column_name", "left")

@@ -74,6 +74,10 @@ def export_scope(df: DataFrame, country_col: str = "country", region: str = "EU"
     return out
 
 
+def as_ts(x: Column | str) -> Column:
+    return F.to_timestamp(F.lit(x)) if isinstance(x, str) else x
+
+
 def range_select(df: DataFrame, start: str | None = None, end: str | None = None,
                  countries: Iterable[str] | None = None, ts_col: str = "ts_utc",
                  country_col: str = "country") -> DataFrame:

@@ -5,8 +5,8 @@ KPI-like history).
 Each adapter is ONE SQL text, run by Spark (tables bound as DataFrame
 parameters) and by DuckDB (tables as views), so both sides start from the
 same rows. Every adapter reads its whole source table; modulo arithmetic
-only *assigns* attributes (country, metric, NULL injection), it never
-filters rows.
+only *assigns* attributes (country, metric, NULL injection). The joins with
+the small value lists (geo, variables) match every row.
 """
 
 from __future__ import annotations
@@ -77,8 +77,9 @@ VARIABLES_CTE = ("v(k, variable, unit) AS (VALUES (0,'Total Generation','TWh'),(
                  "(4,'Day-ahead electricity price','EUR/MWh'),(5,'Demand','TWh'),"
                  "(6,'CO2 intensity','gCO2/kWh'),(7,'Hydro, Bioenergy and Other Renewables','TWh'))")
 
-WIDE_VARIABLES = ["Wind generation", "Gas power generation", " Nuclear Generation ",
-                  "Day-ahead electricity price"]
+WIDE_VARIABLES = ["Total Generation", "Wind generation", "Gas power generation", " Nuclear Generation ",
+                  "Day-ahead electricity price", "Demand", "CO2 intensity",
+                  "Hydro, Bioenergy and Other Renewables"]
 
 
 def _ctes_for(name: str) -> list[str]:
@@ -92,7 +93,7 @@ def monthly_wide_body(src: str) -> str:
     cols = ",\n  ".join(
         f"sum(CASE WHEN ` Variable` = '{v}' THEN TRY_CAST(`Value` AS DOUBLE) END) AS `{v}`"
         for v in WIDE_VARIABLES)
-    return f"SELECT `Date`, `Area`,\n  {cols}\nFROM {src} WHERE `Date` <> 'n/a' GROUP BY `Date`, `Area`"
+    return f"SELECT `Date`, `Area`,\n  {cols}\nFROM {src} GROUP BY `Date`, `Area`"
 
 
 _TABLES: dict[tuple[int, str], DataFrame] = {}
@@ -141,3 +142,26 @@ def duck_ctes(*names: str) -> list[str]:
 BODIES["country_lists"] = ("""
 SELECT e.event_id, concat(g.iso2, ', ', CASE WHEN e.event_id % 4 = 0 THEN 'de' ELSE 'DE' END, ' ,, ', g.name, ' ,') AS countries
 FROM {events} e JOIN geo g ON e.user_id % 30 = g.idx""", ["events"])
+
+# Readings in which a few countries deliver load only: silent for the fallback.
+BODIES["readings_partial"] = (BODIES["readings"][0].replace(
+    "    ELSE 'generation' END AS metric",
+    "    ELSE 'generation' END AS metric0, g.idx AS idx").replace("\nSELECT ", "\nSELECT ts_utc, period, region, country, "
+    "CASE WHEN idx % 9 = 4 THEN 'load' ELSE metric0 END AS metric, energy_source, value, unit, quality_flag, source_system "
+    "FROM (SELECT ", 1) + ") p", ["events"])
+
+# Text with everything a CSV file can trip over: quotes, backslashes, line breaks, NULL, empty.
+BODIES["text_rows"] = ("""
+SELECT CAST(d.doc_id AS VARCHAR(20)) AS doc_id,
+  CASE WHEN d.doc_id % 7 = 3 THEN NULL WHEN d.doc_id % 7 = 5 THEN '' ELSE d.text END AS text,
+  concat('"', d.lang, '", ', chr(92), d.source, chr(10)) AS label
+FROM {documents} d""", ["documents"])
+
+# Pages with CSV links: site-relative, absolute, or none.
+BODIES["linked_pages"] = ("""
+SELECT p.page_id, p.url, CASE p.page_id % 4
+    WHEN 0 THEN concat(p.html, '<a href="/files/', CAST(p.page_id AS VARCHAR(20)), '.csv">data</a>')
+    WHEN 1 THEN concat('<a HREF="https://data.example/', CAST(p.page_id AS VARCHAR(20)), '.CSV">data</a>', p.html)
+    WHEN 2 THEN concat(p.html, '<a href="/a.txt">a</a><a href="/b.csv">b</a><a href="/c.csv">c</a>')
+    ELSE p.html END AS html
+FROM {pages} p""", ["pages"])

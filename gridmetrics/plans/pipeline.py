@@ -22,7 +22,7 @@ from ..operators.scope import eu_scope, normalize_ts
 from ..schema import MIN_COVERAGE_PCT, READING_COLS
 from ..session import scratch_path
 from ..sources.cache import raw_path, read_raw, write_raw
-from ..sources.fallback import fallback_fill, run_kind
+from ..sources.fallback import fallback_fill, run_kind, run_source
 from ..sources.ingest import monthly_to_long
 from ..sources.sinks import (dq_latest_document, kpi_latest_document, write_json_document,
                              write_kpi_history)
@@ -51,8 +51,7 @@ def eu_raw(readings: DataFrame, requested: DataFrame | None = None,
     raw = eu_scope(normalize_ts(readings.select(*READING_COLS)))
     if requested is None:
         return raw.withColumn("source_kind", F.lit("live"))
-    # requested names are mapped into the member scope: at most 27 rows
-    return fallback_fill(raw, _requested_names(requested), start, end, requested_is_small=True)
+    return fallback_fill(raw, _requested_names(requested), start, end)
 
 
 def eu_pipeline(readings: DataFrame, level: str | None = None,
@@ -68,10 +67,11 @@ def eu_pipeline(readings: DataFrame, level: str | None = None,
 
 
 def global_pipeline(monthly: DataFrame, level: str | None = None,
-                    min_coverage_pct: float = MIN_COVERAGE_PCT) -> PipelineResult:
+                    min_coverage_pct: float = MIN_COVERAGE_PCT,
+                    metric_rules=None, source_rules=None, date_formats=None) -> PipelineResult:
     """Monthly global table -> canonical readings -> EU scope -> buckets -> KPI."""
     lv = resolve_level("global", level)
-    raw = monthly_to_long(monthly)
+    raw = monthly_to_long(monthly, metric_rules, source_rules, date_formats)
     cov = bucket_coverage(raw, lv, min_coverage_pct, scope=True)
     return PipelineResult(raw, cov, bucketed_view(cov), dq_rollup(cov),
                           compute_kpis_with_quality(cov, lv), lv)
@@ -86,63 +86,61 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _write_reports(spark: SparkSession, raw: DataFrame, level: str, out: str, source: str,
-                   params: dict, scope: bool, kind: str | None = None) -> dict[str, str]:
-    """Raw cache first; everything downstream reads the cache back, so the
-    source is scanned (and the fallback / shaping evaluated) exactly once, and
-    the coverage frame is materialised once for the three report sinks."""
-    cache = raw_path(f"{out}/raw", source, params.get("kind", source), dict(params, agg=level))
-    write_raw(raw, cache)
-    landed = read_raw(spark, cache)
-    if kind is None:
-        kind = run_kind(landed).first()["raw_kind"]
-    cov = materialize(spark, bucket_coverage(landed, level, scope=scope), "coverage")
+def _write_reports(spark: SparkSession, landed: DataFrame, level: str, out: str, scope: bool,
+                   min_coverage_pct: float) -> dict[str, str]:
+    """History CSV and the two latest documents from a landed raw table. The
+    coverage frame is materialised once for all three."""
+    cov = materialize(spark, bucket_coverage(landed, level, min_coverage_pct, scope=scope), "coverage")
     kpi = compute_kpis_with_quality(cov, level)
-    dq = dq_rollup(cov)
     return {
-        "raw_cache": cache,
-        "raw_source": source,
-        "raw_kind": kind,
         "kpi_history_csv": write_kpi_history(kpi, f"{out}/reports/kpi_history"),
-        "kpi_latest_json": write_json_document(kpi_latest_document(kpi, level),
-                                               f"{out}/reports/kpi_latest"),
-        "dq_latest_json": write_json_document(dq_latest_document(dq, level),
+        "kpi_latest_json": write_json_document(kpi_latest_document(kpi, level), f"{out}/reports/kpi_latest"),
+        "dq_latest_json": write_json_document(dq_latest_document(dq_rollup(cov), level),
                                               f"{out}/reports/dq_report_latest"),
     }
 
 
 def run_eu(spark: SparkSession, readings: DataFrame, out_dir: str, level: str | None = None,
            requested: DataFrame | None = None, start=None, end=None,
-           params: dict | None = None) -> dict[str, str]:
-    """EU run: raw cache, history CSV and the two latest-documents."""
-    lv = resolve_level("eu", level)
-    raw = eu_raw(readings, requested, start, end)
-    return _write_reports(spark, raw, lv, out_dir.rstrip("/"), "entsoe",
-                          dict(params or {}, mode="eu", kind="eu"), scope=False,
-                          kind=None if requested is not None else "eu_live")
+           params: dict | None = None, min_coverage_pct: float = MIN_COVERAGE_PCT) -> dict[str, str]:
+    """EU run: raw cache, history CSV and the two latest documents.
+
+    The filled readings are written once; their label then decides under which
+    source and kind the entry is filed (an all-stub run is one of its own), so
+    a stub entry never takes the place of a live one.
+    """
+    lv, out = resolve_level("eu", level), out_dir.rstrip("/")
+    filled = materialize(spark, eu_raw(readings, requested, start, end), "filled")
+    kind = run_kind(filled).first()["raw_kind"]
+    source = run_source(kind)
+    cache = write_raw(filled, raw_path(f"{out}/raw", source, kind, dict(params or {}, mode="eu", agg=lv)))
+    reports = _write_reports(spark, read_raw(spark, cache), lv, out, False, min_coverage_pct)
+    return {"raw_cache": cache, "raw_source": source, "raw_kind": kind, **reports}
 
 
 def run_global(spark: SparkSession, monthly: DataFrame, out_dir: str, level: str | None = None,
-               params: dict | None = None) -> dict[str, str]:
+               params: dict | None = None, min_coverage_pct: float = MIN_COVERAGE_PCT,
+               metric_rules=None, source_rules=None, date_formats=None) -> dict[str, str]:
     """Global run over a landed monthly table: same reports, month level by default."""
-    lv = resolve_level("global", level)
-    return _write_reports(spark, monthly_to_long(monthly), lv, out_dir.rstrip("/"), "ember",
-                          dict(params or {}, mode="global", kind="monthly_kpi"), scope=True,
-                          kind="monthly_kpi")
+    lv, out = resolve_level("global", level), out_dir.rstrip("/")
+    raw = monthly_to_long(monthly, metric_rules, source_rules, date_formats)
+    cache = write_raw(raw, raw_path(f"{out}/raw", "ember", "monthly_kpi", dict(params or {}, mode="global", agg=lv)))
+    reports = _write_reports(spark, read_raw(spark, cache), lv, out, True, min_coverage_pct)
+    return {"raw_cache": cache, "raw_source": "ember", "raw_kind": "monthly_kpi", **reports}
 
 
 def run_pipeline(spark: SparkSession, mode: str, data: DataFrame, out_dir: str,
                  level: str | None = None, **kw) -> dict[str, str]:
     """Entry point for both modes (``eu``: canonical readings, ``global``: a
     monthly table); the level is resolved per mode (default day / month)."""
-    if mode == "eu":
-        return run_eu(spark, data, out_dir, level, **kw)
-    if mode == "global":
-        return run_global(spark, data, out_dir, level, params=kw.get("params"))
-    raise ValueError(f"Unknown mode: {mode}")
+    runs = {"eu": run_eu, "global": run_global}
+    if mode not in runs:
+        raise ValueError(f"Unknown mode: {mode}")
+    return runs[mode](spark, data, out_dir, level, **kw)
 
 
 def compare_years(kpi_history: DataFrame, years: Sequence[int] = (2015, 2024),
-                  window_days: int | None = 7) -> DataFrame:
-    """Year comparison over a KPI history (first ``window_days`` of each year)."""
+                  window_days: int | None = None) -> DataFrame:
+    """Year comparison over a KPI history (whole years, or the first
+    ``window_days`` of each)."""
     return year_comparison(kpi_history, years, window_days)

@@ -7,8 +7,8 @@ from pyspark.sql import types as T
 # ---------------------------------------------------------------------------
 # Fixed values. These must stay exactly as listed for results to match:
 # the EU27 member list (ISO2 code, display name), the constant baseline
-# profiles, the text rules that bucket fuels and variables, and the
-# data-quality thresholds.
+# profiles, the text rules that bucket fuels and variables, the data-quality
+# thresholds, and the column lists of the tables and documents.
 # ---------------------------------------------------------------------------
 EU27 = [
     ("AT", "Austria"),
@@ -58,8 +58,6 @@ CN_MONTHLY_PROFILE = [
     ("generation", "fossil", 2500000.0, "MWh", "low_granularity"),
     ("generation", "nuclear", 300000.0, "MWh", "low_granularity"),
 ]
-US_DAILY_CAP = 60
-CN_MONTHLY_CAP = 24
 
 # Fuel-type column names (wide hourly generation): regex alternatives per bucket,
 # applied in this order with the LAST matching rule winning.
@@ -93,8 +91,6 @@ PLACEHOLDER_PRICE_SHARE = (90.0, 50.0)
 PLACEHOLDER_TOTAL_MWH = 336000.0
 BUBBLE_MAX = 2500.0
 DELTA_DEFAULT_BOUNDS = {"renewable_share_pct_delta": 100.0, "avg_price_delta": 500.0}
-# ---------------------------------------------------------------------------
-
 SERIES_COLS = ["region", "country", "metric", "energy_source", "unit", "source_system"]
 KPI_KEY = ["period_start_utc", "region", "country"]
 MWH_COLS = ["renewable_mwh", "fossil_mwh", "nuclear_mwh", "total_generation_mwh", "net_import_mwh"]
@@ -150,6 +146,7 @@ LATEST_KPI_ITEM_COLS = [
     "avg_price", "price_unit", "price_volatility", "dq_coverage_pct", "dq_issue_count",
 ]
 LATEST_DQ_ITEM_COLS = ["region", "country", "ts_utc", "coverage_pct", "issue_count"]
+# ---------------------------------------------------------------------------
 
 
 def require_columns(df, required, what: str = "input") -> None:

@@ -1,10 +1,10 @@
 """Sources (baseline grids, landed-table shaping, pages, cache) and sinks."""
 
-from .cache import cache_key, latest_cached_path, raw_path, read_latest_cached, read_raw, write_raw
-from .fallback import fallback_fill, run_kind
-from .grid import (baseline_daily, baseline_hourly, baseline_monthly, bounds_frame, calendar_grid,
+from .cache import latest_cached_path, params_digest, raw_path, read_latest_cached, read_raw, write_raw
+from .fallback import fallback_fill, run_kind, run_source
+from .grid import (baseline_daily, baseline_hourly, baseline_monthly, bounds_frame, calendar_grid, country_bounds,
                    data_range, multi_region_union, profile_rows)
-from .ingest import (flatten_columns, fuel_types, generation_wide_to_long, monthly_raw_to_long,
+from .ingest import (dropped_rows, flatten_columns, fuel_types, generation_wide_to_long, monthly_raw_to_long,
                      monthly_to_long, price_to_hourly, rule_buckets)
 from .pages import page_data_links
 from .sinks import (dq_latest_document, kpi_latest_document, read_csv, read_json_document,

@@ -3,43 +3,46 @@ price rows in the run window get baseline rows instead."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.scope import as_ts
 from ..schema import READING_COLS
 from .grid import baseline_hourly
 
 
-def fallback_fill(observed: DataFrame, requested: DataFrame, start: str, end: str,
-                  requested_is_small: bool = False) -> DataFrame:
+def fallback_fill(observed: DataFrame, requested: DataFrame, start: str | Column, end: str | Column) -> DataFrame:
     """``observed``: canonical readings; ``requested``: one ``country`` column.
 
     Observed rows of requested countries inside ``[start, end)`` are kept
     (``source_kind = 'live'``); each requested country with no generation and
-    no price row there is filled with the hourly baseline (``'stub'``).
-    The country sets are joined (semi / anti), never collected. When the
-    caller can prove the requested set is small (``requested_is_small``,
-    e.g. names already mapped into the 27-member scope) it is broadcast, so
-    the big observed side is never shuffled by a possibly hot country key;
-    otherwise AQE picks the strategy from runtime sizes.
+    no price row there is filled with the hourly baseline (``'stub'``). One
+    aggregate over the window says which countries delivered; the country sets
+    are joined, never collected, and Spark sizes the joins at run time (a
+    skewed country key is split).
     """
-    lo, hi = F.to_timestamp(F.lit(start)), F.to_timestamp(F.lit(end))
-    req = requested.select("country").where(F.col("country").isNotNull()).distinct()
-    small = F.broadcast if requested_is_small else (lambda d: d)
-    live = (observed.where((F.col("ts_utc") >= lo) & (F.col("ts_utc") < hi))
-                    .join(small(req), "country", "left_semi"))
-    have = live.where(F.col("metric").isin("generation", "price")).select("country").distinct()
-    # ``have`` is a subset of ``req``, so it is small whenever ``req`` is
-    missing = req.join(small(have), "country", "left_anti")
-    stub = baseline_hourly(missing.select("country", lo.alias("start"), hi.alias("end")))
+    lo, hi = as_ts(start), as_ts(end)
+    window = observed.where((F.col("ts_utc") >= lo) & (F.col("ts_utc") < hi))
+    asked = requested.select("country").where(F.col("country").isNotNull()).distinct()
+    delivered = (window.where(F.col("metric").isin("generation", "price")).groupBy("country")
+                       .agg(F.lit(True).alias("delivered")))
+    silent = asked.join(delivered, "country", "left").where(F.col("delivered").isNull())
+    stub = baseline_hourly(silent.select("country", lo.alias("start"), hi.alias("end")))
+    live = window.join(asked, "country", "left_semi")
     return (live.select(*READING_COLS, F.lit("live").alias("source_kind"))
                 .unionByName(stub.select(*READING_COLS, F.lit("stub").alias("source_kind"))))
 
 
 def run_kind(filled: DataFrame) -> DataFrame:
-    """One-row label of a run: ``eu_live``, ``eu_live_with_stub`` or ``eu_stub``."""
+    """One-row label of a run: ``eu_live``, ``eu_live_with_stub`` or ``eu_stub``
+    (no live row at all, an empty run included)."""
     agg = filled.agg(F.count_if(F.col("source_kind") == "live").alias("live"),
                      F.count_if(F.col("source_kind") == "stub").alias("stub"))
     return agg.select(F.when(F.col("live") == 0, F.lit("eu_stub"))
                        .when(F.col("stub") > 0, F.lit("eu_live_with_stub"))
                        .otherwise(F.lit("eu_live")).alias("raw_kind"))
+
+
+def run_source(kind: str) -> str:
+    """The source that a run reports: an all-stub run says so."""
+    return "entsoe_stub" if kind == "eu_stub" else "entsoe"

@@ -11,14 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import check_level
 from ..functions.time import chunked_range, nth_step, steps_between
 from ..session import default_parallelism
-from ..schema import (CN_MONTHLY_CAP, CN_MONTHLY_PROFILE, EU_HOURLY_PROFILE, READING_COLS,
-                      US_DAILY_CAP, US_DAILY_PROFILE)
+from ..schema import CN_MONTHLY_PROFILE, EU_HOURLY_PROFILE, READING_COLS, US_DAILY_PROFILE
+
 
 def _grid_first_and_count(start: Column, end: Column, level: str):
     """First grid point and number of points in ``[start, end)``.
@@ -78,22 +78,23 @@ def bounds_frame(spark: SparkSession, countries: Iterable[str], start: str, end:
 
 
 def baseline_hourly(bounds: DataFrame, cap: int | None = None, region: str = "EU") -> DataFrame:
-    """Hourly EU profile per (country, start, end) row; ``cap`` for the older
-    48-step variant."""
+    """Hourly EU profile per (country, start, end) row; ``cap`` keeps the first
+    steps only (the older variant's ``cap=48``)."""
     grid = calendar_grid(bounds.select("country", "start", "end"), "hour", cap=cap)
     return profile_rows(grid, EU_HOURLY_PROFILE, period="hour", region=region,
                         country=F.col("country"), source_system="entsoe")
 
 
-def baseline_daily(bounds: DataFrame, cap: int = US_DAILY_CAP) -> DataFrame:
-    """Daily US profile: first ``cap`` days of each ``[start, end)`` row."""
+def baseline_daily(bounds: DataFrame, cap: int | None = None) -> DataFrame:
+    """Daily US profile over each ``[start, end)`` row (at most ``cap`` days if given)."""
     grid = calendar_grid(bounds.select("start", "end"), "day", cap=cap)
     return profile_rows(grid, US_DAILY_PROFILE, period="day", region="US", country="US",
                         source_system="eia")
 
 
-def baseline_monthly(bounds: DataFrame, cap: int = CN_MONTHLY_CAP) -> DataFrame:
-    """Monthly CN profile: first ``cap`` month starts on/after start, before end."""
+def baseline_monthly(bounds: DataFrame, cap: int | None = None) -> DataFrame:
+    """Monthly CN profile: month starts on/after start, before end (at most
+    ``cap`` of them if given)."""
     grid = calendar_grid(bounds.select("start", "end"), "month", cap=cap)
     return profile_rows(grid, CN_MONTHLY_PROFILE, period="month", region="CN", country="CN",
                         source_system="nbs_cn")
@@ -109,6 +110,17 @@ def data_range(df: DataFrame, ts_col: str = "ts_utc", level: str = "day") -> Dat
                   (F.date_trunc(lv, F.max(t)) + F.expr(step)).alias("end"))
 
 
+def country_bounds(df: DataFrame, ts_col: str = "ts_utc", country_col: str = "country") -> DataFrame:
+    """Bounds for every country of ``df``: the day range of the whole table, in
+    one pass (a grouped min/max, then their overall min/max over the few
+    country rows)."""
+    t = F.col(ts_col).cast("timestamp")
+    per = df.groupBy(F.col(country_col).alias("country")).agg(F.min(t).alias("lo"), F.max(t).alias("hi"))
+    whole = Window.partitionBy(F.lit(0))
+    return per.select("country", F.date_trunc("day", F.min("lo").over(whole)).alias("start"),
+                      (F.date_trunc("day", F.max("hi").over(whole)) + F.expr("INTERVAL 1 DAY")).alias("end"))
+
+
 def multi_region_union(eu: DataFrame, us: DataFrame, cn: DataFrame) -> DataFrame:
     """EU hourly + US daily + CN monthly canonical readings in one table."""
     return eu.select(*READING_COLS).unionByName(us.select(*READING_COLS)).unionByName(cn.select(*READING_COLS))

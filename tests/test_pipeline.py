@@ -29,12 +29,43 @@ def test_run_eu_writes_reports(spark):
                  start="2026-01-01", end="2026-01-02", params={"countries": ["DE", "AT", "FR"]})
     assert set(out) == {"raw_cache", "raw_source", "raw_kind", "kpi_history_csv", "kpi_latest_json",
                         "dq_latest_json"}
-    assert out["raw_kind"] == "eu_stub"
+    assert out["raw_kind"] == "eu_stub" and out["raw_source"] == "entsoe_stub"
+    assert "/entsoe_stub-eu_stub/" in out["raw_cache"]
     hist = src.read_kpi_history(spark, out["kpi_history_csv"])
     assert sorted(r["country"] for r in hist.collect()) == ["Austria", "France", "Germany"]
     assert os.path.isdir(out["kpi_latest_json"])
 
 
+def test_run_labels_and_threshold(spark):
+    raw = src.baseline_hourly(src.bounds_frame(spark, ["DE"], "2026-01-01", "2026-01-02"))
+    half = raw.where("hour(ts_utc) < 12")
+    live = run_eu(spark, half, scratch_path(spark, "run"), "day")
+    assert (live["raw_kind"], live["raw_source"]) == ("eu_live", "entsoe")
+    assert run_eu(spark, half.limit(0), scratch_path(spark, "run"), "day")["raw_kind"] == "eu_stub"
+    lax = run_eu(spark, half, scratch_path(spark, "run"), "day", min_coverage_pct=40.0)
+    issues = lambda out: src.read_kpi_history(spark, out["kpi_history_csv"]).first()["dq_issue_count"]
+    assert issues(live) == 4 and issues(lax) == 0
+
+
+def test_global_rules_are_arguments(spark):
+    from gridmetrics.plans.pipeline import global_pipeline
+    monthly = spark.createDataFrame([("15.01.2024", "Germany", "Tidal output", "TWh", "10")],
+                                    "Date string, Area string, Variable string, Unit string, Value string")
+    assert global_pipeline(monthly).kpi.count() == 0
+    kpi = global_pipeline(monthly, metric_rules=[("generation", ["output"])], source_rules=[("renewable", ["tidal"])],
+                          date_formats=["dd.MM.yyyy"]).kpi.first()
+    assert kpi["renewable_mwh"] == 10.0
+
+
+def test_cli_open_ended_range(spark):
+    from gridmetrics.cli import main
+    path = scratch_path(spark, "landed")
+    src.baseline_hourly(src.bounds_frame(spark, ["DE"], "2024-01-01", "2024-01-05")).write.parquet(path)
+    days = lambda *a: sorted(r["period_start_utc"].day for r in src.read_kpi_history(
+        spark, main(["run", "--input", path, "--out", scratch_path(spark, "cli"), *a])["kpi_history_csv"]).collect())
+    assert days("--start", "2024-01-03") == [3, 4] and days("--end", "2024-01-03") == [1, 2]
+
+
 def test_level_resolution():
     assert resolve_level("eu") == "day" and resolve_level("global") == "month"
     assert resolve_level("eu", " Week ") == "week"

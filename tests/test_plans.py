@@ -53,3 +53,17 @@ def test_bucket_filters_reach_scan(spark):
     cols = {c.split("#")[0] for c in scanned.split(",")}
     # only the six columns the adapter and the roll-up use are read
     assert cols == {"l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"}
+
+
+def test_year_compare_prunes_to_two_years(spark):
+    daily = adapter(spark, SF, "daily_prices")
+    plan = physical(ops.year_compare(ops.yearly_kpis(daily, years=(1995, 2000)), "avg_price", 1995, 2000))
+    assert plan.count("FileScan") == 1
+    assert re.search(r"PushedFilters: \[IsNotNull\(o_orderdate\), Or\(And\(GreaterThanOrEqual\(o_orderdate,1995-01-01", plan)
+
+
+def test_table_profile_scans_once(spark):
+    df = ops.table_profile(adapter(spark, SF, "readings"), ["country", "metric"])
+    df.collect()
+    final = physical(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final

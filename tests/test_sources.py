@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from gridmetrics import operators as ops
@@ -44,13 +45,17 @@ def test_csv_link_extraction(spark):
     assert df.select(extract_link("html")).collect()[2][0] is None
 
 
-def test_calendar_grid_caps_and_month_start(spark):
+def test_calendar_grid_whole_range_and_month_start(spark):
     b = spark.createDataFrame([("2024-01-15 00:00:00", "2026-06-01 00:00:00")], "start string, end string") \
         .select(F.to_timestamp("start").alias("start"), F.to_timestamp("end").alias("end"))
     months = [r["ts_utc"] for r in src.baseline_monthly(b).where("metric = 'nuclear' OR energy_source = 'nuclear'").collect()]
-    assert len(months) == 24 and min(months) == dt.datetime(2024, 2, 1)
+    assert len(months) == 28 and min(months) == dt.datetime(2024, 2, 1)  # nothing is cut unless asked for
+    assert src.baseline_monthly(b, cap=24).count() == 24 * 3
     days = src.baseline_daily(b)
-    assert days.count() == 60 * 4
+    assert days.count() == (dt.datetime(2026, 6, 1) - dt.datetime(2024, 1, 15)).days * 4
+    assert src.baseline_daily(b, cap=60).count() == 60 * 4
+    one = spark.createDataFrame([("DE", "2024-01-01 00:00:00", "2024-02-01 00:00:00")], "country string, start string, end string")
+    assert src.baseline_hourly(one, cap=48).count() == 48 * 4
     hours = src.calendar_grid(b, "hour", cap=None, chunk_steps=1000)
     assert hours.count() == (dt.datetime(2026, 6, 1) - dt.datetime(2024, 1, 15)).days * 24
     empty = spark.createDataFrame([(dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 1))], "start timestamp, end timestamp")
@@ -69,21 +74,68 @@ def test_fallback_fill_and_kind(spark):
     assert src.run_kind(out).first()[0] == "eu_live_with_stub"
 
 
-def test_cache_key_and_latest(spark):
-    assert src.cache_key({"b": 1, "a": [1, 2]}) == src.cache_key({"a": [1, 2], "b": 1})
-    assert len(src.cache_key({})) == 16
+def test_cache_entries_and_latest(spark):
+    assert src.params_digest({"b": 1, "a": [1, 2]}) == src.params_digest({"a": (1, 2), "b": 1})
+    assert src.params_digest({"a": 1}) != src.params_digest({"a": "1"})
     root = scratch_path(spark, "cache-test")
-    p1 = src.raw_path(root, "s", "k", {"x": 1})
-    p2 = src.raw_path(root, "s", "k", {"x": 2})
-    src.write_raw(spark.range(3), p1)
-    src.write_raw(spark.range(5), p2)
-    assert src.latest_cached_path(spark, root) == "file:" + p2 or src.latest_cached_path(spark, root).endswith(p2)
-    assert src.read_latest_cached(spark, root).count() == 5
+    first, later = src.raw_path(root, "z", "k", {"x": 1}), src.raw_path(root, "a", "k", {"x": 2})
+    src.write_raw(spark.range(3), first)
+    rows = spark.range(2000).select(
+        (F.col("id") % 5).cast("string").alias("country"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 3600).alias("ts_utc"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else tiny tasks are joined
+    src.write_raw(rows, later, partition_by_month=True)  # later, at the smaller path
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert src.latest_cached_path(spark, root).endswith(later)
+    back = src.read_latest_cached(spark, root)
+    assert back.count() == 2000 and back.columns == ["country", "ts_utc"]
+    month = os.path.join(later, "ts_month=2024-01")
+    assert sum(f.endswith(".parquet") for f in os.listdir(month)) > 1  # one month, several tasks
+    os.remove(os.path.join(later, "_SUCCESS"))  # an unfinished entry does not count
+    assert src.latest_cached_path(spark, root).endswith(first)
 
 
 def test_flatten_columns(spark):
-    df = spark.createDataFrame([(1, (2.0, 3.0))], "id long, `Wind`: struct<`Actual Aggregated`: double, ` `: double>".replace("`Wind`:", "`Wind`"))
+    df = spark.createDataFrame([(1, (2.0, 3.0))], "id long, `Wind` struct<`Actual Aggregated`: double, ` `: double>")
     assert src.flatten_columns(df).columns == ["id", "Wind_Actual Aggregated", "Wind"]
+    dotted = spark.createDataFrame([(1, (2.0,))], "`a.b` long, `c.d` struct<`e.f`: double>")
+    assert src.flatten_columns(dotted).columns == ["a.b", "c.d_e.f"]
+    assert tuple(src.flatten_columns(dotted).first()) == (1, 2.0)
+    clash = spark.createDataFrame([(1, (2,))], "a_b long, a struct<b: long>")
+    with pytest.raises(ValueError, match="a_b"):
+        src.flatten_columns(clash)
+
+
+def test_csv_keeps_odd_text(spark):
+    rows = [("1", "two\nlines", 'say "x"'), ("2", None, ""), ("3", "", "a,b"), ("4", " pad ", "back\\slash"), ("5", "\r\n", "\t")]
+    path = scratch_path(spark, "csv-odd")
+    src.write_csv(spark.createDataFrame(rows, "a string, b string, c string"), path)
+    assert sorted(tuple(r) for r in src.read_csv(spark, path).collect()) == rows
+
+
+def test_other_date_formats_and_dropped_rows(spark):
+    df = spark.createDataFrame([("2024-01-01", "Germany", "Wind generation", "1"), ("01/02/2024", "Germany", "Wind generation", "2"),
+                                ("?", "Germany", "Wind generation", "3"), ("2024-03-01", "Germany", "Demand", "4"),
+                                ("2024-03-01", "Germany", "Spot price", "-")],
+                               "date string, country string, variable string, value string")
+    assert src.monthly_to_long(df).count() == 1
+    out = src.monthly_to_long(df, date_formats=["dd/MM/yyyy"])
+    assert sorted(r["ts_utc"].month for r in out.collect()) == [1, 2]
+    assert tuple(src.dropped_rows(df, date_formats=["dd/MM/yyyy"]).first()) == (5, 1, 1, 1, 2)
+
+
+def test_repeated_queries_leave_no_more_folders(spark):
+    import __spark_entry__ as E
+    from gridmetrics.session import _SCRATCH, _drop_all_scratch, shared_dir
+    base = shared_dir(spark)
+    checkpoints = {d for d in os.listdir(base) if len(d) == 36}
+    for _ in range(2):
+        E.queries()["csv_roundtrip"](spark, "/root/testdata/sf0.001").count()
+    assert {d for d in os.listdir(base) if len(d) == 36} == checkpoints  # one checkpoint folder a session
+    made = [p for p in _SCRATCH if "csv_roundtrip" in p]
+    assert made and all(os.path.isdir(p) for p in made)
+    _drop_all_scratch()
+    assert not any(os.path.exists(p) for p in made)
 
 
 def test_history_and_documents(spark):
