@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch
@@ -42,6 +42,8 @@ BANDS, ROWS = 32, 5
 PERCENT = 80
 #: Text bytes signed at once: the shingles of a part stay in a core's cache.
 PART = 1 << 20
+#: Bits of the filter for texts that are read again (1 MB).
+FILTER_BITS = 1 << 23
 #: Shingles of one block of a group whose members are compared.
 BLOCK_SHINGLES = 1_000_000
 
@@ -137,14 +139,34 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(f2), bands], names=["doc_id", "text_key", "n", "f1", "f2", "bands"])
 
 
-def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """f1, f2 and the whole set of each text."""
-    for batch in batches:
-        for _, _, data, offsets in chunks(batch.column("text"), PART):
-            s, at = shingle_sets(data, offsets)
-            f1, f2 = fingerprints(s, at)
-            sets = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(s.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(f1), pa.array(f2), sets], names=["f1", "f2", "shingles"])
+def full_sets(wanted: np.ndarray):
+    """mapInArrow function: f1, f2 and the whole set of each text whose bit is set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = batch.column("bit").to_numpy()
+            chosen = (wanted[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1)
+            texts = batch.column("text").take(pa.array(np.flatnonzero(chosen)))
+            for _, _, data, offsets in chunks(texts, PART):
+                s, at = shingle_sets(data, offsets)
+                f1, f2 = fingerprints(s, at)
+                sets = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(s.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(f1), pa.array(f2), sets], names=["f1", "f2", "shingles"])
+    return run
+
+
+def bit_of(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(FILTER_BITS))
+
+
+def filter_words(ids: DataFrame, column: str) -> np.ndarray:
+    """A set of ``FILTER_BITS`` bits that has the bit of every id. Its size does
+    not depend on the data; where it fills up, it merely lets more texts pass."""
+    bit = bit_of(F.col(column))
+    words = (ids.select(F.shiftright(bit, 6).alias("w"), F.expr("1L").alias("one"), F.pmod(bit, F.lit(64)).cast("int").alias("b"))
+             .groupBy("w").agg(F.bit_or(F.call_function("shiftleft", "one", "b")).alias("x")).toPandas())
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[words["w"].to_numpy(np.int64)] = words["x"].to_numpy(np.int64)
+    return out.view(np.uint64)
 
 
 def confirmed(scratch: Scratch, sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -229,10 +251,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     cells = scratch.save(cells.join(shared.select("key", "hub"), "key"), "cells")
 
     wanted = scratch.save(cells.select("node").distinct().join(narrow, "node").select("node", "rep", "f1", "f2"), "wanted")
-    texts = (docs.select("doc_id", "text").alias("d")
-             .join(wanted.select("rep").distinct().alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.rep")), "left_semi"))
-    sets = (texts.select("text").mapInArrow(full_sets, "f1 long, f2 long, shingles array<long>")
-            .dropDuplicates(["f1", "f2"]).join(wanted, ["f1", "f2"]).select("node", "shingles"))
+    # second look at the texts: only the wanted ones (and a few more) leave the scan, as sets
+    bits = filter_words(wanted, "rep")
+    sets = (docs.select("text", bit_of(F.col("doc_id")).alias("bit"))
+            .mapInArrow(full_sets(bits), "f1 long, f2 long, shingles array<long>")
+            .join(wanted, ["f1", "f2"]).select("node", "shingles").dropDuplicates(["node"]))
     sets = scratch.save(sets, "sets")
 
     stars = scratch.save(cells.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
