@@ -124,7 +124,7 @@ def build_graph(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     for lo in range(0, n, 512):
         s = x[lo:lo + 512] @ x.T
         row = np.arange(len(s))
-        s[row, lo + row] = -3
+        s[row, lo + row] = -3  # not its own neighbour
         top = np.argpartition(-s, near - 1, axis=1)[:, :near]
         rand = rng.integers(0, n, (len(s), far))
         both = np.concatenate([top, rand], axis=1)

@@ -9,7 +9,8 @@ a group with a third of all rows is a handful of counts.
 
 One round: count members by (group, shard); each group's best open shard; the
 8 x 8 matrix of wished moves; quotas from the free room and from exchanges; a
-row moves with probability quota / wishes, drawn from a hash of the row. Rows
+row moves with probability quota / wishes, drawn from a hash of the row. Groups
+that need half a shard or more go first, while all shards have room. Rows
 without links are not moved about: they only fill the shards up at the end,
 when ranks spread over blocks make the law ``rows`` exact: row counts differ by
 one at most.
@@ -29,6 +30,8 @@ SHARDS = 8
 MAX_ROUNDS = 12
 #: The rounds end when the cut falls by less than this share.
 LEAST_GAIN = 1e-3
+#: A shard with less room than this share of its capacity takes no wishes.
+FULL = 0.02
 
 
 def draw(salt: int) -> Column:
@@ -70,7 +73,7 @@ def propagate(linked: DataFrame, capacity: list[int], scratch: Scratch) -> DataF
         last = cut
         held = {r["shard"]: r["n"] for r in counts.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
         room = [capacity[j] - held.get(j, 0) for j in range(n)]
-        open_ = [j for j in range(n) if room[j] > 0] or list(range(n))
+        open_ = [j for j in range(n) if room[j] > FULL * capacity[j]] or list(range(n))
         tie = F.xxhash64("group", "shard")
         best = (counts.filter(F.col("shard").isin(open_)).groupBy("group")
                 .agg(F.max(F.struct("n", tie.alias("t"), "shard")).alias("b"))
@@ -123,7 +126,12 @@ def balanced_shards(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
     rows = scratch.save(rows.join(sizes, "group", "left"), "grouped")
     total = rows.count()
     capacity = [total // n_shards + (j < total % n_shards) for j in range(n_shards)]
-    linked = propagate(rows.filter(F.col("group_rows").isNotNull()).select("rid", "group"), capacity, scratch)
+    # Groups of half a shard or more first, while shards are empty: they cannot move as one later on.
+    giant = F.col("group_rows") * 2 >= capacity[0]
+    first = propagate(rows.filter(giant).select("rid", "group"), capacity, scratch)
+    held = {r["shard"]: r["n"] for r in first.groupBy("shard").agg(F.count("*").alias("n")).collect()}
+    room = [max(0, capacity[j] - held.get(j, 0)) for j in range(n_shards)]
+    linked = first.unionByName(propagate(rows.filter(~giant).select("rid", "group"), room, scratch))
     held = {r["shard"]: r["n"] for r in linked.groupBy("shard").agg(F.count("*").alias("n")).collect()}
     stay = [min(held.get(j, 0), capacity[j]) for j in range(n_shards)]
     surplus = {j: held.get(j, 0) - stay[j] for j in range(n_shards)}
