@@ -4,10 +4,16 @@ Quality rules, near-duplicate removal, redaction of personal data, mixing to
 source weights, packing. Every stage works on all rows its predecessor kept and
 is written as Parquet before the next one reads it. All but the last return the
 columns of ``documents``, whatever these are.
+
+A stage's result is to be written before the next stage is called: that call
+drops the intermediate tables of the one before.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,11 +25,29 @@ from gridmetrics.llm.pii import personal_data, redact
 from gridmetrics.llm.quality_rules import quality_rules
 
 
+_HELD: list[Scratch] = []
+
+
+def stage(f: Callable[[SparkSession, DataFrame, str], DataFrame]):
+    """Keep a stage's intermediate tables until the next stage begins."""
+    @wraps(f)
+    def begin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _HELD:
+            _HELD.pop().clear()
+        before = len(Scratch.made)
+        out = f(spark, docs, sf_dir)
+        _HELD.extend(Scratch.made[before:])
+        return out
+    return begin
+
+
+@stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return quality_rules(docs, carry=docs.columns).filter("kept").select("row.*")
 
 
+@stage
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the least
     doc_id. Of rows equal in doc_id and text one stays; a group without any
@@ -36,6 +60,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
             .agg(F.any_value("row").alias("row")).select("row.*"))
 
 
+@stage
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by the name of its kind; n_chars follows."""
     found = personal_data(docs, carry=docs.columns).select("items", "row.*")
@@ -46,12 +71,14 @@ def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select(*docs.columns)
 
 
+@stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
     mixed = mix_sources(docs, carry=docs.columns).filter("copies > 0")
     return mixed.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
 
+@stage
 def batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bucket, batch and slot of every document, with its text."""
     return pack(docs, carry=["text"]).withColumn("text", F.col("row.text")).drop("row")
@@ -67,7 +94,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table ``documents``."""
     scratch = Scratch(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = scratch.save(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, step in STAGES[:-1]:
+        docs = scratch.save(step(spark, docs, sf_dir), name.replace(" ", "_"))
+        if last is not None:
+            scratch.drop(last)
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)

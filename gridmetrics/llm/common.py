@@ -26,8 +26,12 @@ class Scratch:
     session ends.
     """
 
+    #: All of this process, in order of creation.
+    made: list[Scratch] = []
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.n = spark, scratch_path(spark, name), 0
+        Scratch.made.append(self)
 
     def path(self, name: str) -> str:
         self.n += 1
@@ -44,6 +48,10 @@ class Scratch:
         for t in tables:
             drop_path(self.spark, t._scratch_path)
 
+    def clear(self) -> None:
+        """Drop all tables; for when everything that reads them is written."""
+        drop_path(self.spark, self.root)
+
 
 def text_or_empty(c: str = "text") -> Column:
     return F.coalesce(F.col(c), F.lit(""))
