@@ -45,7 +45,7 @@ PART = 1 << 20
 #: Bits of the filter for texts that are read again (1 MB).
 FILTER_BITS = 1 << 23
 #: Shingles of one block of a group whose members are compared.
-BLOCK_SHINGLES = 1_000_000
+BLOCK_SHINGLES = 250_000
 
 
 def sigma(x: np.ndarray) -> np.ndarray:
