@@ -10,6 +10,7 @@ digits (tie-proof, see ``sig_round``).
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -979,12 +980,11 @@ def _optional_queries():
     """The training-data operators (subpackage ``llm`` with ``corpus_pipeline``)
     are registered only where that subpackage is present."""
     try:
-        from gridmetrics.llm import queries as llm
+        return importlib.import_module("gridmetrics.llm.queries")
     except ModuleNotFoundError as e:
-        if (e.name or "").split(".")[-1] in ("llm", "corpus_pipeline"):
+        if (e.name or "").startswith("gridmetrics.llm") or e.name == "corpus_pipeline":
             return None
         raise
-    return llm
 
 
 _LLM = _optional_queries()
