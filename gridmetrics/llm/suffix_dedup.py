@@ -20,9 +20,9 @@ of an anchor: 159 bytes before, 200 after.
    of 100, a second token only for what is equal in the first; equal neighbours
    are repeats. An entry yields its outermost repeats.
 4. A core with more contexts than fit a bucket is compared across buckets: its
-   starts are halved again and again, and only entries that share the bytes
-   common to all suffixes of a range, but not all bytes of the range, go on.
-   Each halving counts groups with partial aggregation, so no group meets.
+   range of starts is split again and again, and only entries that share the
+   bytes common to all suffixes of a range, but not all bytes of the range, go
+   on. Each split counts groups with partial aggregation, so no group meets.
 5. The spans, gathered per distinct text, are cut out of all documents.
 
 Texts are told apart by a 64-bit hash and their length, suffixes by two 64-bit
@@ -54,6 +54,8 @@ LEFT, RIGHT = SPAN - 1, LENGTH
 TOKEN = 100
 #: Entries of a core that one bucket sorts, and entries sorted at once.
 BLOCK = 4096
+#: Parts that a range of starts is split into when a core is too large for a bucket.
+SPLITS = 5
 PART = 2 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -273,13 +275,13 @@ def across_buckets(scratch: Scratch, entries: DataFrame) -> DataFrame:
         live = scratch.save(live, "live")
         done = live.filter("repeat").select("core", "context", F.col("lo").alias("least"), F.col("hi").alias("greatest"))
         found = done if found is None else found.unionByName(done)
-        middle = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
-        halves = F.array(F.struct(F.col("lo").alias("lo"), middle.alias("hi")),
-                         F.struct((middle + 1).alias("lo"), F.col("hi").alias("hi")))
-        old = rows
+        old, size = rows, F.col("hi") - F.col("lo") + 1
+        cut = lambda i: (F.col("lo") + F.floor(size * i / SPLITS)).cast("int")
+        pieces = F.filter(F.transform(F.sequence(F.lit(0), F.lit(SPLITS - 1)), lambda i: F.struct(
+            cut(i).alias("lo"), (cut(i + 1) - 1).alias("hi"))), lambda x: x["lo"] <= x["hi"])
         cols = [c.split()[0] for c in ENTRY.split(", ")]
         # of entries with equal bytes one goes on, for others that share some of its suffixes
-        rows = scratch.save(live.filter("(repeat IS NULL OR context = speaker) AND lo < hi").select(*cols, F.explode(halves).alias("h"))
+        rows = scratch.save(live.filter("(repeat IS NULL OR context = speaker) AND lo < hi").select(*cols, F.explode(pieces).alias("h"))
                             .select(*cols, "h.lo", "h.hi"), "split")
         scratch.drop(old, hashed)
     if found is None:
