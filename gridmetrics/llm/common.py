@@ -53,6 +53,18 @@ class Scratch:
         drop_path(self.spark, self.root)
 
 
+#: Rows of an Arrow batch that holds whole texts, on either side of the Python boundary.
+TEXT_BATCH_ROWS = 1024
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches of texts to a few megabytes (Spark's default of 10,000
+    rows takes tens of megabytes several times over in each task)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= TEXT_BATCH_ROWS:
+        spark.conf.set(key, str(TEXT_BATCH_ROWS))
+
+
 def text_or_empty(c: str = "text") -> Column:
     return F.coalesce(F.col(c), F.lit(""))
 

@@ -44,7 +44,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, small_batches
 from .texthash import chunks, mix64
 
 LENGTH = 200
@@ -56,7 +56,7 @@ TOKEN = 100
 BLOCK = 4096
 #: Parts that a range of starts is split into when a core is too large for a bucket.
 SPLITS = 5
-PART = 2 << 20
+PART = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -224,7 +224,7 @@ def sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in ("core", "context", "before", "after", "bytes", "lead"))):
             if row[5] != last:
-                if len(held) >= BLOCK:
+                if len(held) >= BLOCK // 2:
                     yield solve(held)
                     held = []
                 last, seen = row[5], set()
@@ -361,6 +361,7 @@ def remove_repeats(docs: DataFrame, digest: bool = True) -> DataFrame:
     n_spans, kept_sha256`` and, without ``digest``, the remaining bytes ``kept``.
     """
     scratch = Scratch(docs.sparkSession, "suffix")
+    small_batches(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
     texts = docs.select("doc_id", F.xxhash64(text).alias("t"), text.alias("text"))
     spans = repeated_spans(texts, scratch)
