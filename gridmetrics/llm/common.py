@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+import gridmetrics
 from gridmetrics.session import drop_path, scratch_path
 
 #: Characters that separate words: space and \t \n \v \f \r.
@@ -18,6 +22,25 @@ GAP = r"[\x20\x09-\x0D]+"
 BLOCK_ROWS = 5_000
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once for each application: their Python
+    workers import the operators' functions, and need not have the repository
+    on their path. Spark copies the archive to them."""
+    sc = spark.sparkContext
+    package = Path(gridmetrics.__file__).parent
+    if sc.applicationId in _SHIPPED or not package.is_dir():  # already run from an archive
+        return
+    _SHIPPED.add(sc.applicationId)
+    archive = Path(tempfile.mkdtemp(prefix="gridmetrics-code-")) / "gridmetrics.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f"{package.name}/{f.relative_to(package)}")
+    sc.addPyFile(str(archive))
+
+
 class Scratch:
     """Intermediate tables in the shared folder named by ``spark.checkpoint.dir``.
 
@@ -32,6 +55,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.n = spark, scratch_path(spark, name), 0
         Scratch.made.append(self)
+        ship(spark)
 
     def path(self, name: str) -> str:
         self.n += 1
