@@ -245,7 +245,8 @@ class SequenceFile:
         if not self.held:
             return
         ids = np.concatenate(self.pending)
-        full = len(ids) // self.sequence * self.sequence
+        unit = self.sequence * BATCH_SEQUENCES  # all batches but the last have one size
+        full = len(ids) // unit * unit
         whole = -(-len(ids) // self.sequence) * self.sequence if last else full
         block = np.zeros(whole, ids.dtype)
         used = min(whole, len(ids))
@@ -310,8 +311,9 @@ def writer_of(folder: str, vocab: str, end_id: int, sequence: int, file_ids: int
 
 
 class TokenFile:
-    """Random access to a written file: ids by place, without reading the rest.
-    Local files are memory-mapped; elsewhere only the batches asked for are read."""
+    """Random access to a written file: ids by place, without reading the rest;
+    the place of a batch follows from its number. Local files are memory-mapped;
+    elsewhere only the batches asked for are read."""
 
     def __init__(self, folder: str, name: str):
         from pyarrow import fs
@@ -320,29 +322,21 @@ class TokenFile:
         path = f"{root}/{name}"
         self.source = pa.memory_map(path) if isinstance(filesystem, fs.LocalFileSystem) else filesystem.open_input_file(path)
         self.reader = pa.ipc.open_file(self.source)
-        self.sequence = self.reader.schema.field("ids").type.list_size
-        self.ends, self.at = [], (-1, None, 0)
+        sequence = self.reader.schema.field("ids").type.list_size
+        self.at: tuple[int, np.ndarray | None] = (-1, None)
+        self.size = self.reader.get_batch(0).num_rows * sequence  # of every batch but the last
 
     def batch(self, k: int) -> np.ndarray:
         if self.at[0] != k:
-            lists = self.reader.get_batch(k).column("ids")
-            self.at = (k, lists.values.to_numpy(zero_copy_only=True), 0)
+            self.at = (k, self.reader.get_batch(k).column("ids").values.to_numpy(zero_copy_only=True))
         return self.at[1]
 
-    def starts(self) -> np.ndarray:
-        """First id of every batch (from the batches' metadata sizes)."""
-        if not len(self.ends):
-            sizes = [self.reader.get_batch(k).num_rows * self.sequence for k in range(self.reader.num_record_batches)]
-            self.ends = np.concatenate([[0], np.cumsum(sizes)])
-        return self.ends
-
     def ids(self, first: int, n: int) -> np.ndarray:
-        starts, out = self.starts(), []
+        out = []
         while n > 0:
-            k = int(np.searchsorted(starts, first, "right")) - 1
-            values = self.batch(k)[first - starts[k]:][:n]
-            out.append(values)
-            first, n = first + len(values), n - len(values)
+            k, at = divmod(first, self.size)
+            out.append(self.batch(k)[at:at + n])
+            first, n = first + len(out[-1]), n - len(out[-1])
         return out[0] if len(out) == 1 else np.concatenate(out)
 
 
