@@ -171,15 +171,12 @@ def filter_words(ids: DataFrame, column: str) -> np.ndarray:
 
 def confirmed(scratch: Scratch, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes that are similar on their full sets."""
-    sizes = sets.select("node", F.size("shingles").alias("n"))
-    near = (pairs.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
-            .join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-            .filter(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")))
-    with_b = near.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+    na, nb = F.size("sa"), F.size("sb")
+    with_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     both = with_b.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
     common = F.size(F.array_intersect("sa", "sb"))
-    return scratch.save(both.filter(100 * common >= PERCENT * (F.col("na") + F.col("nb") - common))
-                        .select("a", "b"), "links")
+    sized = both.filter(100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb))
+    return scratch.save(sized.filter(100 * common >= PERCENT * (na + nb - common)).select("a", "b"), "links")
 
 
 def compare_block(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -270,8 +267,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = scratch.save(links.unionByName(confirmed(scratch, sets, again)), "links")
     labels = components(scratch, links)
     more = across(scratch, sets, groups, labels)
-    if not more.isEmpty():
-        labels = components(scratch, links.unionByName(more))
+    if not more.isEmpty():  # they join whole components
+        top = labels.select("node", "comp")
+        ends = more
+        for c in ("a", "b"):
+            ends = ends.join(top.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}")), c, "left").withColumn(
+                f"c{c}", F.coalesce(f"c{c}", c))
+        joined = components(scratch, ends.select("ca", "cb"), "ca", "cb")
+        labels = (labels.join(joined.select(F.col("node").alias("comp"), F.col("comp").alias("least")), "comp", "left")
+                  .select("node", F.coalesce("least", "comp").alias("comp"))
+                  .unionByName(joined.join(labels.select("node"), "node", "left_anti").select("node", "comp")))
+        labels = scratch.save(labels, "labels")
     scratch.drop(cells, wanted, sets, stars, groups)
 
     classes = narrow.join(labels, "node", "left").select("f1", "f2", "rep", F.coalesce("comp", "node").alias("comp"))

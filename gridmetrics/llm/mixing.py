@@ -28,8 +28,10 @@ from .common import BLOCK_ROWS, Scratch, n_words, source_key, text_or_empty
 
 MAX_COPIES = 3
 MAX_STEPS = 60
+#: Files of the table of multipliers, which has one row per source.
+STATE_FILES = 4
 #: Newton ends when every source is within this share of its target.
-TOLERANCE = 1e-9
+TOLERANCE = 1e-7
 
 
 def targets(sources: DataFrame) -> DataFrame:
@@ -95,9 +97,9 @@ def multipliers(scratch: Scratch, hist: DataFrame, sources: DataFrame) -> DataFr
             .withColumn("l", F.when(F.col("off") <= TOLERANCE, F.col("l"))
                         .when((newton > F.col("lo2")) & (newton < F.col("hi2")), newton).otherwise(middle))
             .select(*(F.coalesce(F.col(c + "2"), F.col(c)).alias(c) if c in ("lo", "hi") else F.col(c)
-                      for c in old.columns)), "dual")
+                      for c in old.columns)).coalesce(STATE_FILES), "dual")
         scratch.drop(old)
-        if state.agg(F.max("off")).first()[0] in (None, 0.0) or state.filter(F.col("off") > TOLERANCE).isEmpty():
+        if state.filter(F.col("off") > TOLERANCE).isEmpty():
             break
     return state
 
