@@ -52,8 +52,9 @@ GRAM, SPAN = 8, 160
 CORE = LENGTH - SPAN + 1
 LEFT, RIGHT = SPAN - 1, LENGTH
 TOKEN = 100
-#: Entries of a core that one bucket sorts, and entries sorted at once.
-BLOCK = 4096
+#: Entries of a core that one bucket sorts (50 MB of hashes), and entries that
+#: whole cores are gathered to before they are sorted.
+BLOCK, BATCH = 16_384, 2048
 #: Parts that a range of starts is split into when a core is too large for a bucket.
 SPLITS = 5
 PART = 1 << 20
@@ -224,7 +225,7 @@ def sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in ("core", "context", "before", "after", "bytes", "lead"))):
             if row[5] != last:
-                if len(held) >= BLOCK // 2:
+                if len(held) >= BATCH:
                     yield solve(held)
                     held = []
                 last, seen = row[5], set()
