@@ -12,8 +12,11 @@ all its neighbours until nothing new is in range. Pairs in range are verified
 in double precision. In a cell of several blocks, the queries of each block
 search the graphs of all blocks, so nothing is dropped there.
 
-Recall is audited: a bounded sample of query vectors is compared with all
-vectors; below ``RECALL`` the search is done again with a wider beam.
+Recall is audited: a sample of query vectors, drawn larger until it holds
+``AUDIT_LINKS`` links, is compared with all vectors. Below ``RECALL`` every
+node is also searched for in twice as many of its nearest cells, with a wider
+beam, up to ``TRIES`` times. What is then found goes out with a warning, and
+below ``LEAST_RECALL`` the operator fails.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing; vectors of different length do not link; rows
@@ -23,10 +26,12 @@ it; repeated rows are links of each other; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch
@@ -38,12 +43,17 @@ SAMPLE, MOST_CELLS, SHARD_ROWS = 20_000, 4096, 1500
 CELLS = 2
 #: Candidates (near, random), degree, pruning factor, medoids, beam width.
 NEAR, FAR, DEGREE, ALPHA, MEDOIDS, BEAM = 48, 16, 24, 1.2, 64, 48
-AUDIT_ROWS, RECALL, TRIES = 256, 0.98, 3
+#: Audited rows (first, most), links the audit is to hold; recall that ends the
+#: search, recall below which it fails, and how often it is tried.
+AUDIT_ROWS, AUDIT_MOST, AUDIT_LINKS = 256, 16_384, 400
+RECALL, LEAST_RECALL, TRIES = 0.98, 0.9, 6
 #: Queries searched at once in a task; nodes expanded at once of each.
 QUERIES, AT_ONCE = 512, 4
 #: Slack of single precision in range tests; the verdict is in double.
 SLACK = 1e-4
 
+LOG = logging.getLogger(__name__)
+
 
 def matrix(col) -> np.ndarray:
     return np.stack([np.asarray(x, np.float64) for x in col])
@@ -66,9 +76,9 @@ def fit_cells(sample: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.
     return c
 
 
-def dealer(cells: dict[int, np.ndarray]):
-    """mapInArrow function: each node to its nearest cells; vectors of each
-    length have cells of their own."""
+def dealer(cells: dict[int, np.ndarray], first: int, end: int):
+    """mapInArrow function: each node to its nearest cells, from place ``first``
+    to before ``end``; vectors of each length have cells of their own."""
     def deal(batches):
         for b in batches:
             vecs = b.column("vec").to_pylist()
@@ -80,7 +90,7 @@ def dealer(cells: dict[int, np.ndarray]):
             for n, idx in by_len.items():
                 c = cells[n]
                 s = unit(matrix([vecs[i] for i in idx])) @ c.T
-                near = np.argsort(-s, axis=1)[:, :CELLS]
+                near = np.argsort(-s, axis=1, kind="stable")[:, first:end]
                 rows += np.repeat(idx, near.shape[1]).tolist()
                 out += (near + base[n]).ravel().tolist()
             part = b.take(pa.array(rows, pa.int64()))
@@ -262,9 +272,21 @@ def searcher(beam: int):
     return run
 
 
-def audit_truth(scratch: Scratch, nodes: DataFrame) -> DataFrame:
-    """(a, b): links of a bounded sample of nodes, by comparing with all nodes."""
-    ask = nodes.orderBy(F.xxhash64("node", F.lit(3)), "node").limit(AUDIT_ROWS).select("node", "vec").collect()
+def audit_truth(scratch: Scratch, nodes: DataFrame, total: int) -> tuple[DataFrame, int]:
+    """Links (a, b) of a sample of nodes and their number, by comparing with all
+    nodes. The sample grows until it holds ``AUDIT_LINKS`` links."""
+    rows = AUDIT_ROWS
+    while True:
+        truth = sample_truth(scratch, nodes, rows)
+        due = truth.count()
+        if due >= AUDIT_LINKS or rows >= min(total, AUDIT_MOST):
+            return truth, due
+        scratch.drop(truth)
+        rows = min(4 * rows, AUDIT_MOST)
+
+
+def sample_truth(scratch: Scratch, nodes: DataFrame, rows: int) -> DataFrame:
+    ask = nodes.orderBy(F.xxhash64("node", F.lit(3)), "node").limit(rows).select("node", "vec").collect()
     groups: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for n in {len(r["vec"]) for r in ask}:
         own = [r for r in ask if len(r["vec"]) == n]
@@ -277,8 +299,9 @@ def audit_truth(scratch: Scratch, nodes: DataFrame) -> DataFrame:
             left, right = [], []
             for n, (names, v) in groups.items():
                 idx = [i for i, y in enumerate(vecs) if len(y) == n]
-                for lo in range(0, len(idx), 4096):
-                    part = idx[lo:lo + 4096]
+                step = max(1, (1 << 20) // len(names))
+                for lo in range(0, len(idx), step):
+                    part = idx[lo:lo + step]
                     y = matrix([vecs[i] for i in part])
                     i, j = np.nonzero((y / np.linalg.norm(y, axis=1, keepdims=True)) @ v.T >= THRESHOLD)
                     left += ids[np.asarray(part)[i]].tolist()
@@ -290,6 +313,32 @@ def audit_truth(scratch: Scratch, nodes: DataFrame) -> DataFrame:
     return scratch.save(nodes.select("node", "vec").mapInArrow(compare, "a long, b long").distinct(), "audit")
 
 
+DEALT = "cell long, node long, m long, vec array<float>"
+
+
+def role(g: Column, q: Column, base: bool, ask: bool) -> Column:
+    return F.struct(g.cast("long").alias("g"), q.cast("long").alias("q"), F.lit(base).alias("base"), F.lit(ask).alias("ask"))
+
+
+def in_roles(rows: DataFrame, roles: Column) -> DataFrame:
+    return rows.select("cell", "node", "m", "vec", "nbrs", F.explode(roles).alias("r")).select(
+        "cell", "r.g", "r.q", "r.base", "r.ask", "node", "m", "vec", "nbrs")
+
+
+def more_askers(scratch: Scratch, nodes: DataFrame, graph: DataFrame, blocks: DataFrame, cells: dict[int, np.ndarray],
+                probes: int) -> DataFrame:
+    """The search of every node in its next cells, up to ``probes``: query
+    blocks of bounded size after a cell's own, each with all its graphs."""
+    asks = scratch.save(nodes.mapInArrow(dealer(cells, CELLS, probes), DEALT), "asks")
+    sizes = scratch.save(asks.groupBy("cell").agg(F.ceil(F.count("*") / (4 * SHARD_ROWS)).alias("nx")).join(blocks, "cell"), "sizes")
+    every = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    base = in_roles(graph.drop("nb").join(sizes, "cell"),
+                    F.transform(every(F.col("nx")), lambda k: role(F.col("block"), F.col("nb") + k, True, False)))
+    own = F.col("nb") + F.pmod(F.xxhash64("node"), F.col("nx"))
+    return base.unionByName(in_roles(asks.join(sizes, "cell").withColumn("nbrs", F.lit(None).cast("array<long>")),
+                                     F.transform(every(F.col("nb")), lambda k: role(k, own, False, True))))
+
+
 def embedding_links(nodes: DataFrame, scratch: Scratch, beam: int = BEAM) -> DataFrame:
     """All pairs found: a table (a, b, ma, mb) of nodes and their counts."""
     lens = {r["n"]: r["c"] for r in nodes.groupBy(F.size("vec").alias("n")).agg(F.count("*").alias("c")).collect()}
@@ -299,9 +348,10 @@ def embedding_links(nodes: DataFrame, scratch: Scratch, beam: int = BEAM) -> Dat
                   .select("vec").collect())
         k = min(MOST_CELLS, max(1, round(count / SHARD_ROWS)))
         cells[n] = fit_cells(unit(matrix([r["vec"] for r in sample])), k)
-    dealt = scratch.save(nodes.mapInArrow(dealer(cells), "cell long, node long, m long, vec array<float>"), "cells")
+    dealt = scratch.save(nodes.mapInArrow(dealer(cells, 0, CELLS), DEALT), "cells")
     blocks = dealt.groupBy("cell").agg(F.count("*").alias("rows")).select(
         "cell", F.when(F.col("rows") > 4 * SHARD_ROWS, F.ceil(F.col("rows") / (2 * SHARD_ROWS))).otherwise(1).alias("nb"))
+    blocks = scratch.save(blocks, "blocks")
     dealt = dealt.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb")))
     dealt = scratch.save(dealt, "shards")
     lists = dealt.groupBy("cell", "block").applyInPandas(build_shard, "node long, nbrs array<long>")
@@ -310,20 +360,25 @@ def embedding_links(nodes: DataFrame, scratch: Scratch, beam: int = BEAM) -> Dat
     # (cell, block of the graph, block of the queries): one row in both roles where a cell is one block
     one = F.col("nb") == 1
     every = F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)
-    role = lambda g, q, b, a: F.struct(g.cast("long").alias("g"), q.cast("long").alias("q"), F.lit(b).alias("base"), F.lit(a).alias("ask"))
     roles = F.when(one, F.array(role(F.lit(0), F.lit(0), True, True))).otherwise(F.concat(
         F.transform(every, lambda k: role(F.col("block"), k, True, False)),
         F.transform(every, lambda k: role(k, F.col("block"), False, True))))
-    parts = graph.select("cell", "node", "m", "vec", "nbrs", F.explode(roles).alias("r")).select(
-        "cell", "r.g", "r.q", "r.base", "r.ask", "node", "m", "vec", "nbrs")
-    truth = audit_truth(scratch, nodes)
-    due = truth.count()
-    for _ in range(TRIES):
+    shards = in_roles(graph, roles)
+    truth, due = audit_truth(scratch, nodes, sum(lens.values()))
+    most, probes, parts = max((len(c) for c in cells.values()), default=0), CELLS, shards
+    for left in reversed(range(TRIES)):
         links = scratch.save(parts.groupBy("cell", "g", "q").applyInPandas(searcher(beam), PAIRS).distinct(), "links")
         hit = truth.join(links, ["a", "b"], "left_semi").count() if due else 0
-        if hit >= RECALL * due:
+        LOG.info("recall %d of %d audited links: %d cells, beam %d", hit, due, probes, beam)
+        if hit >= RECALL * due or not left:
             break
-        beam *= 2
+        scratch.drop(links)
+        beam, probes = 2 * beam, min(2 * probes, most)
+        parts = shards if probes <= CELLS else shards.unionByName(more_askers(scratch, nodes, graph, blocks, cells, probes))
+    if hit < LEAST_RECALL * due:
+        raise RuntimeError(f"near vectors: {hit} of {due} audited links found after {TRIES} searches")
+    if hit < RECALL * due:
+        LOG.warning("near vectors: %d of %d audited links found after %d searches", hit, due, TRIES)
     scratch.drop(graph, dealt)
     return links
 

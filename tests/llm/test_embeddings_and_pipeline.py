@@ -147,3 +147,46 @@ def test_pipeline_run_and_empty(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "b" / "documents.parquet"))
     assert cp.run(spark, str(tmp_path / "a")).count() > 40
     assert cp.run(spark, str(tmp_path / "b")).count() == 0
+
+
+# ---- vectors dealt to many cells -------------------------------------------
+
+def border_pairs(n=500, dim=32, seed=4):
+    """Isotropic vectors, each with one partner just above the threshold."""
+    r = np.random.default_rng(seed)
+    x = r.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = r.normal(size=(n, dim))
+    y -= (y * x).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    c = r.uniform(0.951, 0.955, (n, 1))
+    return [(i, v.tolist(), 0) for i, v in enumerate(np.concatenate([x, c * x + np.sqrt(1 - c * c) * y]).astype(np.float32))]
+
+
+@pytest.fixture
+def rough_cells(monkeypatch):
+    """Centroids fitted on so few vectors that they cut between partners."""
+    monkeypatch.setattr(embedding_dedup, "SHARD_ROWS", 20)
+    monkeypatch.setattr(embedding_dedup, "SAMPLE", 40)
+
+
+def test_audit_miss_searches_more_cells(spark, rough_cells, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "CELLS", 1)
+    df = spark.createDataFrame(border_pairs(300), VECTORS).repartition(4)
+    assert sum(r["n_links"] for r in embedding_dedup.near_vectors(df).collect()) >= 0.97 * 600
+
+
+def test_low_recall_fails(spark, rough_cells, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "CELLS", 1)
+    monkeypatch.setattr(embedding_dedup, "TRIES", 1)
+    df = spark.createDataFrame(border_pairs(300), VECTORS).repartition(4)
+    with pytest.raises(RuntimeError, match="audited links"):
+        embedding_dedup.near_vectors(df)
+
+
+def test_audit_holds_enough_links(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "AUDIT_LINKS", 200)
+    scratch = embedding_dedup.Scratch(spark, "audit-test")
+    rows = [(i, v) for i, v, _ in border_pairs()]
+    _, due = embedding_dedup.audit_truth(scratch, spark.createDataFrame(rows, "node long, vec array<float>"), len(rows))
+    assert due >= 200
