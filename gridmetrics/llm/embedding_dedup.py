@@ -10,7 +10,10 @@ united. Every node is then searched for in its shards: a greedy beam search
 from the shard's medoids, and, from every node found in range, expansion to
 all its neighbours until nothing new is in range. Pairs in range are verified
 in double precision. In a cell of several blocks, the queries of each block
-search the graphs of all blocks, so nothing is dropped there.
+search the graphs of all blocks, so nothing is dropped there. Edges that leave
+a shard are followed after that: a search hands out the neighbours of what it
+found that lie outside, these are verified, and the neighbours of new pairs are
+looked at in turn until no pair is new.
 
 Recall is audited: a sample of query vectors, drawn larger until it holds
 ``AUDIT_LINKS`` links, is compared with all vectors. Below ``RECALL`` every
@@ -31,6 +34,7 @@ import logging
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -232,6 +236,79 @@ def search(x: np.ndarray, adj: np.ndarray, q: np.ndarray, entries: np.ndarray, b
 
 
 PAIRS = "a long, b long, ma long, mb long"
+#: A query and a node with their counts, or (not ``sure``) a neighbour to verify.
+FOUND = f"{PAIRS}, sure boolean"
+
+
+def in_range(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Which rows are similar, in double precision."""
+    return np.einsum("ij,ij->i", u, v) / (np.linalg.norm(u, axis=1) * np.linalg.norm(v, axis=1)) >= THRESHOLD
+
+
+def outside(qi: np.ndarray, ni: np.ndarray, begin: np.ndarray, out_at: np.ndarray, names: np.ndarray,
+            asks: np.ndarray) -> np.ndarray:
+    """The neighbours outside the shard of what each query found, once for each query."""
+    seen = np.zeros((len(asks), len(names)), bool)
+    for j in range(0, len(qi), 1 << 15):
+        a, b = qi[j:j + (1 << 15)], ni[j:j + (1 << 15)]
+        size = begin[b + 1] - begin[b]
+        at = np.repeat(begin[b + 1] - np.cumsum(size), size) + np.arange(int(size.sum()))
+        seen[np.repeat(a, size), out_at[at]] = True
+    a, b = np.nonzero(seen)
+    a, b = asks[a], names[b]
+    none = np.zeros(len(a), np.int64)
+    return np.stack([a, b, none, none, none])[:, a != b]
+
+
+def verify(batches):
+    """mapInArrow function: the pairs in range."""
+    for t in batches:
+        size = pa.compute.list_value_length(t.column("va")).to_numpy()
+        for n in np.unique(size):
+            part = t.take(pa.array(np.flatnonzero(size == n)))
+            u, v = (part.column(c).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, n) for c in ("va", "vb"))
+            yield part.select(["a", "b", "ma", "mb"]).filter(pa.array(in_range(u, v)))
+
+
+def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    end = lambda c: nodes.select(F.col("node").alias(c), F.col("m").alias(f"m{c}"), F.col("vec").alias(f"v{c}"))
+    both = pairs.join(end("a"), "a").join(end("b"), "b").filter(F.size("va") == F.size("vb"))
+    return both.select("a", "b", "ma", "mb", "va", "vb").mapInArrow(verify, PAIRS)
+
+
+def ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def across_shards(scratch: Scratch, found: DataFrame, united: DataFrame, nodes: DataFrame) -> DataFrame:
+    """All links: those of the searches, and those that the united graph adds.
+
+    Whenever a node is found in range of a query, its neighbours are compared
+    with the query. A search has done so inside its shard and given out the
+    neighbours beyond; pairs found in one direction only, and new ones, have
+    their neighbours looked up here.
+    """
+    sure = found.filter("sure").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
+        F.max(F.when(F.col("a") < F.col("b"), F.col("ma")).otherwise(F.col("mb"))).alias("ma"),
+        F.max(F.when(F.col("a") < F.col("b"), F.col("mb")).otherwise(F.col("ma"))).alias("mb"),
+        F.max(F.col("a") < F.col("b")).alias("ab"), F.max(F.col("a") > F.col("b")).alias("ba"))
+    sure = scratch.save(sure, "found")
+    links = sure.select("a", "b", "ma", "mb")
+    swapped = lambda t: t.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    lone = sure.filter("NOT ab").select("a", "b").unionByName(swapped(sure.filter("NOT ba")))
+    reach = lambda pairs: pairs.join(united.withColumnRenamed("node", "b"), "b").select(
+        "a", F.explode("nbrs").alias("b")).filter("a <> b")
+    due = ordered(found.filter("NOT sure").select("a", "b").unionByName(reach(lone))).distinct()
+    tested = None
+    while True:
+        due = due.join(links, ["a", "b"], "left_anti")
+        due = scratch.save(due if tested is None else due.join(tested, ["a", "b"], "left_anti"), "due")
+        new = scratch.save(verified(due, nodes), "new")
+        if new.isEmpty():
+            return links
+        tested = due if tested is None else tested.unionByName(due)
+        links = links.unionByName(new)
+        due = ordered(reach(new.select("a", "b").unionByName(swapped(new)))).distinct()
 
 
 def searcher(beam: int):
@@ -239,7 +316,7 @@ def searcher(beam: int):
         base = pdf[pdf["base"]]
         ask = pdf[pdf["ask"]]
         if not len(base) or not len(ask):
-            return pd.DataFrame({"a": [], "b": [], "ma": [], "mb": []}).astype("int64")
+            return pd.DataFrame({"a": [], "b": [], "ma": [], "mb": []}).astype("int64").assign(sure=True)
         base = base.sort_values("node")
         node, raw, m = base["node"].to_numpy(), matrix(base["vec"]), base["m"].to_numpy()
         x = unit(raw)
@@ -251,24 +328,26 @@ def searcher(beam: int):
         adj = np.full((len(node), max(1, int(size.max()))), -1, np.int64)
         row = np.repeat(np.arange(len(node)), size)
         adj[row, np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)] = local
+        # edges out of the shard: places in ``names`` by node
+        out_row = row[local < 0]
+        names, out_at = np.unique(flat[local < 0], return_inverse=True)
+        begin = np.searchsorted(out_row, np.arange(len(node) + 1))
         entries = medoids(x, MEDOIDS)
         ask_node, ask_raw, ask_m = ask["node"].to_numpy(), matrix(ask["vec"]), ask["m"].to_numpy()
-        q, out = unit(ask_raw), []
+        q, out, beyond = unit(ask_raw), [], []
         for i in range(0, len(q), QUERIES):
             qi, ni = search(x, adj, q[i:i + QUERIES], entries, beam)
+            beyond.append(outside(qi, ni, begin, out_at, names, ask_node[i:i + QUERIES]))
             qi = qi + i
             other = ask_node[qi] != node[ni]
             qi, ni = qi[other], ni[other]
             for j in range(0, len(qi), 1 << 16):
-                u, v = ask_raw[qi[j:j + (1 << 16)]], raw[ni[j:j + (1 << 16)]]
-                cos = np.einsum("ij,ij->i", u, v) / (np.linalg.norm(u, axis=1) * np.linalg.norm(v, axis=1))
-                ok = cos >= THRESHOLD
-                a, b = qi[j:j + (1 << 16)][ok], ni[j:j + (1 << 16)][ok]
-                swap = ask_node[a] > node[b]
-                out.append(np.stack([np.where(swap, node[b], ask_node[a]), np.where(swap, ask_node[a], node[b]),
-                                     np.where(swap, m[b], ask_m[a]), np.where(swap, ask_m[a], m[b])]))
-        pairs = np.unique(np.concatenate(out, axis=1), axis=1) if out else np.zeros((4, 0), np.int64)
-        return pd.DataFrame(dict(zip(("a", "b", "ma", "mb"), pairs)))
+                a, b = qi[j:j + (1 << 16)], ni[j:j + (1 << 16)]
+                ok = in_range(ask_raw[a], raw[b])
+                a, b = a[ok], b[ok]
+                out.append(np.stack([ask_node[a], node[b], ask_m[a], m[b], np.ones(len(a), np.int64)]))
+        rows = np.concatenate([np.zeros((5, 0), np.int64), *out, *beyond], axis=1)
+        return pd.DataFrame(dict(zip(("a", "b", "ma", "mb"), rows))).assign(sure=rows[4] == 1)
     return run
 
 
@@ -355,7 +434,7 @@ def embedding_links(nodes: DataFrame, scratch: Scratch, beam: int = BEAM) -> Dat
     dealt = dealt.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb")))
     dealt = scratch.save(dealt, "shards")
     lists = dealt.groupBy("cell", "block").applyInPandas(build_shard, "node long, nbrs array<long>")
-    united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("nbrs"))).alias("nbrs"))
+    united = scratch.save(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("nbrs"))).alias("nbrs")), "united")
     graph = scratch.save(dealt.join(united, "node"), "graph")
     # (cell, block of the graph, block of the queries): one row in both roles where a cell is one block
     one = F.col("nb") == 1
@@ -367,19 +446,20 @@ def embedding_links(nodes: DataFrame, scratch: Scratch, beam: int = BEAM) -> Dat
     truth, due = audit_truth(scratch, nodes, sum(lens.values()))
     most, probes, parts = max((len(c) for c in cells.values()), default=0), CELLS, shards
     for left in reversed(range(TRIES)):
-        links = scratch.save(parts.groupBy("cell", "g", "q").applyInPandas(searcher(beam), PAIRS).distinct(), "links")
+        found = scratch.save(parts.groupBy("cell", "g", "q").applyInPandas(searcher(beam), FOUND), "searched")
+        links = across_shards(scratch, found, united, nodes)
         hit = truth.join(links, ["a", "b"], "left_semi").count() if due else 0
         LOG.info("recall %d of %d audited links: %d cells, beam %d", hit, due, probes, beam)
         if hit >= RECALL * due or not left:
             break
-        scratch.drop(links)
+        scratch.drop(found)
         beam, probes = 2 * beam, min(2 * probes, most)
         parts = shards if probes <= CELLS else shards.unionByName(more_askers(scratch, nodes, graph, blocks, cells, probes))
     if hit < LEAST_RECALL * due:
         raise RuntimeError(f"near vectors: {hit} of {due} audited links found after {TRIES} searches")
     if hit < RECALL * due:
         LOG.warning("near vectors: %d of %d audited links found after %d searches", hit, due, TRIES)
-    scratch.drop(graph, dealt)
+    scratch.drop(graph, dealt, found, united)
     return links
 
 

@@ -190,3 +190,16 @@ def test_audit_holds_enough_links(spark, monkeypatch):
     rows = [(i, v) for i, v, _ in border_pairs()]
     _, due = embedding_dedup.audit_truth(scratch, spark.createDataFrame(rows, "node long, vec array<float>"), len(rows))
     assert due >= 200
+
+
+def test_edges_between_shards_are_followed(spark, rough_cells, monkeypatch):
+    """One search, no audit: what lies one edge away in another cell is found."""
+    monkeypatch.setattr(embedding_dedup, "RECALL", 0)
+    monkeypatch.setattr(embedding_dedup, "LEAST_RECALL", 0)
+    r = np.random.default_rng(8)
+    centre = np.repeat(r.normal(size=(30, 32)), 20, axis=0)
+    x = centre + 0.2 * r.normal(size=centre.shape)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x.astype(np.float32))]
+    true = sum(n * c for (_, n, _), c in brute_links(rows).items())
+    got = sum(r["n_links"] for r in embedding_dedup.near_vectors(spark.createDataFrame(rows, VECTORS).repartition(4)).collect())
+    assert 0.99 * true <= got <= true
