@@ -25,6 +25,9 @@ from gridmetrics.llm.pii import personal_data, redact
 from gridmetrics.llm.quality_rules import quality_rules
 
 
+#: Words of a shingle in near-duplicate removal.
+SHINGLE_WORDS = 5
+
 _HELD: list[Scratch] = []
 
 
@@ -49,10 +52,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the least
-    doc_id. Of rows equal in doc_id and text one stays; a group without any
+    """One document of each group of near-duplicates (shingles of five words):
+    the one with the least doc_id. Of rows equal in doc_id and text one stays; a group without any
     doc_id goes only with the rows that have one, so all of it stays."""
-    rated = near_duplicates(docs.select("doc_id", "text"))
+    rated = near_duplicates(docs.select("doc_id", "text"), width=SHINGLE_WORDS)
     stays = rated.filter(F.col("kept") | F.col("component_id").isNull()).select("doc_id", "text_key").distinct()
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.struct(*docs.columns).alias("row"))
     same = rows["text_key"].eqNullSafe(stays["text_key"]) & rows["doc_id"].eqNullSafe(stays["doc_id"])

@@ -1,6 +1,7 @@
 """Operator 4: near-duplicates by circulant MinHash.
 
-A document is the set of its distinct 2-word shingles. Two permutations of the
+A document is the set of its distinct shingles of 2 words (or another width; a
+shorter text is one shingle). Two permutations of the
 32-bit universe make the whole signature: ``sigma`` scatters the shingles, and
 coordinate k is the least ``pi(sigma(shingle) - k)``, that is ``pi`` shifted
 circularly by k. Signatures are cut into ``BANDS`` bands of ``ROWS`` rows; a
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 from .graph import components
-from .texthash import chunks, mix64, pair_hashes, word_hashes
+from .texthash import chunks, mix64, run_hashes, word_hashes
 
 BANDS, ROWS = 32, 5
 PERCENT = 80
@@ -68,23 +69,10 @@ def pi_inplace(x: np.ndarray, spare: np.ndarray) -> np.ndarray:
     return np.bitwise_xor(x, spare, out=x)
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(distinct shingles of each row, ascending; row bounds)."""
     w, at = word_hashes(data, offsets, lower=True)
-    p, pat = pair_hashes(w, at)
-    n = np.diff(at)
-    alone = np.flatnonzero(n == 1)
-    if len(alone):  # one word: the sequence itself is the shingle
-        sizes = np.diff(pat)
-        sizes[alone] = 1
-        new_at = np.concatenate([[0], np.cumsum(sizes)])
-        out = np.empty(new_at[-1], np.uint64)
-        single = np.zeros(len(out), bool)
-        single[new_at[alone]] = True
-        out[single] = mix64(w[at[alone]] ^ np.uint64(0x5851F42D4C957F2D))
-        out[~single] = p
-        p, pat = out, new_at
-    p = p.copy()
+    p, pat = run_hashes(w, at, width)
     for i, j in zip(pat[:-1].tolist(), pat[1:].tolist()):
         if j - i > 1:
             p[i:j].sort()
@@ -123,23 +111,25 @@ def signatures(s: np.ndarray, at: np.ndarray) -> np.ndarray:
     return keys
 
 
-def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text_key, n, f1, f2, bands (null for an empty set)."""
-    for batch in batches:
-        for i, j, data, offsets in chunks(batch.column("text"), PART):
-            s, at = shingle_sets(data, offsets)
-            n = np.diff(at)
-            f1, f2 = fingerprints(s, at)
-            ends = np.concatenate([[0], np.cumsum(np.where(n > 0, BANDS, 0))]).astype(np.int32)
-            keys = signatures(s, at).ravel() if len(s) else np.zeros(0, np.int64)
-            bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys), mask=pa.array(n == 0))
-            part = batch.slice(i, j - i)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("text_key"), pa.array(n.astype(np.int64)), pa.array(f1),
-                 pa.array(f2), bands], names=["doc_id", "text_key", "n", "f1", "f2", "bands"])
+def signer(width: int):
+    """mapInArrow function: doc_id, text_key, n, f1, f2, bands (null for an empty set)."""
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, offsets in chunks(batch.column("text"), PART):
+                s, at = shingle_sets(data, offsets, width)
+                n = np.diff(at)
+                f1, f2 = fingerprints(s, at)
+                ends = np.concatenate([[0], np.cumsum(np.where(n > 0, BANDS, 0))]).astype(np.int32)
+                keys = signatures(s, at).ravel() if len(s) else np.zeros(0, np.int64)
+                bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys), mask=pa.array(n == 0))
+                part = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("text_key"), pa.array(n.astype(np.int64)), pa.array(f1),
+                     pa.array(f2), bands], names=["doc_id", "text_key", "n", "f1", "f2", "bands"])
+    return sign
 
 
-def full_sets(wanted: np.ndarray):
+def full_sets(wanted: np.ndarray, width: int):
     """mapInArrow function: f1, f2 and the whole set of each text whose bit is set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,7 +137,7 @@ def full_sets(wanted: np.ndarray):
             chosen = (wanted[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1)
             texts = batch.column("text").take(pa.array(np.flatnonzero(chosen)))
             for _, _, data, offsets in chunks(texts, PART):
-                s, at = shingle_sets(data, offsets)
+                s, at = shingle_sets(data, offsets, width)
                 f1, f2 = fingerprints(s, at)
                 sets = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(s.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(f1), pa.array(f2), sets], names=["f1", "f2", "shingles"])
@@ -228,17 +218,17 @@ def across(scratch: Scratch, sets: DataFrame, groups: DataFrame, labels: DataFra
     return links
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 2) -> DataFrame:
     """Components of similar documents; see the module text.
 
-    ``docs`` needs ``doc_id, text``. Returns ``doc_id, n_shingles, component_id,
-    kept`` and ``text_key`` (a 64-bit hash of the text, to tell rows with the
+    ``docs`` needs ``doc_id, text``; shingles have ``width`` words. Returns
+    ``doc_id, n_shingles, component_id, kept`` and ``text_key`` (a 64-bit hash of the text, to tell rows with the
     same doc_id apart).
     """
     scratch = Scratch(docs.sparkSession, "minhash")
     signed = scratch.save(
         docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-        .mapInArrow(sign, "doc_id long, text_key long, n long, f1 long, f2 long, bands array<long>"), "signed")
+        .mapInArrow(signer(width), "doc_id long, text_key long, n long, f1 long, f2 long, bands array<long>"), "signed")
     nodes = scratch.save(
         signed.filter("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"))
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
@@ -251,7 +241,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # second look at the texts: only the wanted ones (and a few more) leave the scan, as sets
     bits = filter_words(wanted, "rep")
     sets = (docs.select("text", bit_of(F.col("doc_id")).alias("bit"))
-            .mapInArrow(full_sets(bits), "f1 long, f2 long, shingles array<long>")
+            .mapInArrow(full_sets(bits, width), "f1 long, f2 long, shingles array<long>")
             .join(wanted, ["f1", "f2"]).select("node", "shingles").dropDuplicates(["node"]))
     sets = scratch.save(sets, "sets")
 

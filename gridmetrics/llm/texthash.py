@@ -81,6 +81,25 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> t
     return mix64(np.add.reduceat(parts, first) + sizes.astype(np.uint64)), bounds
 
 
+def run_hashes(words: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the sequences of ``width`` words within each row, and their row
+    bounds. A row with fewer words has one: that of all its words."""
+    n = np.diff(bounds)
+    at = np.concatenate([[0], np.cumsum(np.where(n >= width, n - width + 1, np.minimum(n, 1)))])
+    out, h = np.empty(at[-1], np.uint64), words
+    for k in range(1, width + 1):  # h: hashes of k words from each place on
+        if k > 1:
+            h = mix64(h[:-1] * np.uint64(3) + mix64(words[k - 1:]))
+        if k < width:
+            short = np.flatnonzero(n == k)
+            out[at[short]] = mix64(h[bounds[short]] ^ (np.uint64(0x5851F42D4C957F2D) + np.uint64(k)))
+    full = np.flatnonzero(n >= width)
+    size = n[full] - width + 1
+    inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    out[np.repeat(at[full], size) + inside] = h[np.repeat(bounds[full], size) + inside]
+    return out, at
+
+
 def pair_hashes(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the two-word sequences within each row, and their row bounds."""
     n = np.diff(bounds)

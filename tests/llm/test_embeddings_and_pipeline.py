@@ -203,3 +203,57 @@ def test_edges_between_shards_are_followed(spark, rough_cells, monkeypatch):
     true = sum(n * c for (_, n, _), c in brute_links(rows).items())
     got = sum(r["n_links"] for r in embedding_dedup.near_vectors(spark.createDataFrame(rows, VECTORS).repartition(4)).collect())
     assert 0.99 * true <= got <= true
+
+
+# ---- shingle width ---------------------------------------------------------
+
+def brute_five(rows):
+    """Components at 0.8 on 5-word shingles: the least place in each."""
+    sets = [[w[i:i + 5] for i in range(max(1, len(w) - 4))] if (w := tuple(t.lower().split())) else [] for _, t in rows]
+    sets, root = [set(s) for s in sets], list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * both >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {d: (len(sets[i]), rows[find(i)][0]) for i, (d, _) in enumerate(rows)}
+
+
+def revised_rows():
+    """Texts with 1 to 6 % of the words changed, and texts of few words."""
+    rows = []
+    for f in range(8):
+        base = words(200, 700 + f).split()
+        for c in range(8):
+            w = list(base)
+            for k in range(2 * c):
+                w[7 + 13 * k] = f"rev{f}x{c}x{k}"
+            rows.append((len(rows), " ".join(w)))
+    for t in ("one", "one two", "one two three", "one two three four", "one two three four five", "one two three four five six"):
+        rows += [(len(rows), t), (len(rows) + 1, t.upper())]
+    return rows
+
+
+def test_pipeline_dedup_takes_five_words(spark):
+    import corpus_pipeline as cp
+    rows = revised_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute_five(rows)
+    two = {d for d, _, c in brute_components(rows) if c == d}
+    kept = {d for d, (_, c) in want.items() if c == d}
+    assert kept != two and {r["doc_id"] for r in cp.deduplicate(spark, df, "").collect()} == kept
+
+
+def test_near_duplicates_of_five_words(spark):
+    from gridmetrics.llm import minhash
+    rows = revised_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(df, width=5).collect()}
+    assert got == brute_five(rows)
