@@ -4,8 +4,10 @@ Entities found by fixed patterns (email, ip, card, phone) are the seeds. The
 words beside them are lexical patterns: the left word, the right word, and both
 together. Patterns are scored on the pattern-instance graph by the share of
 their instances that are known; instances (identifier-shaped tokens) by the
-patterns that extract them. Instances with a high score become known, and the
-next round scores all patterns anew. What is known at the end and is no seed is
+patterns that extract them. Instances with a high score by two patterns, or by
+one that is trusted on many instances, become known, and the next round scores
+all patterns anew, until no instance is added. An instance at the edge of its
+text has only the patterns whose words it has. What is known at the end and is no seed is
 added to the spans as kind ``found``.
 
 Everything is DataFrame functions on the JVM. A regular expression gives the
@@ -42,7 +44,8 @@ TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 IDENTIFIER = r"^(?=(?:[^0-9]*+[0-9]){3}|[^@]++@).{6,}"
 
 SPAN = "array<struct<s:int,e:int,k:int,v:string>>"
-ROUNDS = 3
+#: One pattern alone is enough with this support and a confidence of LEAST_SCORE.
+ALONE_SUPPORT = 10
 LEAST_SUPPORT, LEAST_CONFIDENCE, LEAST_SCORE = 3, 0.8, 0.95
 #: Code points looked at on either side of an entity.
 REACH = 64
@@ -134,27 +137,30 @@ def known_instances(scratch: Scratch, items: DataFrame) -> DataFrame:
 
     ``items`` has (k, v, left, right), one row per seed or token.
     """
-    p = F.array(F.concat(F.lit("l "), "left"), F.concat(F.lit("r "), "right"),
-                F.concat(F.lit("b "), "left", F.lit(" "), "right"))
-    usable = F.when((F.col("left") != "") & (F.col("right") != ""), p)
+    left, right = F.col("left") != "", F.col("right") != ""
+    usable = F.array_compact(F.array(F.when(left, F.concat(F.lit("l "), "left")), F.when(right, F.concat(F.lit("r "), "right")),
+                                     F.when(left & right, F.concat(F.lit("b "), "left", F.lit(" "), "right"))))
     edges = scratch.save(items.select("v", (F.col("k") < 4).alias("seed"), F.explode(usable).alias("p"))
                          .groupBy("p", "v").agg(F.max("seed").alias("seed")), "graph")
-    known = None
-    for _ in range(ROUNDS):
+    known, size = None, 0
+    while True:  # confidence only grows, so what is known stays known
         e = edges.withColumn("score", F.col("seed").cast("double"))
         if known is not None:
             e = e.join(known.withColumnRenamed("score", "new"), "v", "left").withColumn(
                 "score", F.greatest("score", F.coalesce("new", F.lit(0.0))))
         rated = (e.groupBy("p").agg(F.avg("score").alias("confidence"), F.sum((F.col("score") > 0).cast("long")).alias("support"))
                  .filter((F.col("support") >= LEAST_SUPPORT) & (F.col("confidence") >= LEAST_CONFIDENCE)))
+        alone = (F.col("support") >= ALONE_SUPPORT) & (F.col("confidence") >= LEAST_SCORE)
         doubt = F.sum(F.log(F.greatest(F.lit(1.0) - F.col("confidence"), F.lit(1e-9))))
         new = (edges.filter(~F.col("seed")).join(rated, "p").groupBy("v")
-               .agg(F.count("*").alias("patterns"), (F.lit(1.0) - F.exp(doubt)).alias("score"))
-               .filter((F.col("patterns") >= 2) & (F.col("score") >= LEAST_SCORE)).select("v", "score"))
+               .agg(F.count("*").alias("patterns"), (F.lit(1.0) - F.exp(doubt)).alias("score"), F.max(alone).alias("alone"))
+               .filter(((F.col("patterns") >= 2) & (F.col("score") >= LEAST_SCORE)) | F.col("alone")).select("v", "score"))
         old, known = known, scratch.save(new, "known")
         if old is not None:
             scratch.drop(old)
-    return known.select("v")
+        before, size = size, known.count()
+        if size == before:
+            return known.select("v")
 
 
 def joined(items: Column) -> Column:
