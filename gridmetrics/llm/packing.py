@@ -5,9 +5,11 @@ bounds that need the least padding; batches of a token budget form inside each
 bucket.
 
 Lengths up to ``EXACT`` are candidate bounds themselves; longer ones are
-rounded up to the next of 128 steps per doubling, so the histogram has at most
-a few thousand rows whatever the data, and the driver may hold it. The program
-is exact over these candidates, with exact counts and lengths. Batches come
+gathered in 128 steps per doubling, so the histogram has at most a few thousand
+rows whatever the data, and the driver may hold it. The longest length of a step
+is its bound, so no bucket is longer than its longest member. The program is
+exact over these candidates, with exact counts; bounds between them could save
+less than 1/128 of the padded length. Batches come
 from ranks spread over blocks, so a bucket that holds most rows is many tasks.
 
 Defined cases: null text has no tokens and is placed in the shortest bucket; a
@@ -29,7 +31,7 @@ EXACT = 256
 
 
 def candidate(n: Column) -> Column:
-    """The candidate bound of a length: itself, or rounded up by under 1/128."""
+    """The step of a length: itself, or rounded up by under 1/128."""
     bits = F.length(F.bin(n - 1)) - 8
     step = F.pow(F.lit(2.0), bits)
     return F.when(n <= EXACT, n).otherwise((F.ceil(n / step) * step).cast("long"))
@@ -77,7 +79,7 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, batch_tokens: int = BATCH_TOKE
     lens = docs.select("doc_id", n.cast("long").alias("n_tokens"), F.xxhash64("doc_id", "text").alias("place"),
                        row.alias("row"))
     lens = scratch.save(lens if carry else lens.drop("row"), "lengths")
-    hist = (lens.groupBy(candidate(F.col("n_tokens")).alias("v")).agg(F.count("*").alias("n"))
+    hist = (lens.groupBy(candidate(F.col("n_tokens")).alias("step")).agg(F.max("n_tokens").alias("v"), F.count("*").alias("n"))
             .orderBy("v").collect())
     bounds = best_bounds([r["v"] for r in hist], [r["n"] for r in hist], buckets) or [0]
     bucket, base, first = F.lit(len(bounds) - 1), [], 0
