@@ -222,8 +222,9 @@ def near_duplicates(docs: DataFrame, width: int = 2) -> DataFrame:
     """Components of similar documents; see the module text.
 
     ``docs`` needs ``doc_id, text``; shingles have ``width`` words. Returns
-    ``doc_id, n_shingles, component_id, kept`` and ``text_key`` (a 64-bit hash of the text, to tell rows with the
-    same doc_id apart).
+    ``doc_id, n_shingles, component_id, kept``, ``text_key`` (a 64-bit hash of the text, to tell rows with the same
+    doc_id apart) and ``group`` (a number of the component, also apart where two
+    have the same name; null for an empty set).
     """
     scratch = Scratch(docs.sparkSession, "minhash")
     signed = scratch.save(
@@ -272,12 +273,12 @@ def near_duplicates(docs: DataFrame, width: int = 2) -> DataFrame:
 
     classes = narrow.join(labels, "node", "left").select("f1", "f2", "rep", F.coalesce("comp", "node").alias("comp"))
     names = classes.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    named = classes.join(names, "comp").select("f1", "f2", "component_id")
+    named = classes.join(names, "comp").select("f1", "f2", "component_id", F.col("comp").alias("group"))
     out = signed.drop("bands").join(named, ["f1", "f2"], "left").withColumnRenamed("n", "n_shingles")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return (out.withColumn("component_id", component)
             .select("doc_id", "n_shingles", "component_id",
-                    F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"), "text_key"))
+                    F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"), "text_key", "group"))
 
 
 def oracle() -> str:

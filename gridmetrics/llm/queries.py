@@ -42,7 +42,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_minhash", minhash.oracle())
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), width=2).drop("text_key")
+    return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), width=2).drop("text_key", "group")
 
 
 @query("op5_token_output")
