@@ -54,6 +54,8 @@ def components(scratch: Scratch, edges: DataFrame, a: str = "a", b: str = "b") -
         scratch.drop(old, large)
         if _is_star_forest(e):
             break
+    else:
+        raise RuntimeError(f"components: not settled after {MAX_ROUNDS} rounds")
     roots = e.select(F.col("v").alias("node")).distinct()
     return scratch.save(e.select(F.col("u").alias("node"), F.col("v").alias("comp"))
                         .unionByName(roots.select("node", F.col("node").alias("comp"))), "components")
