@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, importance, minhash, mixing, packing, pii, quality_rules, sharding, suffix_dedup, token_output
+from . import (divergence, embedding_dedup, importance, language_id, minhash, mixing, packing, pii, quality_rules, sharding, suffix_dedup,
+               token_output, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,6 +77,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+@query("op11_divergence", divergence.oracle())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
+@query("op12_language_id")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def _pipeline() -> None:
     import corpus_pipeline
 
