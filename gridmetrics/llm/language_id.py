@@ -9,8 +9,8 @@ window, and every window of the whole text is read. A document's probabilities
 are those of its windows, weighted by their letters.
 
 It is trained in numpy, with Adam, on the driver, from a bounded sample: of
-each language at most ``DOCS_PER_LANG`` documents (chosen by a hash of the
-text) with at most ``WINDOWS_PER_DOC`` windows each, spread evenly over the
+each language at most ``DOCS_PER_LANG`` different texts (chosen by a hash of
+the text) with at most ``WINDOWS_PER_DOC`` windows each, spread evenly over the
 text. The sample is cut on the executors, so only windows reach the driver. The
 languages are all values of ``lang`` among the rows learned from. Documents
 whose ``crc32(doc_id as text) mod 5`` is 0 are held out and never learned from;
@@ -169,15 +169,18 @@ def some_windows(most: int):
 
 
 def training_rows(docs: DataFrame, docs_per_lang: int) -> DataFrame:
-    """At most ``docs_per_lang`` documents of each language, those with the least hash."""
+    """At most ``docs_per_lang`` different texts of each language, those with the least hash."""
     rows = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    rows = rows.select("lang", "text", F.xxhash64("text").alias("h"))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    # twice the documents asked for, by hash, so that few rows are ranked and moved
-    share = F.least(F.lit(1.0), F.lit(2.0 * docs_per_lang) / F.col("n"))
-    near = (F.pmod("h", F.lit(1 << 30)) / float(1 << 30)) < share
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h"))
-    return rows.join(sizes, "lang").filter(near).withColumn("r", rank).filter(F.col("r") <= docs_per_lang).select("lang", "text", "h")
+    rows = rows.select("lang", "text", F.pmod(F.xxhash64("text"), F.lit(1 << 52)).alias("h"))
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()  # a row per language
+    if not sizes:
+        return rows
+    # twice the texts asked for, by hash: the rest stays where it is
+    bounds = {r["lang"]: min(1 << 52, int(2 * docs_per_lang / max(r["n"], 1) * (1 << 52))) for r in sizes}
+    bound = F.element_at(F.create_map(*(F.lit(x) for item in bounds.items() for x in item)), F.col("lang"))
+    near = rows.filter(F.col("h") < bound).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    return near.withColumn("r", rank).filter(F.col("r") <= docs_per_lang).select("lang", "text", "h")
 
 
 def fit(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, windows_per_doc: int = WINDOWS_PER_DOC) -> Network | None:
