@@ -6,13 +6,16 @@ together. Patterns are scored on the pattern-instance graph by the share of
 their instances that are known; instances (identifier-shaped tokens) by the
 patterns that extract them. Instances with a high score by two patterns, or by
 one that is trusted on many instances, become known, and the next round scores
-all patterns anew, until no instance is added. An instance at the edge of its
+all patterns anew, until neither the instances nor the trusted patterns change
+and the scores have settled. An instance at the edge of its
 text has only the patterns whose words it has. What is known at the end and is no seed is
 added to the spans as kind ``found``.
 
 Everything is DataFrame functions on the JVM. A regular expression gives the
-matches of a text and the gaps between them, whose lengths (in code points) are
-the positions. The patterns used are the fixed ones written without
+matches of a text and the gaps between them; sums over their lengths (in code
+points) are the positions, and the words beside a match come from the gaps on
+either side (``beside``). Sums and maxima run block by block, and text is cut
+from fixed parts, so a text takes time in proportion to its length. The patterns used are the fixed ones written without
 backtracking, so they take time in proportion to the text: a run of characters
 is entered at its first character only (or where the last match ended) and
 never given back. The graph holds one row per identifier-shaped token and
@@ -43,34 +46,94 @@ PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 IDENTIFIER = r"^(?=(?:[^0-9]*+[0-9]){3}|[^@]++@).{6,}"
 
-SPAN = "array<struct<s:int,e:int,k:int,v:string>>"
+SPAN = "array<struct<s:int,e:int,k:int,v:string,left:string,right:string>>"
 #: One pattern alone is enough with this support and a confidence of LEAST_SCORE.
 ALONE_SUPPORT = 10
 LEAST_SUPPORT, LEAST_CONFIDENCE, LEAST_SCORE = 3, 0.8, 0.95
-#: Code points looked at on either side of an entity.
-REACH = 64
+#: The rounds go on while the scores of all values together rise by more.
+SETTLED = 0.001
+#: A longer word stands in its patterns by its hash.
+LONG_WORD = 64
+#: Running values are taken block by block, so that a step copies no more than a block.
+BLOCK = 512
+#: Code points of the parts into which a text is cut before spans are taken out of it.
+PART = 1024
+
+OPENING = r"[\"'(\[{<]++"
+CLOSING = r"(?<![\"')\]}>.,;:!?])[\"')\]}>.,;:!?]++$"
 
 
 def no_spans() -> Column:
     return F.array().cast(SPAN)
 
 
-def spans(text: Column, pattern: str, kind: int) -> Column:
-    """All matches of a pattern with their places in code points."""
-    def place(m: Column, gaps: Column) -> Column:
-        both = F.arrays_zip(F.slice(gaps, 1, F.greatest(F.size(m), F.lit(1))).alias("g"), m.alias("m"))
-        start = F.struct(F.lit(0).alias("at"), no_spans().alias("out"))
+def running(values: Column, zero: int, join) -> Column:
+    """Of every element of an int array what ``join`` makes of all before it, from
+    ``zero`` on. Block by block: the first value of each block, then those inside it."""
+    def along(block: Column, first: Column) -> Column:
+        start = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(block, start, lambda acc, x: F.struct(
+            join(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
+
+    def by_block(blocks: Column) -> Column:
+        whole = F.transform(blocks, lambda b: F.aggregate(b, F.lit(zero), lambda acc, x: join(acc, x)))
+        return F.flatten(F.zip_with(blocks, along(whole, F.lit(zero)), along))
+
+    def split(v: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int"))
+        return F.transform(numbers, lambda i: F.slice(v, i * BLOCK + 1, F.lit(BLOCK)))
+
+    return let(values, lambda v: F.when(F.size(v) == 0, F.array().cast("array<int>")).otherwise(let(split(v), by_block)))
+
+
+def add(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def beside(x: Column, matches: Column, gaps: Column) -> Column:
+    """A match with the words to its left and right (lower case, digits as 0).
+
+    Words are cut at the matches of the same pattern: the left one is the last
+    word between the match before and this one, without opening punctuation at
+    its end, or if there is none, the last word of the match before. The right
+    one is the first word after the white space that follows, up to the next
+    match, or the first word of that match if only white space parts the two.
+    """
+    word = r"[^\x20\x09-\x0D]++"
+    last, first = rf"({word})[\x20\x09-\x0D]*+$", rf"^({word})"
+    at = lambda a, i: F.coalesce(F.get(a, i), F.lit(""))
+    before, after = F.regexp_replace(at(gaps, x["i"]), OPENING + "$", ""), at(gaps, x["i"] + 1)
+    left = F.regexp_extract(before, last, 1)
+    left = F.when(left != "", left).otherwise(F.regexp_extract(at(matches, x["i"] - 1), last, 1))
+    right = F.regexp_extract(after, rf"^[^\x20\x09-\x0D]*+[\x20\x09-\x0D]++({word})", 1)
+    apart = after.rlike(r"^[^\x20\x09-\x0D]*+[\x20\x09-\x0D]++$")
+    right = F.when(apart, F.regexp_extract(at(matches, x["i"] + 1), first, 1)).otherwise(right)
+    plain = lambda w: F.translate(F.lower(w), "123456789", "000000000")
+    key = lambda w: F.when(F.length(w) > LONG_WORD, F.sha2(w, 256)).otherwise(w)
+    return F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"), F.lower(x["v"]).alias("v"),
+                    key(plain(left)).alias("left"), key(plain(right)).alias("right"))
+
 
-        def step(acc: Column, x: Column) -> Column:
-            s = acc["at"] + F.length(x["g"])
-            e = s + F.length(x["m"])
-            one = F.struct(s.alias("s"), e.alias("e"), F.lit(kind).alias("k"), x["m"].alias("v"))
-            return F.struct(e.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+def spans(text: Column, pattern: str, kind: int, look, keep) -> Column:
+    """Matches of a pattern: ``look`` may narrow a match (s, e, v), ``keep`` takes
+    all of them to those wanted, as an array of (s, e, k, v, i); these get the
+    words beside them. Places are in code points."""
+    def all_matches(m: Column, gaps: Column) -> Column:
+        def place(starts: Column) -> Column:
+            rows = F.arrays_zip(m.alias("m"), F.slice(gaps, 1, F.size(m)).alias("g"), starts.alias("at"))
 
-        return F.when(F.size(m) == 0, no_spans()).otherwise(F.aggregate(both, start, step)["out"])
+            def one(x: Column, i: Column) -> Column:
+                s = x["at"] + F.length(x["g"])
+                return look(F.struct(s.alias("s"), (s + F.length(x["m"])).alias("e"), F.lit(kind).alias("k"), x["m"].alias("v"), i.alias("i")))
 
-    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-               lambda m: let(F.split(text, pattern, -1), lambda g: place(m, g)))
+            return F.transform(keep(F.transform(rows, one)), lambda x: F.when(x["k"] >= 0, beside(x, m, gaps)).otherwise(
+                F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"), x["v"].alias("v"), F.lit("").alias("left"), F.lit("").alias("right"))))
+
+        steps = F.zip_with(F.slice(gaps, 1, F.size(m)), m, lambda g, x: F.length(g) + F.length(x))
+        return let(running(steps, 0, add), place)
+
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.when(F.size(m) == 0, no_spans()).otherwise(
+        let(F.split(text, pattern, -1), lambda g: all_matches(m, g))))
 
 
 def digits(v: Column) -> Column:
@@ -79,10 +142,10 @@ def digits(v: Column) -> Column:
 
 def luhn(d: Column) -> Column:
     """Whether a string of digits passes the Luhn check."""
-    def add(total: Column, i: Column) -> Column:
+    def plus(total: Column, i: Column) -> Column:
         x = F.substring(d, F.length(d) - i, F.lit(1)).cast("int") * F.when(i % 2 == 1, F.lit(2)).otherwise(F.lit(1))
         return total + F.when(x > 9, x - 9).otherwise(x)
-    return F.aggregate(F.sequence(F.lit(0), F.length(d) - 1), F.lit(0), add) % 10 == 0
+    return F.aggregate(F.sequence(F.lit(0), F.length(d) - 1), F.lit(0), plus) % 10 == 0
 
 
 def byte_parts(v: Column) -> Column:
@@ -92,44 +155,53 @@ def byte_parts(v: Column) -> Column:
 def base_spans(text: Column) -> Column:
     """Matches of the four kinds, by kind; those that fail their check (Luhn,
     parts over 255, number of digits) have kind -1."""
-    def checked(found: Column, ok) -> Column:
-        return F.transform(found, lambda x: F.struct(
-            x["s"].alias("s"), x["e"].alias("e"), F.when(ok(x["v"]), x["k"]).otherwise(F.lit(-1)).alias("k"), x["v"].alias("v")))
+    def checked(ok):
+        return lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.when(ok(x["v"]), x["k"]).otherwise(F.lit(-1)).alias("k"),
+                                  x["v"].alias("v"), x["i"].alias("i"))
 
+    same = lambda x: x
     has = lambda c, x: F.when(c, x).otherwise(no_spans())
-    email = has(text.contains("@"), spans(text, EMAIL, 0))
-    ip = has(text.rlike("[0-9]") & text.contains("."), checked(spans(text, IP, 1), byte_parts))
-    card = F.filter(spans(text, CARD, 2), lambda x: F.length(digits(x["v"])).between(14, 19))
-    card = has(text.rlike("[0-9][ -]?[0-9]"), checked(card, lambda v: luhn(digits(v))))
-    phone = has(text.contains("+"), checked(spans(text, PHONE, 3), lambda v: F.length(digits(v)).between(10, 15)))
+    email = has(text.contains("@"), spans(text, EMAIL, 0, same, same))
+    ip = has(text.rlike("[0-9]") & text.contains("."), spans(text, IP, 1, checked(byte_parts), same))
+    long = lambda m: F.filter(m, lambda x: F.length(digits(x["v"])).between(14, 19))
+    card = has(text.rlike("[0-9][ -]?[0-9]"), spans(text, CARD, 2, same, lambda m: F.transform(long(m), checked(lambda v: luhn(digits(v))))))
+    phone = has(text.contains("+"), spans(text, PHONE, 3, checked(lambda v: F.length(digits(v)).between(10, 15)), same))
     return F.concat(email, ip, card, phone)
 
 
 def tokens(text: Column, base: Column) -> Column:
     """Identifier-shaped tokens without the punctuation around them, apart from
     those in a base match: a number that failed its check is no identifier."""
-    opening = r"^[\"'(\[{<]++"
-    closing = r"(?<![\"')\]}>.,;:!?])[\"')\]}>.,;:!?]++$"
-
     def bare(x: Column) -> Column:
-        s = x["s"] + F.length(x["v"]) - F.length(F.regexp_replace(x["v"], opening, ""))
-        v = F.regexp_replace(F.regexp_replace(x["v"], opening, ""), closing, "")
-        return F.struct(s.alias("s"), (s + F.length(v)).alias("e"), F.lit(4).alias("k"), v.alias("v"))
+        s = x["s"] + F.length(x["v"]) - F.length(F.regexp_replace(x["v"], "^" + OPENING, ""))
+        v = F.regexp_replace(F.regexp_replace(x["v"], "^" + OPENING, ""), CLOSING, "")
+        return F.struct(s.alias("s"), (s + F.length(v)).alias("e"), x["k"].alias("k"), v.alias("v"), x["i"].alias("i"))
 
-    def free(x: Column) -> Column:
-        return x["v"].rlike(IDENTIFIER) & ~F.exists(base, lambda b: (b["s"] < x["e"]) & (b["e"] > x["s"]))
+    def free(t: Column) -> Column:
+        shaped = F.filter(t, lambda x: x["v"].rlike(IDENTIFIER))
+        return F.when(F.size(base) == 0, shaped).otherwise(let(shaped, lambda x: clear_of(x, base)))
 
-    return F.when(text.rlike("[0-9]|@"), F.filter(F.transform(spans(text, TOKEN, 4), bare), free)).otherwise(no_spans())
+    return F.when(text.rlike("[0-9]|@"), spans(text, TOKEN, 4, bare, free)).otherwise(no_spans())
 
 
-def beside(text: Column, x: Column) -> Column:
-    """An item with the words to its left and right (lower case, digits as 0)."""
-    start = F.greatest(x["s"] - REACH, F.lit(0))
-    left = F.regexp_extract(F.substring(text, start + 1, x["s"] - start), r"([^\x20\x09-\x0D]++)[\x20\x09-\x0D]*+$", 1)
-    right = F.regexp_extract(F.substring(text, x["e"] + 1, F.lit(REACH)), r"^[^\x20\x09-\x0D]*+[\x20\x09-\x0D]++([^\x20\x09-\x0D]++)", 1)
-    plain = lambda w: F.translate(F.lower(w), "123456789", "000000000")
-    return F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"), F.lower(x["v"]).alias("v"),
-                    plain(left).alias("left"), plain(right).alias("right"))
+def clear_of(found: Column, base: Column) -> Column:
+    """The tokens that no base match overlaps: both go in order of their starts,
+    each beside the furthest end of the matches before it and the start of the next."""
+    never = 2**31 - 1
+    mark = lambda x, t: F.struct(x["s"].alias("s"), F.lit(t).alias("t"), x["e"].alias("e"),
+                                 *((x["k"].alias("k"), x["v"].alias("v"), x["i"].alias("i")) if t else
+                                   (F.lit(4).alias("k"), F.lit("").alias("v"), F.lit(0).alias("i"))))
+
+    def pick(order: Column) -> Column:
+        ends = running(F.transform(order, lambda x: F.when(x["t"] == 0, x["e"]).otherwise(F.lit(-1))), -1, F.greatest)
+        starts = F.transform(order, lambda x: F.when(x["t"] == 0, x["s"]).otherwise(F.lit(never)))
+        nexts = F.reverse(running(F.reverse(starts), never, F.least))
+        rows = F.arrays_zip(order.alias("x"), ends.alias("before"), nexts.alias("after"))
+        kept = F.filter(rows, lambda r: (r["x"]["t"] == 1) & (r["before"] <= r["x"]["s"]) & (r["after"] >= r["x"]["e"]))
+        return F.transform(kept, lambda r: F.struct(*(r["x"][c].alias(c) for c in "sekvi")))
+
+    marks = F.concat(F.transform(base, lambda x: mark(x, 0)), F.transform(found, lambda x: mark(x, 1)))
+    return let(F.sort_array(marks), pick)
 
 
 def known_instances(scratch: Scratch, items: DataFrame) -> DataFrame:
@@ -142,7 +214,7 @@ def known_instances(scratch: Scratch, items: DataFrame) -> DataFrame:
                                      F.when(left & right, F.concat(F.lit("b "), "left", F.lit(" "), "right"))))
     edges = scratch.save(items.select("v", (F.col("k") < 4).alias("seed"), F.explode(usable).alias("p"))
                          .groupBy("p", "v").agg(F.max("seed").alias("seed")), "graph")
-    known, size = None, 0
+    known, size, total = None, None, 0.0
     while True:  # confidence only grows, so what is known stays known
         e = edges.withColumn("score", F.col("seed").cast("double"))
         if known is not None:
@@ -150,6 +222,7 @@ def known_instances(scratch: Scratch, items: DataFrame) -> DataFrame:
                 "score", F.greatest("score", F.coalesce("new", F.lit(0.0))))
         rated = (e.groupBy("p").agg(F.avg("score").alias("confidence"), F.sum((F.col("score") > 0).cast("long")).alias("support"))
                  .filter((F.col("support") >= LEAST_SUPPORT) & (F.col("confidence") >= LEAST_CONFIDENCE)))
+        rated = scratch.save(rated, "patterns")
         alone = (F.col("support") >= ALONE_SUPPORT) & (F.col("confidence") >= LEAST_SCORE)
         doubt = F.sum(F.log(F.greatest(F.lit(1.0) - F.col("confidence"), F.lit(1e-9))))
         new = (edges.filter(~F.col("seed")).join(rated, "p").groupBy("v")
@@ -158,8 +231,11 @@ def known_instances(scratch: Scratch, items: DataFrame) -> DataFrame:
         old, known = known, scratch.save(new, "known")
         if old is not None:
             scratch.drop(old)
-        before, size = size, known.count()
-        if size == before:
+        before, risen = size, total
+        n, total = known.agg(F.count("*"), F.coalesce(F.sum("score"), F.lit(0.0))).first()
+        size = (n, rated.count())
+        scratch.drop(rated)
+        if size == before and total - risen <= SETTLED:
             return known.select("v")
 
 
@@ -186,9 +262,8 @@ def personal_data(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     text = text_or_empty()
     found = let(base_spans(text), lambda b: F.struct(
         F.filter(b, lambda x: x["k"] >= 0).alias("base"), tokens(text, b).alias("tokens")))
-    context = lambda a: F.transform(a, lambda x: beside(text, x))
     rows = docs.select("doc_id", row.alias("row"), let(found, lambda f: F.struct(
-        in_order(f["base"]).alias("base"), context(f["base"]).alias("seeds"), context(f["tokens"]).alias("tokens"))).alias("f"))
+        in_order(f["base"]).alias("base"), f["base"].alias("seeds"), f["tokens"].alias("tokens"))).alias("f"))
     rows = rows.select("doc_id", "row", "f.*", F.monotonically_increasing_id().alias("rid"))
     rows = scratch.save(rows if carry else rows.drop("row"), "seeds")
     items = rows.select(F.explode(F.concat("seeds", "tokens")).alias("i")).select("i.k", "i.v", "i.left", "i.right")
@@ -207,18 +282,30 @@ def personal_data(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
                         joined(F.col("items")).alias("spans"), "items", *(["row"] if carry else []))
 
 
+def taken(parts: Column, start: Column, end: Column) -> Column:
+    """Code points from ``start`` to ``end`` of a text in parts of ``PART``."""
+    first = F.floor(start / PART).cast("int")
+    some = F.slice(parts, first + 1, F.floor(end / PART).cast("int") - first + 1)
+
+    def inside(part: Column, i: Column) -> Column:
+        at = (first + i) * PART
+        low = F.greatest(start - at, F.lit(0))
+        return F.substring(part, low + 1, F.least(end - at, F.lit(PART)) - low)
+
+    return F.when(start >= end, F.lit("")).otherwise(F.array_join(F.transform(some, inside), ""))
+
+
 def redact(text: Column, items: Column) -> Column:
     """The text with every span replaced by its kind in brackets; overlapping
     spans are replaced together, by the kind of the first."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        label = F.concat(F.lit("["), F.upper(F.element_at(F.array(*(F.lit(k) for k in KINDS)), x["k"] + 1)), F.lit("]"))
-        before = F.substring(text, acc["at"] + 1, F.greatest(x["s"] - acc["at"], F.lit(0)))
-        more = F.when(x["s"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], F.array(before, label)))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), more.alias("out"))
+    def whole(x: Column, parts: Column) -> Column:
+        def label(r: Column) -> Column:
+            name = F.concat(F.lit("["), F.upper(F.element_at(F.array(*(F.lit(k) for k in KINDS)), r["x"]["k"] + 1)), F.lit("]"))
+            return F.when(r["x"]["s"] < r["at"], F.lit("")).otherwise(F.concat(taken(parts, r["at"], r["x"]["s"]), name))
 
-    def whole(acc: Column) -> Column:
-        return F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
+        rows = F.arrays_zip(x.alias("x"), running(F.transform(x, lambda i: i["e"]), 0, F.greatest).alias("at"))
+        rest = taken(parts, F.array_max(F.transform(x, lambda i: i["e"])), F.length(text))
+        return F.concat(F.array_join(F.transform(rows, label), ""), rest)
 
-    return F.when(F.size(items) == 0, text).otherwise(let(F.aggregate(items, start, step), whole))
+    parts = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PART}}}"), F.lit(0))
+    return F.when(F.size(items) == 0, text).otherwise(let(F.transform(items, lambda i: i), lambda x: let(parts, lambda p: whole(x, p))))
