@@ -17,7 +17,7 @@ over the files.
 
 Defined cases: null text is empty text (only the end id); rows without doc_id
 come first; rows with equal doc_id are ordered by a hash of their text;
-strings of special tokens in a text are ordinary text; an empty table gives no
+strings of special tokens in a text are these tokens; an empty table gives no
 files and an empty result.
 """
 
@@ -103,22 +103,28 @@ class Encoder:
     or line break between two other characters, nor a last comma or stop with
     the letter or digit before it. Rows whose white space is regular are cut
     there, and the ids of a piece are kept by the 64-bit hash of its bytes (at
-    most ``KNOWN`` pieces); other rows are encoded whole. New pieces go to the
-    library many at a time: a word's first id is the one whose token starts
-    with the mark of a space.
+    most ``KNOWN`` pieces), which are compared on every use; other rows, those
+    with the string of an added token and those with a piece whose hash another
+    piece has too are encoded whole. New pieces go to the library many at a time: a word's first
+    id is the one whose token starts with the mark of a space.
+
+    The strings of special tokens are these tokens, as the library has it;
+    ``special_as_text`` takes them as ordinary text.
     """
 
     KNOWN = 3_000_000
     AT_ONCE = 2000
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content.encode() for t in added if not (special_as_text and t.special)]
         vocab = self.tokenizer.get_vocab()
         self.dtype = np.dtype("<u2") if max(vocab.values()) < 1 << 16 else np.dtype("<u4")
         self.opens_word = np.zeros(max(vocab.values()) + 1, bool)
@@ -129,6 +135,7 @@ class Encoder:
     def forget(self) -> None:
         self.keys, self.first = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, self.dtype)
+        self.start, self.size, self.bytes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.asarray(x.ids, self.dtype)
@@ -153,23 +160,48 @@ class Encoder:
             ids += joined
         return np.array(bare + after, np.int64), np.concatenate(count), np.concatenate([np.zeros(0, self.dtype), *ids])
 
+    def has_added(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Whether a row holds the string of an added token."""
+        out, text = np.zeros(len(offsets) - 1, bool), data.tobytes()
+        for content in self.added:
+            at = text.find(content)
+            while at >= 0:
+                i = int(np.searchsorted(offsets, at, "right")) - 1
+                out[i] = True
+                at = text.find(content, max(int(offsets[i + 1]) - len(content) + 1, at + 1))
+        return out
+
     def learn(self, keys: np.ndarray, parts: list[bytes]) -> None:
         if len(self.keys) > self.KNOWN:
             self.forget()
         order, count, ids = self.pieces(parts)
         first = len(self.ids) + np.cumsum(count) - count
+        size = np.array([len(parts[i]) for i in order.tolist()], np.int64)
+        start = len(self.bytes) + np.cumsum(size) - size
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(parts[i] for i in order.tolist()), np.uint8)])
         self.ids = np.concatenate([self.ids, ids])
         keys = np.concatenate([self.keys, keys[order]])
         order = np.argsort(keys, kind="stable")
         self.keys = keys[order]
-        self.first, self.count = np.concatenate([self.first, first])[order], np.concatenate([self.count, count])[order]
+        for name, more in (("first", first), ("count", count), ("start", start), ("size", size)):
+            setattr(self, name, np.concatenate([getattr(self, name), more])[order])
+
+    def same(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Whether pieces are, byte by byte, those kept at ``place``."""
+        out = self.size[place] == sizes
+        at, n = starts[out], sizes[out]
+        before = np.cumsum(n) - n
+        inside = np.arange(int(n.sum()))
+        differ = data[np.repeat(at - before, n) + inside] != self.bytes[np.repeat(self.start[place[out]] - before, n) + inside]
+        out[np.flatnonzero(out)] = np.add.reduceat(differ, before, dtype=np.int64) == 0 if len(n) else True
+        return out
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         """Ids of each row."""
         rows = len(offsets) - 1
         if not len(data):
             return [np.zeros(0, self.dtype)] * rows
-        odd = irregular(data, offsets)
+        odd = irregular(data, offsets) | self.has_added(data, offsets)
         cut = np.zeros(len(data) + 1, bool)
         cut[offsets] = True
         space = (data == 32) | (data == 10)
@@ -199,7 +231,9 @@ class Encoder:
                     self.learn(kind[~new], parts(~new))
                 place = np.searchsorted(self.keys, kind)
             place = place[which]
-            n = self.count[place]
+            clash = ~self.same(data, starts, ends - starts, place)
+            odd[row[clash]] = True
+            n = np.where(clash, 0, self.count[place])
             total = np.cumsum(n)
             flat = self.ids[np.repeat(self.first[place] - (total - n), n) + np.arange(total[-1])]
             bound = np.searchsorted(row, np.arange(rows + 1))

@@ -230,16 +230,23 @@ def test_anchors_are_local():
 
 # ---- token files -----------------------------------------------------------
 
+def library():
+    """The tokenizer as its file has it."""
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(token_output.vocabulary())
+
+
 def test_token_files_round_trip(spark, odd):
-    encoder = token_output.Encoder(token_output.vocabulary())
-    rows = sorted(odd_rows(), key=lambda x: (x[0] is not None, x[0]))
+    tokenizer = library()
+    rows = sorted(odd_rows(), key=lambda x: (x[0] is not None, x[0])) + [(99, "a <|endoftext|> b<|endoftext|><|endoftext|", "en", "s0", None)]
+    odd = odd.unionByName(spark.createDataFrame(rows[-1:], odd.schema))
     scratch = Scratch(spark, "token-test")
     folder = scratch.path("files")
     manifest = token_output.write_tokens(odd, folder, scratch, sequence=64, file_ids=5000)
     out = token_output.read_tokens(manifest, folder).orderBy("start").collect()
     at = 0
     for r, (d, text, *_) in zip(out, rows):
-        ids = np.array([*encoder.tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
         assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (d, at, len(ids), zlib.crc32(ids.tobytes()))
         at += len(ids)
     files = {r["file"] for r in manifest.select("file").collect()}
@@ -254,17 +261,36 @@ def test_token_files_round_trip(spark, odd):
 
 
 def test_pieces_equal_whole_texts():
-    encoder = token_output.Encoder(token_output.vocabulary())
+    encoder, tokenizer = token_output.Encoder(token_output.vocabulary()), library()
     r = random.Random(3)
     alphabet = ["a", "b", "The", " ", "\n", ".", ",", "'s", "é", "ß", "”", "×", "1", " ", " ", "\t", "x", "日", " ", "’", "word", " ", "<|endoftext|>"]
     texts = ["".join(r.choice(alphabet) for _ in range(r.randrange(30))) for _ in range(4000)]
     encoder.KNOWN = 500  # begins afresh now and then
     for _, _, data, offsets in token_output.chunks(pa.array(texts), 1 << 12):
         got = encoder(data, offsets)
-        want = [encoder.tokenizer.encode(data[a:b].tobytes().decode(), add_special_tokens=False).ids for a, b in zip(offsets, offsets[1:])]
+        want = [tokenizer.encode(data[a:b].tobytes().decode(), add_special_tokens=False).ids for a, b in zip(offsets, offsets[1:])]
         assert [x.tolist() for x in got] == want
 
 
+def test_special_tokens_as_text():
+    encoder, tokenizer = token_output.Encoder(token_output.vocabulary(), special_as_text=True), library()
+    tokenizer.encode_special_tokens = True
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y"):
+        data = np.frombuffer(text.encode(), np.uint8)
+        assert encoder(data, np.array([0, len(data)]))[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_of_one_hash_are_told_apart(monkeypatch):
+    """With a hash that tells next to nothing, the ids are still those of the texts."""
+    monkeypatch.setattr(token_output, "mix64", lambda x: x % np.uint64(7))
+    encoder, tokenizer = token_output.Encoder(token_output.vocabulary()), library()
+    r = random.Random(8)
+    for _ in range(20):
+        texts = [" ".join(r.choice(["one", "two", "three", "é", "日本", "word"]) for _ in range(r.randrange(6))) for _ in range(30)]
+        _, _, data, offsets = next(token_output.chunks(pa.array(texts)))
+        assert [x.tolist() for x in encoder(data, offsets)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 # ---- importance resampling -------------------------------------------------
 
 def corpus(spark, n=1200):
