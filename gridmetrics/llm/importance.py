@@ -12,8 +12,9 @@ by hash; the bound makes the list of their ids safe to broadcast). Both models
 have ``BINS`` bins, so what a task gets and gives does not grow with the data.
 k is ``keep_share`` of all documents, by default the share of good documents
 among the labelled ones; the k-th key is found by narrowing a bracket with
-quantiles of the keys, not by a global sort. Documents tied with the k-th key
-(repeated ids) are all taken.
+quantiles of the keys, not by a global sort. The noise is drawn by a hash of
+doc_id and text, so weights, keys and the sample do not depend on how rows are
+dealt out; rows equal in both tie, and those tied with the k-th key are all taken.
 
 Defined cases: null or empty text has weight 0; a document with several labels
 counts as good only if all are; without labels the target equals the raw model
@@ -48,8 +49,11 @@ def ngram_bins(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray,
 
 
 def row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0.0], np.cumsum(values)])
-    return total[bounds[1:]] - total[bounds[:-1]]
+    """Of each row on its own: what stands beside it makes no difference."""
+    out, some = np.zeros(len(bounds) - 1), np.flatnonzero(np.diff(bounds))
+    if len(some):
+        out[some] = np.add.reduceat(values, bounds[:-1][some])
+    return out
 
 
 def count_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,8 +80,8 @@ def scorer(ratio: np.ndarray):
                     weight[i:j] += row_sums(ratio[bins], at)
                     if not k:
                         n[i:j] = np.diff(at)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(weight)],
-                                             names=["doc_id", "n_words", "log_weight"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(weight), batch.column("draw")],
+                                             names=["doc_id", "n_words", "log_weight", "draw"])
     return score
 
 
@@ -145,10 +149,11 @@ def importance_resample(docs: DataFrame, labels: DataFrame, keep_share: float |
     """
     scratch = Scratch(docs.sparkSession, "importance")
     ratio, share = fit(docs, labels, scratch, target_rows)
-    scores = docs.select("doc_id", "text").mapInArrow(
-        scorer(ratio), "doc_id long, n_words long, log_weight double")
-    u = (F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))
-    scores = scratch.save(scores.withColumn("key", F.col("log_weight") - F.log(-F.log(u))), "scores")
+    draw = (F.pmod(F.xxhash64("doc_id", "text", F.lit(SEED + 1)), F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))
+    scores = docs.select("doc_id", "text", draw.alias("draw")).mapInArrow(
+        scorer(ratio), "doc_id long, n_words long, log_weight double, draw double")
+    scores = scratch.save(scores.select("doc_id", "n_words", "log_weight",
+                                        (F.col("log_weight") - F.log(-F.log("draw"))).alias("key")), "scores")
     n = scores.count()
     k = int(np.ceil(n * (share if keep_share is None else keep_share)))
     cut = kth_largest(scores.select("key"), k, n)

@@ -334,6 +334,18 @@ def test_weights_by_brute_force(spark):
     assert all(got[k] == pytest.approx(want[v].sum(), abs=1e-6) for k, v in bins.items())
 
 
+def test_weights_and_keys_do_not_depend_on_partitions(spark):
+    docs, labels = corpus(spark, 300)
+    docs = docs.unionByName(docs.filter("doc_id < 40").withColumn("doc_id", F.lit(None).cast("long")))
+    docs = docs.unionByName(spark.createDataFrame([(None, "same text here")] * 20 + [(None, ""), (None, None)], docs.schema))
+    rows = [sorted(importance.importance_resample(docs.repartition(n), labels, keep_share=0.5).collect(), key=str) for n in (3, 7)]
+    assert rows[0] == rows[1]
+    unnumbered = [r for r in rows[0] if r["doc_id"] is None]
+    assert len({r["key"] for r in unnumbered if r["n_words"] == 3}) == 1  # equal rows tie
+    noise = {r["key"] - r["log_weight"] for r in unnumbered if r["n_words"] > 3}
+    assert len(noise) == 40
+
+
 @pytest.mark.parametrize("k", [1, 7, 500, 4999, 5000])
 def test_kth_largest(spark, k, monkeypatch):
     monkeypatch.setattr(importance, "FEW", 20)
