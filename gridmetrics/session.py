@@ -136,6 +136,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any Hadoop file system."""
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hadoop.getFileSystem(sc._jsc.hadoopConfiguration()).exists(hadoop))
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder within its file system; its new parent is made."""
+    sc = spark.sparkContext
+    a, b = (sc._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    fs = a.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder (any Hadoop file system); missing is fine."""
     _SCRATCH.pop(path, None)

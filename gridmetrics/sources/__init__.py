@@ -7,6 +7,6 @@ from .grid import (baseline_daily, baseline_hourly, baseline_monthly, bounds_fra
 from .ingest import (dropped_rows, flatten_columns, fuel_types, generation_wide_to_long, monthly_raw_to_long,
                      monthly_to_long, price_to_hourly, rule_buckets)
 from .pages import page_data_links
-from .sinks import (dq_latest_document, kpi_latest_document, read_csv, read_json_document,
-                    read_kpi_history,
-                    write_csv, write_json_document, write_kpi_history)
+from .csvfiles import csv_records, read_csv, read_csv_in_order, write_csv
+from .sinks import (dq_latest_document, kpi_latest_document, read_json_document, read_kpi_history, write_json_document,
+                    write_kpi_history)

@@ -9,33 +9,8 @@ from ..functions import iso_z
 from ..operators.reports import dq_latest_items, kpi_latest_items
 from ..operators.scope import export_scope
 from ..schema import KPI, KPI_COLS, REPORT_COVERAGE_PCT
-
-#: NULL is written as ``\\N`` and empty text as ``""``, quotes are doubled, and a
-#: quoted value may hold line breaks (files are then read whole, one task each;
-#: the writer makes many files). A text that is exactly ``\\N`` reads back as NULL.
-CSV_OPTS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
-            "multiLine": "true", "quote": '"', "escape": '"', "nullValue": "\\N",
-            "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-#: Empty text: written as two quotes, read as empty.
-CSV_WRITE, CSV_READ = {"emptyValue": '""'}, {"emptyValue": ""}
-
-
-def write_csv(df: DataFrame, path: str, sort_by: list[str] | None = None) -> str:
-    """Overwrite a CSV folder (header, whitespace kept verbatim)."""
-    out = df.orderBy(*sort_by) if sort_by else df
-    out.write.mode("overwrite").options(**CSV_OPTS, **CSV_WRITE).csv(path)
-    return path
-
-
-def read_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """CSV scan; without a schema every column is text (no inference pass)."""
-    r = spark.read.options(**CSV_OPTS, **CSV_READ)
-    if schema is not None:
-        return r.schema(schema).csv(path)
-    header = r.csv(path).columns
-    from pyspark.sql import types as T
-    return r.schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).csv(path)
-
+from ..session import path_exists
+from .csvfiles import read_csv, write_csv
 
 def write_kpi_history(kpi: DataFrame, path: str) -> str:
     """History file of the report scope, overwritten each run, in key order."""
@@ -45,12 +20,7 @@ def write_kpi_history(kpi: DataFrame, path: str) -> str:
 
 def read_kpi_history(spark: SparkSession, path: str) -> DataFrame:
     """History scan; a missing history reads as an empty KPI table."""
-    try:
-        return spark.read.options(**CSV_OPTS, **CSV_READ).schema(KPI).csv(path)
-    except Exception as e:  # noqa: BLE001 - only a missing path is tolerated
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], KPI)
-        raise
+    return read_csv(spark, path, KPI) if path_exists(spark, path) else spark.createDataFrame([], KPI)
 
 
 def kpi_latest_document(kpi: DataFrame, period: str) -> DataFrame:
