@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import resolve_level
@@ -21,8 +21,8 @@ from ..operators.kpi import compute_kpis_with_quality
 from ..operators.scope import eu_scope, normalize_ts
 from ..schema import MIN_COVERAGE_PCT, READING_COLS
 from ..session import scratch_path
-from ..sources.cache import raw_path, read_raw, write_raw
-from ..sources.fallback import fallback_fill, run_kind, run_source
+from ..sources.cache import attempt_path, publish, raw_path, read_raw, write_raw
+from ..sources.fallback import fallback_fill, kind_counts, kind_of, run_source
 from ..sources.ingest import monthly_to_long
 from ..sources.sinks import (dq_latest_document, kpi_latest_document, write_json_document,
                              write_kpi_history)
@@ -105,15 +105,17 @@ def run_eu(spark: SparkSession, readings: DataFrame, out_dir: str, level: str |
            params: dict | None = None, min_coverage_pct: float = MIN_COVERAGE_PCT) -> dict[str, str]:
     """EU run: raw cache, history CSV and the two latest documents.
 
-    The filled readings are written once; their label then decides under which
-    source and kind the entry is filed (an all-stub run is one of its own), so
-    a stub entry never takes the place of a live one.
+    The filled readings are written once, into the folder of this attempt; the
+    rows that decide on their label are counted while they are written. The
+    label says under which source and kind the entry is published (an all-stub
+    run is one of its own), so a stub entry never takes the place of a live one.
     """
     lv, out = resolve_level("eu", level), out_dir.rstrip("/")
-    filled = materialize(spark, eu_raw(readings, requested, start, end), "filled")
-    kind = run_kind(filled).first()["raw_kind"]
+    counts, attempt = Observation("run_kind"), attempt_path(f"{out}/raw")
+    write_raw(eu_raw(readings, requested, start, end).observe(counts, *kind_counts()), attempt)
+    kind = kind_of(counts.get["live"], counts.get["stub"])
     source = run_source(kind)
-    cache = write_raw(filled, raw_path(f"{out}/raw", source, kind, dict(params or {}, mode="eu", agg=lv)))
+    cache = publish(spark, attempt, raw_path(f"{out}/raw", source, kind, dict(params or {}, mode="eu", agg=lv, kind=kind)))
     reports = _write_reports(spark, read_raw(spark, cache), lv, out, False, min_coverage_pct)
     return {"raw_cache": cache, "raw_source": source, "raw_kind": kind, **reports}
 
@@ -124,7 +126,7 @@ def run_global(spark: SparkSession, monthly: DataFrame, out_dir: str, level: str
     """Global run over a landed monthly table: same reports, month level by default."""
     lv, out = resolve_level("global", level), out_dir.rstrip("/")
     raw = monthly_to_long(monthly, metric_rules, source_rules, date_formats)
-    cache = write_raw(raw, raw_path(f"{out}/raw", "ember", "monthly_kpi", dict(params or {}, mode="global", agg=lv)))
+    cache = write_raw(raw, raw_path(f"{out}/raw", "ember", "monthly_kpi", dict(params or {}, mode="global", agg=lv, kind="monthly_kpi")))
     reports = _write_reports(spark, read_raw(spark, cache), lv, out, True, min_coverage_pct)
     return {"raw_cache": cache, "raw_source": "ember", "raw_kind": "monthly_kpi", **reports}
 

@@ -33,11 +33,20 @@ def fallback_fill(observed: DataFrame, requested: DataFrame, start: str | Column
                 .unionByName(stub.select(*READING_COLS, F.lit("stub").alias("source_kind"))))
 
 
+def kind_counts() -> tuple[Column, Column]:
+    """What a run's label depends on: numbers of live and stub rows."""
+    return (F.count_if(F.col("source_kind") == "live").alias("live"), F.count_if(F.col("source_kind") == "stub").alias("stub"))
+
+
+def kind_of(live: int, stub: int) -> str:
+    """The label by numbers of rows, as ``run_kind`` gives it."""
+    return "eu_stub" if not live else "eu_live_with_stub" if stub else "eu_live"
+
+
 def run_kind(filled: DataFrame) -> DataFrame:
     """One-row label of a run: ``eu_live``, ``eu_live_with_stub`` or ``eu_stub``
     (no live row at all, an empty run included)."""
-    agg = filled.agg(F.count_if(F.col("source_kind") == "live").alias("live"),
-                     F.count_if(F.col("source_kind") == "stub").alias("stub"))
+    agg = filled.agg(*kind_counts())
     return agg.select(F.when(F.col("live") == 0, F.lit("eu_stub"))
                        .when(F.col("stub") > 0, F.lit("eu_live_with_stub"))
                        .otherwise(F.lit("eu_live")).alias("raw_kind"))

@@ -30,7 +30,7 @@ def test_run_eu_writes_reports(spark):
     assert set(out) == {"raw_cache", "raw_source", "raw_kind", "kpi_history_csv", "kpi_latest_json",
                         "dq_latest_json"}
     assert out["raw_kind"] == "eu_stub" and out["raw_source"] == "entsoe_stub"
-    assert "/entsoe_stub-eu_stub/" in out["raw_cache"]
+    assert "/entsoe_stub/eu_stub/" in out["raw_cache"]
     hist = src.read_kpi_history(spark, out["kpi_history_csv"])
     assert sorted(r["country"] for r in hist.collect()) == ["Austria", "France", "Germany"]
     assert os.path.isdir(out["kpi_latest_json"])

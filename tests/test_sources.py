@@ -95,6 +95,61 @@ def test_cache_entries_and_latest(spark):
     assert src.latest_cached_path(spark, root).endswith(first)
 
 
+def test_cache_key_is_that_of_sorted_json(spark):
+    """Fixed by the SHA-256 of the text {"agg": "day", "countries": ["DE", "Österreich"], "end": null, "mode": "eu"}."""
+    import hashlib
+    params = {"mode": "eu", "countries": ["DE", "Österreich"], "end": None, "agg": "day"}
+    text = '{"agg": "day", "countries": ["DE", "Österreich"], "end": null, "mode": "eu"}'
+    want = hashlib.sha256(text.encode()).hexdigest()[:16]
+    assert src.params_digest(params) == want
+    assert src.raw_path("/r/", "entsoe", "eu_live", params) == f"/r/entsoe/eu_live/{want}.parquet"
+
+
+def test_key_columns_equal_the_driver(spark):
+    from gridmetrics.functions.canonical import canonical_json, json_key, json_key_column, json_text
+    odd = ["", "plain", 'q"uote', "back\\slash", "".join(map(chr, range(40))), "\x7f\x85", "日本 é", "/", None]
+    rows = [(t, [t, "b"], i, i % 2 == 0, {"z": t, "a": "x", 'k"': None}, (t, None)) for i, t in enumerate(odd)] + [(None,) * 6]
+    df = spark.createDataFrame(rows, "s string, l array<string>, n long, b boolean, m map<string,string>, t struct<y:string,x:int>")
+    p = F.struct(*df.columns)
+    kind = df.select(p.alias("p")).schema["p"].dataType
+    out = df.select(F.struct("*").alias("row"), canonical_json(p, kind).alias("text"), json_key_column(p, kind).alias("key")).collect()
+    for r in out:
+        params = r["row"].asDict(recursive=True)
+        assert r["text"] == json_text(params) and r["key"] == json_key(params)
+    with pytest.raises(TypeError, match="double"):
+        canonical_json(F.lit(1.0), spark.range(1).select(F.lit(1.0).alias("x")).schema["x"].dataType)
+
+
+def test_publication(spark, monkeypatch):
+    from gridmetrics.sources import cache
+    root = scratch_path(spark, "publish-test")
+    path = src.raw_path(root, "a", "k", {"x": 1})
+    def attempt(n):
+        a = src.attempt_path(root)
+        src.write_raw(spark.range(n), a)
+        return a
+    src.publish(spark, attempt(3), path)
+    assert src.read_latest_cached(spark, root).count() == 3
+    pending = attempt(5)  # a crash between write and commit leaves the old entry
+    assert src.latest_cached_path(spark, root).endswith(path) and src.read_raw(spark, path).count() == 3
+    real = cache.move_path
+    def fail(s, a, b):
+        if a == pending:
+            raise OSError("lost")
+        real(s, a, b)
+    monkeypatch.setattr(cache, "move_path", fail)
+    with pytest.raises(OSError):
+        src.publish(spark, pending, path)  # a crash between the two renames
+    monkeypatch.setattr(cache, "move_path", real)
+    assert src.latest_cached_path(spark, root).endswith(path) and src.read_raw(spark, path).count() == 3
+    src.publish(spark, pending, path)
+    assert src.read_raw(spark, path).count() == 5
+    assert not os.path.exists(path + cache.REPLACED) and not os.path.exists(pending)
+    os.remove(os.path.join(half := attempt(1), "_SUCCESS"))
+    with pytest.raises(FileNotFoundError):
+        src.publish(spark, half, path)
+
+
 def test_flatten_columns(spark):
     df = spark.createDataFrame([(1, (2.0, 3.0))], "id long, `Wind` struct<`Actual Aggregated`: double, ` `: double>")
     assert src.flatten_columns(df).columns == ["id", "Wind_Actual Aggregated", "Wind"]
