@@ -2,7 +2,9 @@
 
 Plan shape: partial+final hash aggregate on (series, bucket) -> window
 ``lead`` per series over the *aggregated* rows (bounded by the calendar, not
-by the raw volume) -> ``explode(sequence)`` generator for gaps. No joins.
+by the raw volume) -> ``explode(sequence)`` generator for gaps; at the hour
+level short gaps in place and long ones dealt out in chunks, both from the
+same exchanges. No joins.
 """
 
 from __future__ import annotations
@@ -15,10 +17,12 @@ from pyspark.sql import functions as F
 from ..functions import bucket_start, check_level, expected_points
 from ..functions.time import chunked_range, nth_step, steps_between
 
-GAP_CHUNK = 4096   # longest array any single gap row materialises
 from ..schema import METRIC_AGG, MIN_COVERAGE_PCT, SERIES_COLS
+from ..session import default_parallelism
 from .scope import eu_scope, normalize_ts
 
+GAP_CHUNK = 4096   # longest array any single gap row materialises
+
 
 @dataclass(frozen=True)
 class DQConfig:
@@ -48,7 +52,12 @@ def bucket_values(readings: DataFrame, level: str) -> DataFrame:
 
 def fill_interior_gaps(bucketed: DataFrame, level: str) -> DataFrame:
     """Insert the missing buckets between each series' first and last bucket:
-    additive metrics get 0.0, price NULL, and 0 points. No leading/trailing fill."""
+    additive metrics get 0.0, price NULL, and 0 points. No leading/trailing fill.
+
+    An hourly gap of more than ``GAP_CHUNK`` buckets (a series with a stray
+    far-off timestamp, up to 88 million hours away) is expanded by many tasks. At the
+    other levels the calendar itself bounds a gap to 3.7 million buckets, which
+    stay in their task."""
     lv = check_level(level)
     mean_metrics = [m for m, a in METRIC_AGG.items() if a == "mean"]
     w = Window.partitionBy(*SERIES_COLS).orderBy("ts_utc")
@@ -56,12 +65,21 @@ def fill_interior_gaps(bucketed: DataFrame, level: str) -> DataFrame:
     # buckets from this one up to (not including) the next: 1 + the gap length
     n = (F.when(F.col("_next").isNull(), F.lit(1).cast("long"))
           .otherwise(steps_between(F.col("ts_utc"), F.col("_next"), lv)))
-    ids, lo, hi = chunked_range(F.col("_n"), GAP_CHUNK)
     keep = [*SERIES_COLS, "ts_utc", "value", "actual_points"]
-    g = (nxt.select(*keep, n.alias("_n"))
-            .select(*keep, "_n", F.explode(ids).alias("_c"))
-            .select(*keep, F.explode(F.sequence(lo(F.col("_c")), hi(F.col("_c")))).alias("_pos"))
-            .withColumn("_b", nth_step(F.col("ts_utc"), F.col("_pos"), lv)))
+    rows = nxt.select(*keep, n.alias("_n"))
+    ids, lo, hi = chunked_range(F.col("_n"), GAP_CHUNK)
+
+    def expand(some: DataFrame, deal: bool = False) -> DataFrame:
+        chunks = some.select(*keep, "_n", F.explode(ids).alias("_c"))
+        if deal:
+            chunks = chunks.repartition(default_parallelism(bucketed.sparkSession), *SERIES_COLS, "ts_utc", "_c")
+        return (chunks.select(*keep, F.explode(F.sequence(lo(F.col("_c")), hi(F.col("_c")))).alias("_pos"))
+                      .withColumn("_b", nth_step(F.col("ts_utc"), F.col("_pos"), lv)))
+
+    if lv == "hour":  # ordinary rows stay in their task; the chunks of a long gap are dealt over the cluster
+        g = expand(rows.where(F.col("_n") <= GAP_CHUNK)).unionByName(expand(rows.where(F.col("_n") > GAP_CHUNK), deal=True))
+    else:
+        g = expand(rows)
     filled = F.col("_pos") > 0
     value = (F.when(~filled, F.col("value"))
               .when(F.col("metric").isin(mean_metrics), F.lit(None).cast("double"))

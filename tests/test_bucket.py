@@ -95,3 +95,23 @@ def test_long_gap_is_filled_in_bounded_chunks(spark):
     assert hours > GAP_CHUNK
     agg = cov.agg(F.count("*"), F.sum("value"), F.sum("actual_points"), F.countDistinct("ts_utc")).first()
     assert tuple(agg) == (hours + 1, 3.0, 2, hours + 1)
+
+
+def test_long_gap_is_expanded_by_many_tasks(spark):
+    """One stray timestamp centuries away: the same buckets, from several tasks."""
+    from gridmetrics.operators.bucket import GAP_CHUNK, fill_interior_gaps
+    rows = [("2024-01-01 00:00:00", "FR", 1.0), ("2024-01-04 00:00:00", "FR", 2.0), ("2024-01-01 00:00:00", "DE", 3.0),
+            ("2084-01-01 00:00:00", "DE", 4.0)]
+    df = spark.createDataFrame(rows, "t string, country string, value double").select(
+        F.lit("EU").alias("region"), "country", F.lit("generation").alias("metric"), F.lit("fossil").alias("energy_source"),
+        F.lit("MWh").alias("unit"), F.lit("entsoe").alias("source_system"), F.to_timestamp("t").alias("ts_utc"), "value",
+        F.lit(1).cast("long").alias("actual_points"))
+    out = fill_interior_gaps(df, "hour").withColumn("task", F.spark_partition_id())
+    by_country = {r["country"]: r for r in out.groupBy("country").agg(
+        F.count("*").alias("n"), F.count_distinct("ts_utc").alias("d"), F.count_distinct("task").alias("tasks"),
+        F.sum("value").alias("v"), F.min("ts_utc").alias("lo"), F.max("ts_utc").alias("hi")).collect()}
+    hours = (dt.datetime(2084, 1, 1) - dt.datetime(2024, 1, 1)).days * 24 + 1
+    de, fr = by_country["DE"], by_country["FR"]
+    assert hours > 100 * GAP_CHUNK and de["n"] == de["d"] == hours and de["tasks"] >= 4 and de["v"] == 7.0
+    assert (de["lo"], de["hi"]) == (dt.datetime(2024, 1, 1), dt.datetime(2084, 1, 1))
+    assert fr["n"] == 73 and fr["tasks"] <= 2
