@@ -130,14 +130,55 @@ def price_summary(kpi: DataFrame, warn_missing_rate: float = 0.02) -> DataFrame:
                                      .otherwise(F.lit("WARN")))
 
 
-def table_profile(df: DataFrame, columns: Sequence[str] | None = None, sample_size: int = 50) -> DataFrame:
+def _smallest(columns: list[str], size: int):
+    def smallest(batches):
+        """The ``size`` smallest distinct values of each column that the task has seen."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        held = {}
+        for batch in batches:
+            for c, values in zip(columns, batch.columns):
+                some = pc.unique(pa.chunked_array([held[c], values.drop_null()]) if c in held else values.drop_null())
+                held[c] = some.take(pc.sort_indices(some))[:size] if len(some) > size else some
+        for c, values in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([c] * len(values), pa.string()), values.cast(pa.string())], names=["column_name", "value"])
+    return smallest
+
+
+#: Of the sketch of distinct values: log2 of its buckets (a few kB; one standard error is 1.04 / sqrt(2 ** SKETCH) = 0.8 %).
+SKETCH = 14
+
+
+def table_profile_sketched(df: DataFrame, columns: Sequence[str] | None = None, sample_size: int = 50) -> DataFrame:
+    """``table_profile`` for tables of any cardinality: distinct counts are those of
+    mergeable sketches (a relative error of 0.8 % at one standard error; exact
+    for small counts), and of the values only each task's ``sample_size``
+    smallest ones are moved. Two scans of the profiled columns; from each task
+    comes one row of sketches, and at most ``sample_size`` values of a column."""
+    cols = [c for c in (list(columns) if columns else [c for c, t in df.dtypes if t == "string"]) if c in df.columns]
+    text = {c: F.col(f"`{c}`").cast("string") for c in cols}
+    one = df.agg(F.count(F.lit(1)).alias("n"), *[F.hll_sketch_agg(text[c], F.lit(SKETCH)).alias(f"s{i}") for i, c in enumerate(cols)])
+    stats = one.select("n", F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"s{i}").alias("s")) for i, c in enumerate(cols)])).alias("x"))
+    stats = stats.select(F.col("x.c").alias("column_name"), F.col("n").cast("long").alias("n_rows"),
+                         F.coalesce(F.hll_sketch_estimate("x.s"), F.lit(0)).cast("long").alias("distinct_count"))
+    parts = df.select(*text.values()).mapInArrow(_smallest(cols, sample_size), "column_name string, value string")
+    w = Window.partitionBy("column_name").orderBy("value")
+    sample = (parts.distinct().withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= sample_size)
+              .groupBy("column_name").agg(F.array_join(F.array_sort(F.collect_list("value")), "|").alias("sample_values")))
+    return stats.join(sample, "column_name", "left")
+
+
+def table_profile(df: DataFrame, columns: Sequence[str] | None = None, sample_size: int = 50, sketched: bool = False) -> DataFrame:
     """Row count, distinct count and the ``sample_size`` smallest distinct
-    values of each text column, from one scan.
+    values of each text column, from one scan; ``sketched`` as in ``table_profile_sketched``.
 
     One ``(column_name, value)`` count, aggregated map-side, gives all three:
     its sum, its number of non-NULL rows, and its first values (a
     ``row_number`` limit that Spark applies per partition before the shuffle).
     """
+    if sketched:
+        return table_profile_sketched(df, columns, sample_size)
     cols = list(columns) if columns else [c for c, t in df.dtypes if t == "string"]
     cols = [c for c in cols if c in df.columns]
     kv = df.select(F.explode(F.array(*[
@@ -153,9 +194,8 @@ def table_profile(df: DataFrame, columns: Sequence[str] | None = None, sample_si
                     .where(F.col("_rn") <= sample_size)
                     .groupBy("column_name")
                     .agg(F.array_join(F.array_sort(F.collect_list("value")), "|").alias("sample_values")))
-    # one sample row per profiled column (at most ``sample_size`` values each):
-    # bounded by the schema, so it is broadcast instead of shuffled
-    return stats.join(F.broadcast(sample), "column_name", "left")
+    # one row for each profiled column on both sides; its values may be long texts, so Spark sizes the join
+    return stats.join(sample, "column_name", "left")
 
 
 # ---- year-comparison dashboard data -------------------------------------
@@ -201,10 +241,37 @@ def transition_scatter(cmp: DataFrame, size_year: int) -> DataFrame:
                        ((F.sqrt(tot) / mx) * F.lit(BUBBLE_MAX)).alias("bubble_size"))
 
 
-def drop_empty(df: DataFrame) -> DataFrame:
-    """Drop columns that are entirely NULL (one counting pass), then rows
-    that are entirely NULL."""
+def _filled_columns(df: DataFrame) -> list[str]:
+    """Columns with a value, by one counting pass."""
     counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)]).first()
-    keep = [c for i, c in enumerate(df.columns) if counts[f"c{i}"] > 0]
+    return [c for i, c in enumerate(df.columns) if counts[f"c{i}"] > 0]
+
+
+def _filled_by_footers(df: DataFrame, paths: Sequence[str]) -> list[str] | None:
+    """Columns with a value by the NULL counts in the footers of Parquet files: the
+    same count, pushed into the reader, which then opens no column. None where
+    the reader cannot take it, as without statistics."""
+    own = df.sparkSession.newSession()  # settings of its own, the same tables
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    try:
+        table = own.read.parquet(*paths).select(*[F.col(f"`{c}`") for c in df.columns])
+        counts = table.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)])
+        if "PushedAggregation: [COUNT" not in counts._jdf.queryExecution().toString():
+            return None
+        row = counts.first()
+    except Exception:  # noqa: BLE001 - files without NULL counts; any other fault shows again in the counting pass
+        return None
+    return [c for i, c in enumerate(df.columns) if row[f"c{i}"] > 0]
+
+
+def drop_empty(df: DataFrame, parquet: Sequence[str] | None = None) -> DataFrame:
+    """Drop columns that are entirely NULL, then rows that are entirely NULL.
+
+    Which columns are empty has to be known when the query is built: by one
+    counting pass, or where ``df`` is the plain scan of the Parquet paths
+    ``parquet``, by their footers alone."""
+    keep = (_filled_by_footers(df, parquet) if parquet else None)
+    keep = _filled_columns(df) if keep is None else keep
     out = df.select(*[F.col(f"`{c}`") for c in keep])
     return out.dropna(how="all") if keep else out

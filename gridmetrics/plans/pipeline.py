@@ -22,7 +22,7 @@ from ..operators.scope import eu_scope, normalize_ts
 from ..schema import MIN_COVERAGE_PCT, READING_COLS
 from ..session import scratch_path
 from ..sources.cache import attempt_path, publish, raw_path, read_raw, write_raw
-from ..sources.fallback import fallback_fill, kind_counts, kind_of, run_source
+from ..sources.fallback import fallback_fill, kind_counts, kind_of, run_source, write_filled
 from ..sources.ingest import monthly_to_long
 from ..sources.sinks import (dq_latest_document, kpi_latest_document, write_json_document,
                              write_kpi_history)
@@ -105,15 +105,20 @@ def run_eu(spark: SparkSession, readings: DataFrame, out_dir: str, level: str |
            params: dict | None = None, min_coverage_pct: float = MIN_COVERAGE_PCT) -> dict[str, str]:
     """EU run: raw cache, history CSV and the two latest documents.
 
-    The filled readings are written once, into the folder of this attempt; the
-    rows that decide on their label are counted while they are written. The
+    The filled readings are written once, into the folder of this attempt, from
+    one scan of the feed; what decides on their label is counted on the way. The
     label says under which source and kind the entry is published (an all-stub
     run is one of its own), so a stub entry never takes the place of a live one.
     """
     lv, out = resolve_level("eu", level), out_dir.rstrip("/")
-    counts, attempt = Observation("run_kind"), attempt_path(f"{out}/raw")
-    write_raw(eu_raw(readings, requested, start, end).observe(counts, *kind_counts()), attempt)
-    kind = kind_of(counts.get["live"], counts.get["stub"])
+    attempt = attempt_path(f"{out}/raw")
+    if requested is None:
+        counts = Observation("run_kind")
+        write_raw(eu_raw(readings).observe(counts, *kind_counts()), attempt)
+        kind = kind_of(counts.get["live"], counts.get["stub"])
+    else:
+        scoped = eu_scope(normalize_ts(readings.select(*READING_COLS)))
+        kind = kind_of(*write_filled(scoped, _requested_names(requested), start, end, attempt))
     source = run_source(kind)
     cache = publish(spark, attempt, raw_path(f"{out}/raw", source, kind, dict(params or {}, mode="eu", agg=lv, kind=kind)))
     reports = _write_reports(spark, read_raw(spark, cache), lv, out, False, min_coverage_pct)

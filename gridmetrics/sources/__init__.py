@@ -2,7 +2,7 @@
 
 from .cache import (attempt_path, latest_cached_path, params_digest, publish, raw_path, read_latest_cached, read_raw, restore,
                     write_raw)
-from .fallback import fallback_fill, kind_of, run_kind, run_source
+from .fallback import fallback_fill, kind_of, run_kind, run_source, write_filled
 from .grid import (baseline_daily, baseline_hourly, baseline_monthly, bounds_frame, calendar_grid, country_bounds,
                    data_range, multi_region_union, profile_rows)
 from .ingest import (dropped_rows, flatten_columns, fuel_types, generation_wide_to_long, monthly_raw_to_long,

@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from gridmetrics import operators as ops
 
 
@@ -54,3 +56,40 @@ def test_alias_lists(spark):
 def test_head_rows_ordered(spark):
     df = spark.createDataFrame([(3, "c"), (1, None), (2, "b")], "k long, v string")
     assert [r["k"] for r in ops.head_rows(df, ["v", "k"], 2).collect()] == [2, 3]
+
+
+def test_sketched_profile(spark):
+    df = spark.range(60_000).select((F.col("id") % 7).cast("string").alias("few"), F.sha2(F.col("id").cast("string"), 256).alias("many"),
+                                    F.lit(None).cast("string").alias("none"), F.when(F.col("id") == 5, "x").alias("odd name"))
+    exact = {r["column_name"]: r for r in ops.table_profile(df, sample_size=5).collect()}
+    out = {r["column_name"]: r for r in ops.table_profile(df.repartition(6), sample_size=5, sketched=True).collect()}
+    assert set(out) == set(exact)
+    for c, r in out.items():
+        assert (r["n_rows"], r["sample_values"]) == (exact[c]["n_rows"], exact[c]["sample_values"])
+        assert abs(r["distinct_count"] - exact[c]["distinct_count"]) <= 4 * 0.0082 * exact[c]["distinct_count"]
+    assert [out[c]["distinct_count"] for c in ("few", "none", "odd name")] == [7, 0, 1]
+
+
+def test_drop_empty_by_footers(spark, monkeypatch):
+    from gridmetrics.operators import reports
+    from gridmetrics.session import scratch_path
+    df = spark.range(50).select("id", F.lit(None).cast("double").alias("a"), F.when(F.col("id") > 48, "x").alias("b b"),
+                                F.lit(None).cast("string").alias("c"), F.when(F.col("id") < 0, F.current_timestamp()).alias("t"))
+    path = scratch_path(spark, "footers")
+    df.repartition(3).write.parquet(path)
+    table = spark.read.parquet(path)
+    def no_pass(_):
+        raise AssertionError("the data was counted")
+    want = sorted(ops.drop_empty(table).collect())
+    monkeypatch.setattr(reports, "_filled_columns", no_pass)
+    out = ops.drop_empty(table, parquet=[path])
+    assert out.columns == ["id", "b b"] and sorted(out.collect()) == want
+
+
+def test_drop_empty_without_statistics(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    pq.write_table(pa.table({"a": pa.array([None, None], pa.int64()), "b": [1, None]}), tmp_path / "x.parquet", write_statistics=False)
+    path = str(tmp_path / "x.parquet")
+    out = ops.drop_empty(spark.read.parquet(path), parquet=[path])
+    assert out.columns == ["b"] and [r[0] for r in out.collect()] == [1]
