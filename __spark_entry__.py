@@ -25,8 +25,9 @@ import entry_oracles as O  # noqa: E402
 from gridmetrics import operators as ops  # noqa: E402
 from gridmetrics import sources as src  # noqa: E402
 from gridmetrics.plans import adapters as ad  # noqa: E402
-from gridmetrics.plans.pipeline import eu_pipeline, global_pipeline, run_eu  # noqa: E402
-from gridmetrics.schema import (CN_MONTHLY_PROFILE, EU27, EU_HOURLY_PROFILE, KPI_COLS,  # noqa: E402
+from gridmetrics.functions.canonical import json_key_column  # noqa: E402
+from gridmetrics.plans.pipeline import eu_pipeline, global_pipeline, run_eu, run_global  # noqa: E402
+from gridmetrics.schema import (CN_MONTHLY_PROFILE, EU27, EU_HOURLY_PROFILE, KPI, KPI_COLS,  # noqa: E402
                                 METRIC_RULES, SOURCE_RULES, US_DAILY_PROFILE)
 from gridmetrics.session import ensure_utc, scratch_path  # noqa: E402
 
@@ -419,6 +420,13 @@ def q_table_profile(spark, sf):
     """Per text column row count, distinct count and sorted 50-value sample."""
     return ops.table_profile(A(spark, sf, "readings"), _PROFILE_COLS)
 
+
+
+@register("table_profile_sketched", _profile_oracle())
+def q_table_profile_sketched(spark, sf):
+    """The same profile from mergeable sketches (0.8 % at one standard error; exact for counts as small as these)."""
+    return ops.table_profile(A(spark, sf, "readings"), _PROFILE_COLS, sketched=True)
+
 # ---------------------------------------------------------------------------
 # Yearly and year comparison
 # ---------------------------------------------------------------------------
@@ -580,6 +588,17 @@ def q_drop_empty(spark, sf):
     """Drop all-NULL columns (one counting pass), then all-NULL rows."""
     return ops.drop_empty(A(spark, sf, "kpi_years"))
 
+
+
+@register("drop_empty_footers", "SELECT doc_id, lang, source, n_chars FROM documents")
+def q_drop_empty_footers(spark, sf):
+    """A written table with an empty column, which its file footers alone show (writers leave
+    statistics of texts of several kB out; then the columns are counted, so ``text`` is not taken here)."""
+    path = scratch_path(spark, "drop_empty")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "source", "n_chars")
+    docs.withColumn("nothing", F.lit(None).cast("double")).write.parquet(path)
+    return ops.drop_empty(spark.read.parquet(path), parquet=[path])
+
 # ---------------------------------------------------------------------------
 # Baseline grids (countries and ranges derived from the tables)
 # ---------------------------------------------------------------------------
@@ -856,6 +875,41 @@ def q_csv_roundtrip(spark, sf):
     return src.read_csv(spark, path)
 
 
+@register("csv_typed_text", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def q_csv_typed_text(spark, sf):
+    """Whole documents with their line breaks and quotes through CSV and back, typed by a schema."""
+    path = scratch_path(spark, "csv_typed_text")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    src.write_csv(docs, path)
+    return src.read_csv(spark, path, docs.schema)
+
+
+def _history_order_oracle():
+    return O.with_(_chain_day(), f"""SELECT region, country, period_start_utc,
+  CAST(row_number() OVER (ORDER BY region, country, period_start_utc) - 1 AS BIGINT) AS position
+  FROM kpi WHERE country IN ({_EU_NAMES})""")
+
+
+@register("kpi_history_order", _history_order_oracle())
+def q_kpi_history_order(spark, sf):
+    """The place of every row in the written history files, read back, is its place in key order."""
+    path = scratch_path(spark, "kpi_history_order")
+    src.write_kpi_history(_kpi_day(spark, sf), path)
+    return src.read_csv_in_order(spark, path, KPI).select("region", "country", "period_start_utc", "position")
+
+
+@register("cache_keys", """SELECT doc_id, substring(sha256('{"agg": "day", "countries": [' || coalesce(to_json(lang)::VARCHAR, 'null') || ', '
+  || coalesce(to_json(source)::VARCHAR, 'null') || '], "end": null, "kind": ' || coalesce(to_json(text)::VARCHAR, 'null')
+  || ', "mode": "eu", "start": ' || coalesce(n_chars::VARCHAR, 'null') || '}'), 1, 16) AS cache_key FROM documents""")
+def q_cache_keys(spark, sf):
+    """S10/hash: the cache key of a table of parameters (texts with quotes and line breaks, arrays, NULLs)."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    params = F.struct(F.lit("eu").alias("mode"), F.array("lang", "source").alias("countries"), F.col("n_chars").alias("start"),
+                      F.lit(None).cast("string").alias("end"), F.lit("day").alias("agg"), F.col("text").alias("kind"))
+    kind = docs.select(params.alias("p")).schema["p"].dataType
+    return docs.select("doc_id", json_key_column(params, kind).alias("cache_key"))
+
+
 @register("raw_cache_roundtrip", O.with_(ad.duck_ctes("readings") + [O.scope_cte("scoped", "readings")],
                                          "SELECT * FROM scoped"), M1_DOUBLES)
 def q_raw_cache_roundtrip(spark, sf):
@@ -970,6 +1024,26 @@ def _global_oracle():
     return O.with_(ctes, f"SELECT {KPI_SELECT} FROM kpi")
 
 
+def _global_run_oracle():
+    ctes = ad.duck_ctes("monthly_raw") + [_ML, O.scope_cte("gscoped", "ml")] + O.bucket_ctes("gscoped", "month")
+    ctes += [f"bucketed AS ({O.bucketed_select('cov')})", O.dq_cte("cov")] + O.kpi_ctes("bucketed", "month", "dq")
+    return O.with_(ctes, f"""SELECT {KPI_SELECT}, (SELECT count(*) FROM ml) AS cached_rows, 'ember' AS raw_source,
+  'monthly_kpi' AS raw_kind, strftime(max(period_start_utc) OVER (), '%Y-%m-%dT%H:%M:%SZ') AS latest_start,
+  (SELECT count(DISTINCT country) FROM kpi WHERE country IN ({_EU_NAMES})) AS latest_items,
+  (SELECT strftime(max(ts_utc), '%Y-%m-%dT%H:%M:%SZ') FROM dq) AS dq_latest_ts
+  FROM kpi WHERE country IN ({_EU_NAMES})""")
+
+
+@register("global_run", _global_run_oracle(), KPI_DOUBLES)
+def q_global_run(spark, sf):
+    """A whole global run; its history read back, with what its cache entry and its two documents hold."""
+    out = run_global(spark, A(spark, sf, "monthly_raw"), scratch_path(spark, "global_run"))
+    kpi, dq = (src.read_json_document(spark, out[k]).first() for k in ("kpi_latest_json", "dq_latest_json"))
+    facts = {"cached_rows": src.read_raw(spark, out["raw_cache"]).count(), "raw_source": out["raw_source"], "raw_kind": out["raw_kind"],
+             "latest_start": kpi["period_start_utc"], "latest_items": len(kpi["items"]), "dq_latest_ts": dq["ts_utc"]}
+    return src.read_kpi_history(spark, out["kpi_history_csv"]).select("*", *[F.lit(v).alias(k) for k, v in facts.items()])
+
+
 @register("global_pipeline", _global_oracle(), KPI_DOUBLES)
 def q_global_pipeline(spark, sf):
     """Monthly global table -> long -> EU scope -> month buckets -> KPI with DQ."""
