@@ -54,17 +54,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (shingles of five words):
     the one with the least doc_id, or where several texts of the group have that
-    doc_id, the one of them with the least hash. Of rows equal in doc_id and text one stays; a group without any
-    doc_id goes only with the rows that have one, so all of it stays."""
+    doc_id or none has any, the one of them with the least hash. Of rows equal in
+    doc_id and text the one with the least hash of its row stays; texts without words stay."""
     rated = near_duplicates(docs.select("doc_id", "text"), width=SHINGLE_WORDS)
-    one = rated.filter(F.col("kept") & F.col("group").isNotNull()).groupBy("group").agg(
-        F.min("doc_id").alias("doc_id"), F.min("text_key").alias("text_key"))
-    alone = F.col("component_id").isNull() | (F.col("kept") & F.col("group").isNull())
-    stays = one.unionByName(rated.filter(alone), allowMissingColumns=True).select("doc_id", "text_key").distinct()
+    named = F.col("component_id").isNotNull()
+    grouped = rated.filter(F.col("group").isNotNull() & (F.col("kept") | ~named))
+    one = grouped.groupBy("group").agg(F.min("doc_id").alias("doc_id"), F.min("text_key").alias("text_key"))
+    stays = one.select("doc_id", "text_key").unionByName(
+        rated.filter(F.col("group").isNull()).select("doc_id", "text_key")).distinct()
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.struct(*docs.columns).alias("row"))
     same = rows["text_key"].eqNullSafe(stays["text_key"]) & rows["doc_id"].eqNullSafe(stays["doc_id"])
     return (rows.join(stays, same, "left_semi").groupBy("doc_id", "text_key")
-            .agg(F.any_value("row").alias("row")).select("row.*"))
+            .agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*"))
 
 
 @stage

@@ -43,8 +43,10 @@ BANDS, ROWS = 32, 5
 PERCENT = 80
 #: Text bytes signed at once: the shingles of a part stay in a core's cache.
 PART = 1 << 20
-#: Bits of the filter for texts that are read again (1 MB).
-FILTER_BITS = 1 << 23
+#: Bits of the filter for texts that are read again: at least, for each of these texts, and at most (1 MB, 2 bytes, 128 MB).
+FILTER_BITS, BITS_EACH, MOST_BITS = 1 << 23, 16, 1 << 30
+#: Groups of several components whose rows (four numbers) are broadcast; beyond, they are joined over salted keys.
+MOST_MIXED, SALTS = 200_000, 32
 #: Shingles of one block of a group whose members are compared.
 BLOCK_SHINGLES = 250_000
 
@@ -144,18 +146,23 @@ def full_sets(wanted: np.ndarray, width: int):
     return run
 
 
-def bit_of(doc_id: Column) -> Column:
-    return F.pmod(F.xxhash64(doc_id), F.lit(FILTER_BITS))
+def filter_size(n: int) -> int:
+    """Bits of the filter for n texts: a power of two, in proportion to them."""
+    return min(MOST_BITS, max(FILTER_BITS, 1 << (BITS_EACH * n - 1).bit_length()))
 
 
-def filter_words(ids: DataFrame, column: str) -> np.ndarray:
-    """A set of ``FILTER_BITS`` bits that has the bit of every id. Its size does
-    not depend on the data; where it fills up, it merely lets more texts pass."""
-    bit = bit_of(F.col(column))
+def bit_of(doc_id: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(bits))
+
+
+def filter_words(ids: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A set of ``bits`` bits that has the bit of every id. Where it is too full
+    to tell (from half a billion ids on) it merely lets more texts pass."""
+    bit = bit_of(F.col(column), bits)
     words = (ids.select(F.shiftright(bit, 6).alias("w"), F.expr("1L").alias("one"), F.pmod(bit, F.lit(64)).cast("int").alias("b"))
-             .groupBy("w").agg(F.bit_or(F.call_function("shiftleft", "one", "b")).alias("x")).toPandas())
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    out[words["w"].to_numpy(np.int64)] = words["x"].to_numpy(np.int64)
+             .groupBy("w").agg(F.bit_or(F.call_function("shiftleft", "one", "b")).alias("x")).toArrow())
+    out = np.zeros(bits // 64, np.int64)
+    out[words["w"].to_numpy()] = words["x"].to_numpy()
     return out.view(np.uint64)
 
 
@@ -203,7 +210,13 @@ def across(scratch: Scratch, sets: DataFrame, groups: DataFrame, labels: DataFra
              .select("hub", F.col("m.comp").alias("main"),
                      F.ceil(F.col("all") / block_shingles).alias("nb"),
                      F.ceil((F.col("all") - F.col("m.s")) / block_shingles).alias("na")))
-    mixed = held.join(mains, "hub").withColumn("is_ask", F.col("comp") != F.col("main"))
+    mains = scratch.save(mains, "mains")
+    if mains.count() <= MOST_MIXED:
+        mixed = held.join(F.broadcast(mains), "hub")
+    else:  # a group may hold most of the texts: its rows are dealt by salt as well
+        salts = mains.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        mixed = held.withColumn("salt", F.pmod(F.xxhash64("node", F.lit(2)), F.lit(SALTS)).cast("int")).join(salts, ["hub", "salt"]).drop("salt")
+    mixed = mixed.withColumn("is_ask", F.col("comp") != F.col("main"))
     i, j = F.pmod(F.xxhash64("node"), F.col("na")), F.pmod(F.xxhash64("node", F.lit(1)), F.col("nb"))
     cell = lambda x, y, ask: F.struct(x.alias("i"), y.alias("j"), F.lit(ask).alias("ask"), F.lit(not ask).alias("base"))
     to = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
@@ -214,7 +227,7 @@ def across(scratch: Scratch, sets: DataFrame, groups: DataFrame, labels: DataFra
              .select("hub", "node", "comp", "n", "r.*").join(sets, "node"))
     links = parts.groupBy("hub", "i", "j").applyInPandas(compare_block, "a long, b long")
     links = scratch.save(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    scratch.drop(held)
+    scratch.drop(held, mains)
     return links
 
 
@@ -240,9 +253,10 @@ def near_duplicates(docs: DataFrame, width: int = 2) -> DataFrame:
 
     wanted = scratch.save(cells.select("node").distinct().join(narrow, "node").select("node", "rep", "f1", "f2"), "wanted")
     # second look at the texts: only the wanted ones (and a few more) leave the scan, as sets
-    bits = filter_words(wanted, "rep")
-    sets = (docs.select("text", bit_of(F.col("doc_id")).alias("bit"))
-            .mapInArrow(full_sets(bits, width), "f1 long, f2 long, shingles array<long>")
+    bits = filter_size(wanted.count())
+    words = filter_words(wanted, "rep", bits)
+    sets = (docs.select("text", bit_of(F.col("doc_id"), bits).alias("bit"))
+            .mapInArrow(full_sets(words, width), "f1 long, f2 long, shingles array<long>")
             .join(wanted, ["f1", "f2"]).select("node", "shingles").dropDuplicates(["node"]))
     sets = scratch.save(sets, "sets")
 
