@@ -187,9 +187,13 @@ def test_low_recall_fails(spark, rough_cells, monkeypatch):
 def test_audit_holds_enough_links(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "AUDIT_LINKS", 200)
     scratch = embedding_dedup.Scratch(spark, "audit-test")
-    rows = [(i, v) for i, v, _ in border_pairs()]
-    _, due = embedding_dedup.audit_truth(scratch, spark.createDataFrame(rows, "node long, vec array<float>"), len(rows))
+    rows = [(i, 1, v) for i, v, _ in border_pairs()]
+    schema = "node long, m long, vec array<float>"
+    truth, due = embedding_dedup.audit_truth(scratch, spark.createDataFrame(rows, schema), len(rows))
     assert due >= 200
+    heavy = spark.createDataFrame([(i, 3, v) for i, _, v in rows], schema)  # links of rows: every vector three times
+    assert embedding_dedup.row_pairs(embedding_dedup.sample_truth(scratch, heavy, len(rows))) == 9 * embedding_dedup.row_pairs(
+        embedding_dedup.sample_truth(scratch, spark.createDataFrame(rows, schema), len(rows)))
 
 
 def test_edges_between_shards_are_followed(spark, rough_cells, monkeypatch):
@@ -257,3 +261,14 @@ def test_near_duplicates_of_five_words(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(df, width=5).collect()}
     assert got == brute_five(rows)
+
+
+def test_double_vectors_are_compared_as_doubles(spark):
+    """Cosines next to the threshold that single precision rounds across it, and entries it has no number for."""
+    over, under = 0.95 + 1e-12, 0.95 - 1e-12
+    rows = [(1, [1.0, 0.0]), (2, [over, (1 - over**2) ** 0.5]), (3, [under, -((1 - under**2) ** 0.5)]),
+            (4, [0.0, 1e-60]), (5, [0.0, 2e-60]), (6, [1e300, -1e300]), (7, [-1.0, 1.0]), (8, [1e-200, -1e-200])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = {r["vec_id"]: r for r in embedding_dedup.near_vectors(df).collect()}
+    assert {k: (r["n_links"], r["component_id"]) for k, r in out.items()} == {
+        1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (1, 4), 5: (1, 4), 6: (1, 6), 7: (0, 7), 8: (1, 6)}
