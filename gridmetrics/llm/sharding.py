@@ -107,6 +107,22 @@ def deal(c: Column, parts: list[tuple[int, int, int]], what: str) -> Column:
     return out
 
 
+#: A group of at least this part of all rows is heavy; there are no more heavy ones than that.
+HEAVY = 1000
+
+
+def with_sizes(rows: DataFrame, sizes: DataFrame, total: int) -> DataFrame:
+    """Add ``group_rows`` (null for a row without a group of its own). Rows without
+    text and those of heavy groups, which a join by group would send to one
+    task, stay where they are."""
+    heavy = F.col("group_rows") * HEAVY >= total
+    none = F.lit(None).cast("long").alias("group_rows")
+    some = rows.filter(F.col("group").isNotNull()).join(F.broadcast(sizes.filter(heavy)), "group", "left")
+    light = some.filter(F.col("group_rows").isNull()).drop("group_rows").join(sizes.filter(~heavy), "group", "left")
+    return (rows.filter(F.col("group").isNull()).select("*", none)
+            .unionByName(some.filter(F.col("group_rows").isNotNull())).unionByName(light))
+
+
 def balanced_shards(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
     """Shard documents whose links are equal texts; the law is ``rows``.
 
@@ -123,8 +139,8 @@ def balanced_shards(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
     rows = scratch.save(rows.withColumn("rid", F.monotonically_increasing_id()), "rows")
     sizes = (rows.filter(F.col("group").isNotNull()).groupBy("group").agg(F.count("*").alias("group_rows"))
              .filter(F.col("group_rows") > 1))
-    rows = scratch.save(rows.join(sizes, "group", "left"), "grouped")
     total = rows.count()
+    rows = scratch.save(with_sizes(rows, scratch.save(sizes, "sizes"), total), "grouped")
     capacity = [total // n_shards + (j < total % n_shards) for j in range(n_shards)]
     # Groups of half a shard or more first, while shards are empty: they cannot move as one later on.
     giant = F.col("group_rows") * 2 >= capacity[0]
