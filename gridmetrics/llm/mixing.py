@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import BLOCK_ROWS, Scratch, n_words, source_key, text_or_empty
 
 MAX_COPIES = 3
-MAX_STEPS = 60
+MAX_STEPS = 100
 #: Files of the table of multipliers, which has one row per source.
 STATE_FILES = 4
 #: Newton ends when every source is within this share of its target.
@@ -100,8 +100,9 @@ def multipliers(scratch: Scratch, hist: DataFrame, sources: DataFrame) -> DataFr
                       for c in old.columns)).coalesce(STATE_FILES), "dual")
         scratch.drop(old)
         if state.filter(F.col("off") > TOLERANCE).isEmpty():
-            break
-    return state
+            return state
+    worst = state.agg(F.max("off")).first()[0]
+    raise ArithmeticError(f"the mix did not settle in {MAX_STEPS} rounds: {worst:.2g} of a source's target is missing")
 
 
 def diffuse(pdf):
