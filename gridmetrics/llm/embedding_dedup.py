@@ -54,6 +54,8 @@ AUDIT_ROWS, AUDIT_MOST, AUDIT_LINKS = 256, 16_384, 400
 RECALL, LEAST_RECALL, TRIES = 0.98, 0.9, 6
 #: Queries searched at once in a task; nodes expanded at once of each.
 QUERIES, AT_ONCE = 512, 4
+#: Nearest neighbours of a node that always lead to it.
+ENTRANCES = 6
 #: Slack of single precision in range tests; the verdict is in double.
 SLACK = 1e-4
 
@@ -174,7 +176,23 @@ def build_shard(pdf: pd.DataFrame) -> pd.DataFrame:
     order = np.argsort(node)
     node = node[order]
     adj = build_graph(unit(matrix(pdf["vec"].iloc[order])), np.random.default_rng(int(node[0]) & 0xFFFF))
-    return pd.DataFrame({"node": node, "nbrs": [np.unique(node[r[r >= 0]]) for r in adj]})
+    more: dict[int, list[int]] = {}
+    for b, a in entrances(adj):
+        more.setdefault(b, []).append(a)
+    return pd.DataFrame({"node": node, "nbrs": [np.unique(node[[*r[r >= 0], *more.get(i, [])]]) for i, r in enumerate(adj)]})
+
+
+def entrances(adj: np.ndarray) -> list[tuple[int, int]]:
+    """Edges (from, to) that are missing from the nearest neighbours of a node to
+    it. In a tight cluster the lists of all are taken up by the same members, and
+    the rest could not be found from anywhere in range, so these edges are there
+    whatever the bound of a list."""
+    near = adj[:, :ENTRANCES]
+    to = np.repeat(np.arange(len(adj)), near.shape[1])
+    there = near.ravel() >= 0
+    edges = zip(near.ravel()[there].tolist(), to[there].tolist())
+    have = [set(r.tolist()) for r in adj]
+    return [(b, a) for b, a in edges if a not in have[b]]
 
 
 def medoids(x: np.ndarray, k: int) -> np.ndarray:
