@@ -117,6 +117,30 @@ def source_key(c: Column) -> Column:
     return F.when(c.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), c))
 
 
+#: A group is salted so that no task must take more than this part of all rows for it.
+HEAVY = 1000
+
+
+def spread_join(rows: DataFrame, groups: DataFrame, keys: list[str], total: int, how: str = "inner") -> DataFrame:
+    """Join ``rows`` (``total`` of them) with one row for each group, whose size
+    is ``c``, without sending a large group to one task.
+
+    A group of more than 1/``HEAVY`` of all rows is dealt to as many salts as it
+    has such parts, and its row in ``groups`` is repeated for each, ``HEAVY``
+    rows more in all. The numbers of salts of these groups, at most ``HEAVY``
+    rows of the keys, are broadcast. Rows with a null key match nothing and are
+    spread too. ``how``: ``inner`` or ``left``.
+    """
+    parts = F.greatest(F.lit(1), F.ceil(F.col("c") * HEAVY / max(total, 1)).cast("int"))
+    heavy = groups.select(*keys, parts.alias("_parts")).filter("_parts > 1")
+    null = F.coalesce(*(F.when(F.col(k).isNull(), F.lit(HEAVY)) for k in keys))
+    number = F.monotonically_increasing_id()
+    salted = (rows.join(F.broadcast(heavy), keys, "left")
+              .withColumn("_salt", F.pmod(number, F.coalesce(null, F.col("_parts"), F.lit(1))).cast("int")).drop("_parts"))
+    dealt = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return salted.join(dealt, [*keys, "_salt"], how).drop("_salt")
+
+
 def ranked(df: DataFrame, keys: list[str], order: list[Column], n_rows: int, out: str = "rank",
            block: Column | None = None) -> DataFrame:
     """Add ``out``: the gapless 0-based place of each row within its ``keys``.

@@ -15,18 +15,22 @@ of an anchor: 159 bytes before, 200 after.
    strings through the anchor are repeats.
 3. Entries with an equal core but different contexts are range-partitioned by
    their leading bytes (the core) with sampled splitters, so an equal core lies
-   in one bucket. Each bucket sorts the suffixes that start up to 159 bytes
-   before its anchors by multikey quicksort, to a depth of 200 bytes in tokens
-   of 100, a second token only for what is equal in the first; equal neighbours
-   are repeats. An entry yields its outermost repeats.
+   in one bucket and no repeat crosses a boundary. Each bucket sorts the suffixes
+   that start up to 159 bytes before its anchors by multikey quicksort in byte
+   order, to a depth of 200 bytes in tokens of 8: only what is equal in a token
+   looks at the next. Equal neighbours are repeats. An entry yields its outermost
+   repeats.
 4. A core with more contexts than fit a bucket is compared across buckets: its
    range of starts is split again and again, and only entries that share the
    bytes common to all suffixes of a range, but not all bytes of the range, go
    on. Each split counts groups with partial aggregation, so no group meets.
 5. The spans, gathered per distinct text, are cut out of all documents.
 
-Texts are told apart by a 64-bit hash and their length, suffixes by two 64-bit
-hashes of their tokens.
+Rows that share a core, a context or a whole text with many others are salted
+in every join by these (``spread_join``).
+
+Texts, cores and contexts are told apart by 64-bit hashes (texts also by their
+length), sorted suffixes by their bytes.
 
 Defined cases: null text is empty; texts under 200 bytes keep all; equal texts
 of 200 bytes or more lose everything; repeated rows are equal texts; an empty
@@ -44,15 +48,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, small_batches
+from .common import Scratch, small_batches, spread_join
 from .texthash import chunks, mix64
 
 LENGTH = 200
 GRAM, SPAN = 8, 160
 CORE = LENGTH - SPAN + 1
 LEFT, RIGHT = SPAN - 1, LENGTH
-TOKEN = 100
-#: Entries of a core that one bucket sorts (50 MB of hashes), and entries that
+TOKEN = 8
+#: Entries of a core that one bucket sorts (50 MB of tokens), and entries that
 #: whole cores are gathered to before they are sorted.
 BLOCK, BATCH = 16_384, 2048
 #: Parts that a range of starts is split into when a core is too large for a bucket.
@@ -126,6 +130,7 @@ def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 ENTRY = "core long, context long, before int, after int, bytes binary, lead binary"
+MARKED = ENTRY + ", huge boolean"
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
@@ -140,7 +145,7 @@ def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches):
         want = part.column("want")
         fields = want.flatten()
-        place, core, context = (fields.field(k) for k in ("place", "core", "context"))
+        place, core, context, huge = (fields.field(k) for k in ("place", "core", "context", "huge"))
         parts, lead, before = [], [], []
         places = iter(place.to_pylist())
         for text, n in zip(part.column("text").to_pylist(), want.value_lengths().to_pylist()):
@@ -154,53 +159,82 @@ def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = pa.array(before, pa.int32())
         size = pa.array([len(x) for x in parts], pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [core, context, left, pc.subtract(size, left), pa.array(parts, pa.binary()), pa.array(lead, pa.binary())],
-            names=["core", "context", "before", "after", "bytes", "lead"])
+            [core, context, left, pc.subtract(size, left), pa.array(parts, pa.binary()), pa.array(lead, pa.binary()), huge],
+            names=["core", "context", "before", "after", "bytes", "lead", "huge"])
 
 
-def prefix_table(before: np.ndarray, parts: list[bytes]) -> np.ndarray:
-    """Running polynomial hash of the contexts (rows x 360), anchors aligned at
-    column 159, so that equal columns of two rows compare directly."""
-    width = LEFT + RIGHT
+def aligned(before: np.ndarray, parts: list[bytes], kind, plus: int) -> np.ndarray:
+    """The contexts (rows x 359) with their anchors at column 159, so that equal
+    columns of two rows compare directly; ``plus`` is added to bytes, not to gaps."""
     size = np.array([len(x) for x in parts])
-    grid = np.zeros((len(parts), width), np.uint64)
+    grid = np.zeros((len(parts), LEFT + RIGHT), kind)
     row = np.repeat(np.arange(len(parts)), size)
     col = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(LEFT - before, size)
-    grid[row, col] = np.frombuffer(b"".join(parts), np.uint8).astype(np.uint64) + np.uint64(1)
+    grid[row, col] = np.frombuffer(b"".join(parts), np.uint8).astype(kind) + kind(plus)
+    return grid
+
+
+def prefix_table(before: np.ndarray, parts: list[bytes]) -> np.ndarray:
+    """Running polynomial hash of the aligned contexts (rows x 360)."""
+    width = LEFT + RIGHT
+    grid = aligned(before, parts, np.uint64, 1)
     grid *= powers(width)[:width]
     out = np.zeros((len(parts), width + 1), np.uint64)
     np.cumsum(grid, axis=1, out=out[:, 1:])
     return out
 
 
-def equal_runs(key: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Which of the sorted keys equal a neighbour."""
-    k = key[order]
-    same = k[1:] == k[:-1]
-    return np.concatenate([same, [False]]) | np.concatenate([[False], same])
+def token_table(before: np.ndarray, parts: list[bytes]) -> np.ndarray:
+    """The 8 bytes from each column of the aligned contexts as a number that
+    orders like them (columns x rows)."""
+    b = np.ascontiguousarray(aligned(before, parts, np.uint8, 0).T)
+    two = (b[:-1].astype(np.uint16) << np.uint16(8)) | b[1:]
+    four = (two[:-2].astype(np.uint32) << np.uint32(16)) | two[2:]
+    return (four[:-4].astype(np.uint64) << np.uint64(32)) | four[4:]
+
+
+def multikey_sort(tokens: np.ndarray, rows: np.ndarray, col: int) -> tuple[np.ndarray, np.ndarray]:
+    """``rows`` in byte order of their 200 bytes from ``col``, and which of them
+    equal the one before.
+
+    Multikey quicksort, all runs of one depth at once: a run of rows equal so
+    far is sorted by its next token, and what is equal in that too goes on.
+    """
+    first = tokens[col, rows]
+    by = np.argsort(first)
+    order, first = rows[by], first[by]
+    same = np.concatenate([[False], first[1:] == first[:-1]])
+    for k in range(col + TOKEN, col + LENGTH, TOKEN):
+        at = np.flatnonzero(same | np.append(same[1:], False))  # runs of two or more
+        if not len(at):
+            break
+        token, inside = tokens[k, order[at]], same[at]
+        run = np.cumsum(~inside)
+        split = np.concatenate([[False], token[1:] != token[:-1]]) & inside
+        if not split.any():
+            continue
+        todo = np.zeros(run[-1] + 1, bool)
+        todo[run[split]] = True
+        todo = todo[run]
+        at, token, run = at[todo], token[todo], run[todo]
+        by = np.lexsort((token, run))
+        order[at] = order[at[by]]
+        token = token[by]
+        same[at[1:]] &= token[1:] == token[:-1]
+    return order, same
 
 
 def outermost_repeats(before: np.ndarray, after: np.ndarray, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(least, greatest) start before the anchor of a suffix whose 200 bytes
     another entry has; -1 if none."""
-    p = prefix_table(before, parts)
+    tokens = token_table(before, parts)
     least, greatest = np.full(len(parts), -1, np.int32), np.full(len(parts), -1, np.int32)
     for start in range(SPAN):
-        col = LEFT - start
         rows = np.flatnonzero((before >= start) & (after >= LENGTH - start))
         if len(rows) < 2:
             continue
-        first = p[rows, col + TOKEN] - p[rows, col]
-        order = np.argsort(first, kind="quicksort")
-        tied = order[equal_runs(first, order)]
-        if not len(tied):
-            continue
-        # only ties in the first token look at the second
-        second = p[rows[tied], col + LENGTH] - p[rows[tied], col + TOKEN]
-        order = np.lexsort((second, first[tied]))
-        f, g = first[tied][order], second[order]
-        same = (f[1:] == f[:-1]) & (g[1:] == g[:-1])
-        hit = rows[tied[order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]]]
+        order, same = multikey_sort(tokens, rows, LEFT - start)
+        hit = order[same | np.append(same[1:], False)]
         greatest[hit] = start
         least[hit] = np.where(least[hit] < 0, start, least[hit])
     return least, greatest
@@ -268,11 +302,13 @@ def across_buckets(scratch: Scratch, entries: DataFrame) -> DataFrame:
     found = None
     while not rows.isEmpty():
         hashed = scratch.save(rows.mapInArrow(range_hashes, SPLIT + ", common long, whole long"), "hashed")
-        near = hashed.groupBy("core", "lo", "common").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
+        near = hashed.groupBy("core", "lo", "common").agg(F.count("*").alias("c")).filter("c > 1")
         same = (hashed.filter("whole IS NOT NULL").groupBy("core", "lo", "whole")
                 .agg(F.count("*").alias("c"), F.min("context").alias("speaker")).filter("c > 1")
-                .select("core", "lo", "whole", "speaker", F.lit(True).alias("repeat")))
-        live = hashed.join(near, ["core", "lo", "common"]).join(same, ["core", "lo", "whole"], "left")
+                .withColumn("repeat", F.lit(True)))
+        total = hashed.count()
+        live = spread_join(hashed, scratch.save(near, "near"), ["core", "lo", "common"], total).drop("c")
+        live = spread_join(live, scratch.save(same, "same"), ["core", "lo", "whole"], total, "left")
         live = scratch.save(live, "live")
         done = live.filter("repeat").select("core", "context", F.col("lo").alias("least"), F.col("hi").alias("greatest"))
         found = done if found is None else found.unionByName(done)
@@ -291,43 +327,48 @@ def across_buckets(scratch: Scratch, entries: DataFrame) -> DataFrame:
 
 
 def repeated_spans(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """(t, size, spans): the bytes to remove, per distinct text.
+    """(t, size, spans, c): the bytes to remove, per distinct text, and the
+    number of its rows.
 
-    ``texts`` has (doc_id, t, text).
+    ``texts`` has (doc_id, t, size, text); t is null where the text is too short
+    for a repeat.
     """
-    marks = scratch.save(texts.select("t", "text").mapInArrow(
+    long = texts.filter(F.col("t").isNotNull())
+    marks = scratch.save(long.select("t", "text").mapInArrow(
         anchors, "t long, size int, place int, core long, context long"), "anchors")
-    often = marks.groupBy("core").agg(F.count("*").alias("c")).filter("c > 1").select("core")
-    kept = scratch.save(marks.join(often, "core"), "candidates")
-    scratch.drop(marks)
+    often = scratch.save(marks.groupBy("core").agg(F.count("*").alias("c")).filter("c > 1"), "often")
+    total = marks.count()
+    kept = scratch.save(spread_join(marks, often, ["core"], total), "candidates")
+    scratch.drop(marks, often)
     classes = scratch.save(kept.groupBy("core", "context").agg(
         F.count("*").alias("c"), *(F.first(x).alias(x) for x in ("t", "size", "place"))), "classes")
-    kinds = scratch.save(classes.groupBy("core").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "kinds")
-    names = texts.filter(F.octet_length("text") >= LENGTH).groupBy("t", F.octet_length("text").alias("size")).agg(
-        F.min("doc_id").alias("rep"))
-    want = (classes.join(kinds.select("core"), "core", "left_semi").groupBy("t", "size")
-            .agg(F.collect_list(F.struct("place", "core", "context")).alias("want")).join(names, ["t", "size"]))
-    d, w = texts.withColumn("size", F.octet_length("text")).alias("d"), want.alias("w")
+    kinds = scratch.save(classes.groupBy("core").agg(F.count("*").alias("c")).filter("c > 1"), "kinds")
+    names = scratch.save(long.groupBy("t", "size").agg(F.min("doc_id").alias("rep"), F.count("*").alias("c")), "names")
+    several = spread_join(classes.drop("c"), kinds, ["core"], classes.count())
+    want = (several.groupBy("t", "size")
+            .agg(F.collect_list(F.struct("place", "core", "context", (F.col("c") > BLOCK).alias("huge"))).alias("want"))
+            .join(names.drop("c"), ["t", "size"]))
+    d, w = long.alias("d"), want.alias("w")
     same = [F.col("d.t") == F.col("w.t"), F.col("d.size") == F.col("w.size"), F.col("d.doc_id").eqNullSafe(F.col("w.rep"))]
-    entries = d.join(w, same).select("d.text", "w.want").mapInArrow(contexts, ENTRY)
-    huge = scratch.save(kinds.filter(F.col("kinds") > BLOCK).select("core"), "huge")
-    entries = scratch.save(entries, "entries")
-    solved = (entries.join(huge, "core", "left_anti").repartitionByRange("lead").sortWithinPartitions("lead")
+    entries = scratch.save(d.join(w, same).select("d.text", "w.want").mapInArrow(contexts, MARKED), "entries")
+    solved = (entries.filter("NOT huge").drop("huge").repartitionByRange("lead").sortWithinPartitions("lead")
               .mapInArrow(sort_buckets, RANGE))
+    huge = entries.filter("huge").drop("huge")
     if not huge.isEmpty():
-        solved = solved.unionByName(across_buckets(scratch, entries.join(huge, "core", "left_semi")))
+        solved = solved.unionByName(across_buckets(scratch, huge))
     solved = scratch.save(solved, "solved")
     scratch.drop(entries)
     ranges = classes.select("core", "context", "c").join(solved, ["core", "context"], "left").filter("c > 1 OR least IS NOT NULL")
     all_least = F.greatest(F.lit(0), LENGTH - (F.col("size") - F.col("place")))
     all_most = F.least(F.lit(LEFT), F.col("place"))
     many = F.col("c") > 1
-    spans = (kept.join(ranges, ["core", "context"])
+    spans = (spread_join(kept.drop("c"), scratch.save(ranges, "ranges"), ["core", "context"], total)
              .withColumn("least", F.when(many, all_least).otherwise(F.col("least")))
              .withColumn("greatest", F.when(many, all_most).otherwise(F.col("greatest"))).filter("least <= greatest")
              .select("t", "size", F.struct((F.col("place") - F.col("greatest")).alias("s"),
                                            (F.col("place") - F.col("least") + LENGTH).alias("e")).alias("x")))
-    return scratch.save(spans.groupBy("t", "size").agg(F.collect_set("x").alias("spans")), "spans")
+    spans = spans.groupBy("t", "size").agg(F.collect_set("x").alias("spans"))
+    return scratch.save(spans.join(names.drop("rep"), ["t", "size"]), "spans")
 
 
 CUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -364,11 +405,11 @@ def remove_repeats(docs: DataFrame, digest: bool = True) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "suffix")
     small_batches(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
-    texts = docs.select("doc_id", F.xxhash64(text).alias("t"), text.alias("text"))
+    size = F.octet_length(text)
+    texts = docs.select("doc_id", F.when(size >= LENGTH, F.xxhash64(text)).alias("t"), size.alias("size"), text.alias("text"))
     spans = repeated_spans(texts, scratch)
-    rows = (texts.withColumn("size", F.octet_length("text")).join(spans, ["t", "size"], "left")
-            .select("doc_id", "text", "spans"))
-    out = rows.mapInArrow(cutter(digest), CUT)
+    rows = spread_join(texts, spans, ["t", "size"], docs.count(), "left")
+    out = rows.select("doc_id", "text", "spans").mapInArrow(cutter(digest), CUT)
     return out.drop("kept") if digest else out
 
 

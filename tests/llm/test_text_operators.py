@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from llm_fixtures import clashing, none, odd, odd_rows, words  # noqa: F401
 from gridmetrics.llm import importance, minhash, pii, sharding, suffix_dedup, token_output
+from gridmetrics.llm import common
 from gridmetrics.llm.common import Scratch
 
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
@@ -215,6 +216,43 @@ def test_repeats_by_brute_force(spark, block, monkeypatch):
     assert got == dict(enumerate(brute_cut(texts)))
 
 
+def test_suffixes_are_sorted_by_bytes():
+    """The multikey sort gives the byte order of all suffixes, and finds the equal ones."""
+    r = random.Random(11)
+    left, right, n = suffix_dedup.LEFT, suffix_dedup.RIGHT, suffix_dedup.LENGTH
+    base = [bytes(r.choice(b"\x00\x01a\xff") for _ in range(left + right)) for _ in range(4)]
+    parts, before = [], []
+    for _ in range(120):
+        x = bytearray(r.choice(base))
+        for _ in range(r.choice([0, 0, 1, 3])):
+            x[r.randrange(len(x))] = r.choice(b"\x00\x80\xff")
+        lo, hi = r.choice([0, 0, 5, left]), len(x) - r.choice([0, 0, 3, right])
+        parts.append(bytes(x[lo:max(hi, lo + 41)]))
+        before.append(left - lo)
+    before = np.array(before)
+    after = np.array([len(x) for x in parts]) - before
+    tokens = suffix_dedup.token_table(before, parts)
+    for start in (0, 1, 7, 80, 159):
+        rows = np.flatnonzero((before >= start) & (after >= n - start))
+        order, same = suffix_dedup.multikey_sort(tokens, rows, left - start)
+        found = [parts[i][before[i] - start:before[i] - start + n] for i in order]
+        assert sorted(order) == sorted(rows) and found == sorted(found)
+        assert same.tolist() == [i > 0 and found[i] == found[i - 1] for i in range(len(found))]
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_spread_join_is_the_join(spark, how):
+    """Heavy, light, unmatched and null keys; the heavy group is dealt to many salts."""
+    rows = spark.createDataFrame([(i, "hot" if i % 3 == 0 else None if i % 5 == 0 else f"k{i % 700}") for i in range(6000)],
+                                 "i long, k string").repartition(4)
+    groups = (rows.filter("k IS NOT NULL AND k <> 'k1'").groupBy("k").agg(F.count("*").alias("c"))
+              .withColumn("v", F.length("k")))
+    got = common.spread_join(rows, groups, ["k"], 6000, how)
+    assert got.columns == ["k", "i", "c", "v"]
+    assert sorted(got.collect(), key=str) == sorted(rows.join(groups, "k", how).collect(), key=str)
+    assert common.spread_join(rows.limit(0), groups.limit(0), ["k"], 0, how).count() == 0
+
+
 def test_anchors_are_local():
     """Any 200 bytes hold an anchor at the same offset of at most 159, wherever they stand."""
     r = np.random.default_rng(3)
