@@ -18,8 +18,9 @@ of an anchor: 159 bytes before, 200 after.
    in one bucket and no repeat crosses a boundary. Each bucket sorts the suffixes
    that start up to 159 bytes before its anchors by multikey quicksort in byte
    order, to a depth of 200 bytes in tokens of 8: only what is equal in a token
-   looks at the next. Equal neighbours are repeats. An entry yields its outermost
-   repeats.
+   looks at the next. Equal neighbours are repeats. Starts at which an entry
+   shares too few bytes on either side with any other of its core are left out
+   beforehand. An entry yields its outermost repeats.
 4. A core with more contexts than fit a bucket is compared across buckets: its
    range of starts is split again and again, and only entries that share the
    bytes common to all suffixes of a range, but not all bytes of the range, go
@@ -204,33 +205,56 @@ def multikey_sort(tokens: np.ndarray, rows: np.ndarray, col: int) -> tuple[np.nd
     by = np.argsort(first)
     order, first = rows[by], first[by]
     same = np.concatenate([[False], first[1:] == first[:-1]])
+    at = None
     for k in range(col + TOKEN, col + LENGTH, TOKEN):
-        at = np.flatnonzero(same | np.append(same[1:], False))  # runs of two or more
-        if not len(at):
-            break
-        token, inside = tokens[k, order[at]], same[at]
-        run = np.cumsum(~inside)
-        split = np.concatenate([[False], token[1:] != token[:-1]]) & inside
+        if at is None:  # runs of two or more
+            at = np.flatnonzero(same | np.append(same[1:], False))
+            if not len(at):
+                break
+            here, inside = order[at], same[at]
+        token = tokens[k, here]
+        split = (token[1:] != token[:-1]) & inside[1:]
         if not split.any():
             continue
+        run = np.cumsum(~inside)
         todo = np.zeros(run[-1] + 1, bool)
-        todo[run[split]] = True
+        todo[run[1:][split]] = True
         todo = todo[run]
-        at, token, run = at[todo], token[todo], run[todo]
-        by = np.lexsort((token, run))
-        order[at] = order[at[by]]
+        part, token = at[todo], token[todo]
+        by = np.lexsort((token, run[todo]))
+        order[part] = order[part[by]]
         token = token[by]
-        same[at[1:]] &= token[1:] == token[:-1]
+        same[part[1:]] &= token[1:] == token[:-1]
+        at = None
     return order, same
 
 
+def shared_bytes(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the bytes before and after its anchor that each aligned context
+    shares with another one of its core: a repeat needs that many on both sides."""
+    n, found = len(grid), []
+    core, rest = grid[:, LEFT:LEFT + CORE], (grid[:, :LEFT][:, ::-1], grid[:, LEFT + CORE:])
+    for side in rest:
+        x = np.ascontiguousarray(np.concatenate([core, side], axis=1))
+        order = np.argsort(x.view(f"V{x.shape[1]}").ravel())
+        differ = x[order[1:]] != x[order[:-1]]
+        common = np.where(differ.any(axis=1), differ.argmax(axis=1), x.shape[1])
+        most = np.zeros(n, np.int64)
+        most[order[1:]] = common
+        most[order[:-1]] = np.maximum(most[order[:-1]], common)
+        found.append(most)
+    return np.where(found[0] >= CORE, found[0] - CORE, -1), found[1]
+
+
 def outermost_repeats(before: np.ndarray, after: np.ndarray, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(least, greatest) start before the anchor of a suffix whose 200 bytes
     another entry has; -1 if none."""
     tokens = token_table(before, parts)
     least, greatest = np.full(len(parts), -1, np.int32), np.full(len(parts), -1, np.int32)
+    left, right = shared_bytes(aligned(before, parts, np.uint8, 0))
+    left, right = np.minimum(left, before), np.minimum(right, after)
     for start in range(SPAN):
-        rows = np.flatnonzero((before >= start) & (after >= LENGTH - start))
+        rows = np.flatnonzero((left >= start) & (right >= LENGTH - start))
         if len(rows) < 2:
             continue
         order, same = multikey_sort(tokens, rows, LEFT - start)
