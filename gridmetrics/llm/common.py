@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -89,6 +90,30 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(TEXT_BATCH_ROWS))
 
 
+#: Settings under which tasks hold few whole texts at once: rows of a batch of Spark's
+#: Parquet reader, and rows of an Arrow batch.
+FEW_TEXTS = {"spark.sql.parquet.columnarReaderBatchSize": 64, "spark.sql.execution.arrow.maxRecordsPerBatch": 256}
+
+
+@contextmanager
+def few_texts(spark: SparkSession) -> Iterator[None]:
+    """What is run within it reads and sends texts in batches of few rows.
+
+    Spark's defaults of 4,096 and 10,000 rows take arrays of tens of megabytes
+    of text in each task, for which the heap of an executor grows and stays
+    large. The session's settings, better for narrow rows, come back afterwards.
+    """
+    before = {key: spark.conf.get(key) for key in FEW_TEXTS}
+    try:
+        for key, rows in FEW_TEXTS.items():
+            if not 0 < int(before[key]) <= rows:
+                spark.conf.set(key, str(rows))
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def text_or_empty(c: str = "text") -> Column:
     return F.coalesce(F.col(c), F.lit(""))
 

@@ -310,6 +310,57 @@ def test_pieces_equal_whole_texts():
         assert [x.tolist() for x in got] == want
 
 
+def test_long_texts_are_encoded_in_sections(monkeypatch):
+    """Sections of a long text give the ids of the whole text, wherever they are cut."""
+    encoder, tokenizer = token_output.Encoder(token_output.vocabulary()), library()
+    r = random.Random(5)
+    for alphabet in (["a", "The", " ", " ", "\n", ".", ",", "'s", "é", "日", "word", "1", "'", "-"],
+                     ["ab", "x", " ", "\n", "\t", "\u3000", "\u00a0", "\r\n", "!", "<|endoftext|>", "日本", "'re"]):
+        for size in (16, 61, 300):
+            monkeypatch.setattr(token_output, "PART", size)
+            text = "".join(r.choice(alphabet) for _ in range(3000)) + "z" * 700 + " end"
+            data = np.frombuffer(text.encode(), np.uint8)
+            bounds = list(token_output.sections(data, size, encoder.visible))
+            assert len(bounds) > 3 and [a for a, _ in bounds[1:]] == [b for _, b in bounds[:-1]] and bounds[-1][1] == len(data)
+            ids = tokenizer.encode(text, add_special_tokens=False).ids
+            assert encoder(data, np.array([0, len(data)]))[0].tolist() == ids
+            both = encoder(np.concatenate([data, data[:40]]), np.array([0, len(data), len(data), len(data) + 10]))
+            assert both[0].tolist() == ids and not len(both[1])
+
+
+def test_encoder_memory_is_bounded():
+    """Neither a long text nor ever new words take an encoder beyond its bounds."""
+    import tracemalloc
+
+    encoder, r = token_output.Encoder(token_output.vocabulary()), np.random.default_rng(6)
+    tracemalloc.start()
+    try:
+        for size in (1 << 20, 6 << 20):
+            data = r.integers(97, 123, size).astype(np.uint8)
+            data[np.cumsum(r.integers(3, 9, size // 10))] = 32
+            assert len(encoder(data, np.array([0, size]))[0]) > size // 5
+        assert tracemalloc.get_traced_memory()[1] < 128 << 20
+        assert len(encoder.keys) < 3 * encoder.KNOWN // 2
+    finally:
+        tracemalloc.stop()
+
+
+def test_texts_are_read_and_sent_in_small_batches(spark, odd):
+    """While the files are written; then the session has its own settings again."""
+    keys = ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    seen, settings = [], lambda: [int(spark.conf.get(k)) for k in keys]
+
+    class Seen(Scratch):
+        def save(self, df, name):
+            seen.append(settings())
+            return super().save(df, name)
+
+    before, scratch = settings(), Seen(spark, "token-test")
+    token_output.write_tokens(odd, scratch.path("files"), scratch)
+    assert len(seen) == 1 and seen[0][0] <= 64 and seen[0][1] <= 256
+    assert settings() == before
+
+
 def test_special_tokens_as_text():
     encoder, tokenizer = token_output.Encoder(token_output.vocabulary(), special_as_text=True), library()
     tokenizer.encode_special_tokens = True
